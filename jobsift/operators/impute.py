@@ -23,7 +23,7 @@ def impute_group_mean(df: DataFrame, cols: Sequence[str], keys: Sequence[str], z
     if zero_is_missing:
         work = work.select(*[F.when(F.col(c) == 0, F.lit(None)).otherwise(F.col(c)).alias(c) if c in cols
                              else F.col(c) for c in df.columns])
-    means = work.groupBy(*keys).agg(*[F.avg(c).alias(f"_mean_{c}") for c in cols])
+    means = work.groupBy(*keys).agg(*[F.round(F.avg(c), 6).alias(f"_mean_{c}") for c in cols])
     means = means.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
     if bounded_groups:
         means = F.broadcast(means)

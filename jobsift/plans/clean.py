@@ -104,7 +104,7 @@ def clean_v2(df: DataFrame, as_of: str = AS_OF, as_of_date: str = AS_OF_DATE, li
     """Raw fact rows -> 51-column clean fact, one row per (link, province)."""
     feats = with_v2_features(df, as_of_date)
     geo = geo_explode_v2(feats, links_unique=links_unique, order_col=order_col)
-    out = with_clean_hash(geo).withColumn("NgayXuLyDL", F.lit(as_of).cast("timestamp"))
+    out = with_clean_hash(geo).withColumn("NgayXuLyDL", F.lit(as_of).cast("timestamp_ntz"))
     out = out.select(*CLEAN_V2_COLUMNS)
     return trim_all_text(out) if trim_output else out
 
@@ -153,7 +153,7 @@ def clean_v1(df: DataFrame, as_of: str = AS_OF) -> DataFrame:
         P.experience_band_v1(exp_avg).alias("PhanLoaiKinhNghiem"),
         size_avg.alias("QuyMoCongTyTB_clean"),
         P.size_band_v1(size_avg).alias("PhanLoaiQuyMoCongTy"),
-        F.lit(as_of).cast("timestamp").alias("NgayXuLyDL"),
+        F.lit(as_of).cast("timestamp_ntz").alias("NgayXuLyDL"),
     )
     out = geo_explode_v1(df)
     for missing in ("JobID", "JobHash", "YeuCauKiNang"):

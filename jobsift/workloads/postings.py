@@ -271,3 +271,129 @@ FROM e"""
 
 register("geo_explode_v1", fixtures.duck_prefix("stg") + _geo_v1_sql())(
     lambda spark, sf_dir: geo_explode_v1(fixtures.stg(spark, sf_dir).select("row_id", "ViTri")))
+
+
+# --- latest row per key and the two cleaning pipelines --------------------
+
+LATEST_SQL = """
+, f AS (SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY LinkBaiTuyenDung ORDER BY NgayCaoDuLieu DESC NULLS LAST, row_id DESC) AS _rn
+    FROM stg) WHERE _rn = 1)
+"""
+
+
+def raw_fact(spark, sf_dir):
+    """stg -> one row per link (newest crawl wins, row_id breaks ties)."""
+    from ..operators.dedupe import latest_per_key
+    return latest_per_key(fixtures.stg(spark, sf_dir), ["LinkBaiTuyenDung"], ["NgayCaoDuLieu", "row_id"])
+
+
+register("latest_per_key", fixtures.duck_prefix("stg") + LATEST_SQL + "SELECT * FROM f")(raw_fact)
+
+_V2_TYPES = {"Latitude": "d", "Longitude": "d", "MucLuongMin_clean": "d", "MucLuongTB_clean": "d",
+             "MucLuongMax_clean": "d", "Exp_Min_clean": "d", "Exp_Max_clean": "d", "QuyMoMin_clean": "d",
+             "QuyMoMax_clean": "d", "QuyMoTB_clean": "d", "SoLuongTuyen_clean": "i", "NgayCaoDuLieu": "t",
+             "HanNopHoSo_clean": "t", "NgayXuLyDL": "t"}
+
+
+def _clean_v2_sql() -> str:
+    from .. import rules as R
+    coords = {p: (r, la, lo) for p, r, la, lo in R.PROVINCE_COORD_V2}
+    prov = " ".join(f"WHEN contains(lower(part), {O.q(k)}) THEN {O.q(v)}" for k, v in R.PROVINCE_MERGE_V2)
+    region = " ".join(f"WHEN {O.q(p)} THEN {O.q(r)}" for p, (r, _, _) in coords.items())
+    lat = " ".join(f"WHEN {O.q(p)} THEN {O.num(la)}" for p, (_, la, _) in coords.items())
+    lon = " ".join(f"WHEN {O.q(p)} THEN {O.num(lo)}" for p, (_, _, lo) in coords.items())
+    parts = (f"list_filter(list_transform(string_split_regex({O.py_str('ViTri')}, '[;|,]'), "
+             f"lambda _p: {O.strip('_p')}), lambda _p: _p <> '')")
+    t = O.salary_v2_text("MucLuong")
+    final = ", ".join(c if _V2_TYPES.get(c) else f"{O.strip(c)} AS {c}" for c in CLEAN_V2_COLUMNS)
+    return fixtures.duck_prefix("stg") + LATEST_SQL + f"""
+, a AS (SELECT *, {O.experience_v2('YeuCauKinhNghiem')} AS _exp, {t} AS _st, {O.size_v2('QuyMoCongTy')} AS _size FROM f)
+, b AS (SELECT *, {O.salary_v2_from_values('MucLuong', '_st', O.salary_v2_values('_st', True))} AS _sal FROM a)
+, c AS (SELECT *, _exp.min AS Exp_Min_clean, _exp.max AS Exp_Max_clean, {O.null_skip_mean('_exp.min', '_exp.max')} AS _exp_avg,
+         _sal.min AS MucLuongMin_clean, _sal.max AS MucLuongMax_clean, _size.min AS QuyMoMin_clean, _size.max AS QuyMoMax_clean,
+         {O.title_case('CongTy')} AS CongTy_clean, {O.title_clean_v2('CongViec')} AS CongViec_clean,
+         {O.headcount('SoLuongTuyen', 'CongViec')} AS SoLuongTuyen_clean,
+         {O.education_v2('HocVan', 'YeuCauUngVien')} AS HocVan_clean, {O.workstyle_v2(ROW_TEXT_COLUMNS)} AS _ws,
+         {O.skills_v2('YeuCauUngVien', 'hard')} AS Hard_Skills, {O.skills_v2('YeuCauUngVien', 'soft')} AS Soft_Skills,
+         {O.skills_v2('YeuCauUngVien', 'language')} AS Ngoai_Ngu, {O.industry_macro_v2('LinhVuc')} AS LinhVuc_Web,
+         {O.industry_sub_v2('CongViec')} AS LinhVuc_Con, {O.job_role_v2('CongViec')} AS ViTri_Tuyen_Clean,
+         {O.deadline_v2('HanNopHoSo', 'NgayCaoDuLieu', AS_OF_DATE)} AS HanNopHoSo_clean FROM b)
+, d AS (SELECT *, {O.experience_band_v2('_exp_avg')} AS PhanLoaiKinhNghiem,
+         {O.experience_text('Exp_Min_clean', 'Exp_Max_clean')} AS KinhNghiem_clean,
+         {O.salary_avg_v2('MucLuongMin_clean', 'MucLuongMax_clean')} AS MucLuongTB_clean,
+         {O.salary_band_v2(O.salary_avg_v2('MucLuongMin_clean', 'MucLuongMax_clean'))} AS KhoangLuong,
+         {O.salary_text('MucLuongMin_clean', 'MucLuongMax_clean')} AS Luong_clean,
+         {O.null_skip_mean('QuyMoMin_clean', 'QuyMoMax_clean')} AS QuyMoTB_clean,
+         {O.size_text('QuyMoMin_clean', 'QuyMoMax_clean')} AS QuyMo_clean,
+         {O.size_class_v2('QuyMoMax_clean')} AS LoaiQuyMo_clean,
+         {O.rank_v2('CongViec', '_exp_avg')} AS CapBac_clean, _ws.employment AS HinhThuc_clean, _ws.mode AS WorkMode_clean
+       FROM c)
+, e AS (SELECT *, unnest({parts}) AS part, generate_subscripts({parts}, 1) AS pos FROM d)
+, g AS (SELECT *, CASE {prov} END AS Tinh_Thanh FROM e)
+, r AS (SELECT *, row_number() OVER (PARTITION BY LinkBaiTuyenDung, Tinh_Thanh ORDER BY row_id, pos) AS _rn2
+        FROM g WHERE Tinh_Thanh IS NOT NULL)
+, s AS (SELECT *, CASE Tinh_Thanh {region} ELSE 'Khác' END AS KhuVuc,
+         CASE Tinh_Thanh {lat} END AS Latitude, CASE Tinh_Thanh {lon} END AS Longitude,
+         {O.job_hash_clean('LinkBaiTuyenDung', 'Tinh_Thanh')} AS JobHash,
+         CAST(TIMESTAMP '{AS_OF}' AS TIMESTAMP) AS NgayXuLyDL FROM r WHERE _rn2 = 1)
+SELECT {final} FROM s"""
+
+
+@register("clean_v2", _clean_v2_sql())
+def _clean_v2(spark, sf_dir):
+    return clean_v2(raw_fact(spark, sf_dir))
+
+
+register("clean_v2_output", _clean_v2_sql())(_clean_v2)
+
+_V1_TYPES = {"Latitude": "d", "Longitude": "d", "MucLuongMin_clean": "d", "MucLuongTB_clean": "d",
+             "MucLuongMax_clean": "d", "YeuCauKinhNghiemMin_clean": "d", "YeuCauKinhNghiemTB_clean": "d",
+             "YeuCauKinhNghiemMax_clean": "d", "QuyMoCongTyMin_clean": "d", "QuyMoCongTyTB_clean": "d",
+             "QuyMoCongTyMax_clean": "d", "SoLuongTuyen_clean": "i", "NgayCaoDuLieu": "t",
+             "HanNopHoSo_clean": "t", "NgayXuLyDL": "t"}
+
+
+def _clean_v1_sql() -> str:
+    co = O.title_case(O.strip("CongTy"))
+    sal_min = "CASE WHEN _sal.min = 0 THEN NULL ELSE _sal.min END"
+    sal_max = "CASE WHEN _sal.max = 0 THEN NULL ELSE _sal.max END"
+    body = f"""
+, a AS (SELECT * REPLACE ({co} AS CongTy), {O.salary_v1('MucLuong')} AS _sal,
+         {O.experience_v1_coalesced('YeuCauKinhNghiem', 'YeuCauUngVien')} AS _exp, {O.size_v1('QuyMoCongTy')} AS _size,
+         {O.workstyle_v1('HinhThucLamViec', 'MoTaCongViec')} AS _ws, {O.skills_v1('MoTaCongViec', 'YeuCauUngVien')} AS _sk
+       FROM f)
+, b AS (SELECT *, CongTy AS CongTy_clean, {O.title_class_v1('CongViec')} AS CongViec_clean, {O.rank_v1('CongViec')} AS CapBac_clean,
+         {O.industry_v1('LinhVuc')} AS LinhVuc_clean, {O.education_v1('HocVan')} AS HocVan_clean,
+         {O.headcount('SoLuongTuyen', 'CongViec')} AS SoLuongTuyen_clean,
+         _ws.employment AS HinhThucLamViec_clean, _ws.mode AS KieuLamViec_clean,
+         _sk.hard AS YeuCauKiNangCung_clean, _sk.soft AS YeuCauKiNangMem_clean,
+         {O.deadline_v1('HanNopHoSo', 'NgayCaoDuLieu')} AS HanNopHoSo_clean,
+         {sal_min} AS _smin, {sal_max} AS _smax,
+         _exp.min AS YeuCauKinhNghiemMin_clean, _exp.max AS YeuCauKinhNghiemMax_clean,
+         _size.min AS QuyMoCongTyMin_clean, _size.max AS QuyMoCongTyMax_clean FROM a)
+, m AS (SELECT CongViec_clean, CapBac_clean, round(avg(_smin), 6) AS _mmin, round(avg(_smax), 6) AS _mmax
+        FROM b GROUP BY ALL)
+, c AS (SELECT b.*, coalesce(_smin, m._mmin, 0.0) AS MucLuongMin_clean, coalesce(_smax, m._mmax, 0.0) AS MucLuongMax_clean
+        FROM b LEFT JOIN m USING (CongViec_clean, CapBac_clean))
+, d AS (SELECT *, (MucLuongMin_clean + MucLuongMax_clean) / 2 AS MucLuongTB_clean,
+         {O.salary_band_v1('((MucLuongMin_clean + MucLuongMax_clean) / 2)')} AS KhoangLuong,
+         {O.null_skip_mean('YeuCauKinhNghiemMin_clean', 'YeuCauKinhNghiemMax_clean')} AS YeuCauKinhNghiemTB_clean,
+         {O.experience_band_v1(O.null_skip_mean('YeuCauKinhNghiemMin_clean', 'YeuCauKinhNghiemMax_clean'))} AS PhanLoaiKinhNghiem,
+         {O.size_avg_v1('QuyMoCongTyMin_clean', 'QuyMoCongTyMax_clean')} AS QuyMoCongTyTB_clean,
+         {O.size_band_v1(O.size_avg_v1('QuyMoCongTyMin_clean', 'QuyMoCongTyMax_clean'))} AS PhanLoaiQuyMoCongTy,
+         CAST(TIMESTAMP '{AS_OF}' AS TIMESTAMP) AS NgayXuLyDL, NULL::VARCHAR AS JobID, NULL::VARCHAR AS JobHash,
+         NULL::VARCHAR AS YeuCauKiNang FROM c)"""
+    geo = _geo_v1_sql("d", ", ".join(c for c in CLEAN_V1_COLUMNS if c not in
+                                     ("ViTri_clean", "Tinh_Thanh", "KhuVuc", "Latitude", "Longitude")))
+    cols = ", ".join(CLEAN_V1_COLUMNS)
+    cte, sel = geo.split("\nSELECT ", 1)
+    return fixtures.duck_prefix("stg") + LATEST_SQL + body + cte + ", x AS (SELECT " + sel + f") SELECT {cols} FROM x"
+
+
+@register("clean_v1", _clean_v1_sql())
+def _clean_v1(spark, sf_dir):
+    return clean_v1(raw_fact(spark, sf_dir))
+
+
+register("clean_v1_output", _clean_v1_sql())(_clean_v1)
