@@ -56,3 +56,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: cuts the lineage so later stages reread a stored table instead of
+    recomputing the plan (and survive executor loss)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
