@@ -1 +1,208 @@
-"""placeholder"""
+"""Crawl-side workloads over ``pages``, ``listing``, ``seen`` and
+``conversations`` (H1-H13, S12, S13, J5, L1, L5, X7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from .. import fixtures
+from .. import oracle as O
+from ..functions import html as H
+from ..operators.frontier import crawl_frontier, mark_new
+from ..registry import register
+from ..session import scratch_path
+
+
+def _pages(spark, sf_dir):
+    return fixtures.table(spark, sf_dir, "pages")
+
+
+# --- H1 ---------------------------------------------------------------------
+register("url_job_id", r"""
+SELECT page_id, url, nullif(regexp_extract(url, '/(\d+)\.html', 1), '') AS id_html,
+       nullif(regexp_extract(url, '/(\d+)(?:\?|$)', 1), '') AS id_tail FROM pages""")(
+    lambda spark, sf_dir: _pages(spark, sf_dir).select(
+        "page_id", "url", H.url_job_id(F.col("url"), H.JOB_ID_HTML).alias("id_html"),
+        H.url_job_id(F.col("url"), H.JOB_ID_TAIL).alias("id_tail")))
+
+# --- H2-H4: max page -----------------------------------------------------------
+register("max_page_text", r"""
+SELECT page_id, coalesce(TRY_CAST(regexp_extract(html, '/\s*(\d+)\s*trang', 1) AS INTEGER), 1) AS max_page FROM pages""")(
+    lambda spark, sf_dir: _pages(spark, sf_dir).select("page_id", H.max_page_text(F.col("html")).alias("max_page")))
+
+_MAXPAGE_LINKS_SQL = r"""greatest(coalesce(list_max(list_transform(regexp_extract_all(url || ' ' || html, 'page=(\d+)', 1),
+    lambda _x: TRY_CAST(_x AS INTEGER))), 1), 1)"""
+register("max_page_links", f"SELECT page_id, {_MAXPAGE_LINKS_SQL} AS max_page FROM pages")(
+    lambda spark, sf_dir: _pages(spark, sf_dir).select(
+        "page_id", H.max_page_links(F.concat_ws(" ", "url", "html")).alias("max_page")))
+
+_H1_SQL = r"regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1)"
+register("max_page_count", rf"""
+SELECT page_id, CAST(coalesce(ceil(TRY_CAST(regexp_extract(CAST(page_id * 37 AS VARCHAR) || ' ' || {_H1_SQL}, '^(\d+)', 1) AS BIGINT) / 50), 1) AS BIGINT) AS max_page
+FROM pages""")(
+    lambda spark, sf_dir: _pages(spark, sf_dir).select(
+        "page_id", H.max_page_count(F.concat_ws(" ", (F.col("page_id") * 37).cast("string"),
+                                                H.tag_text(F.col("html"), "h1"))).alias("max_page")))
+
+# --- H5: page URLs -------------------------------------------------------------
+register("page_url_expand", rf"""
+WITH p AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN regexp_replace(url, '[?#].*$', '') || '-sortdv-vi.html'
+                                ELSE url END AS base, {_MAXPAGE_LINKS_SQL} AS max_page FROM pages),
+e AS (SELECT page_id, base, CAST(unnest(generate_series(1, max_page)) AS INTEGER) AS page FROM p)
+SELECT page_id, page, CASE WHEN page = 1 THEN base
+  WHEN suffix(base, '-vi.html') THEN regexp_replace(base, '-vi\.html$', '') || '-trang-' || CAST(page AS VARCHAR) || '-vi.html'
+  ELSE base || '?page=' || CAST(page AS VARCHAR) END AS page_url FROM e""")
+def _page_url_expand(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    base = F.when(F.col("page_id") % 2 == 0,
+                  F.concat(F.regexp_replace("url", r"[?#].*$", ""), F.lit("-sortdv-vi.html"))).otherwise(F.col("url"))
+    p = p.select("page_id", base.alias("base"), H.max_page_links(F.concat_ws(" ", "url", "html")).alias("max_page"))
+    e = p.select("page_id", "base", F.explode(F.sequence(F.lit(1), "max_page")).alias("page"))
+    return e.select("page_id", "page", H.page_url(F.col("base"), F.col("page")).alias("page_url"))
+
+
+# --- H6: link harvest ------------------------------------------------------------
+register("link_harvest", r"""
+WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS hs FROM pages)
+SELECT page_id, CAST(generate_subscripts(hs, 1) - 1 AS INTEGER) AS pos, unnest(hs) AS href FROM l""")(
+    lambda spark, sf_dir: _pages(spark, sf_dir).select(
+        "page_id", F.posexplode(H.hrefs(F.col("html"))).alias("pos", "href")))
+
+# --- H8 / H11: field extraction and HTML to text -----------------------------------
+_TXT = [r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", r"(?s)<[^>]*>"]
+
+
+def _html_to_text_sql(x: str) -> str:
+    t = f"regexp_replace({x}, {O.q(_TXT[0])}, ' ', 'g')"
+    t = f"regexp_replace({t}, {O.q(_TXT[1])}, ' ', 'g')"
+    for ent, ch in H.ENTITIES:
+        t = f"replace({t}, {O.q(ent)}, {O.q(ch)})"
+    return O.strip(f"regexp_replace({t}, '\\s+', ' ', 'g')")
+
+
+register("html_to_text", f"SELECT page_id, {_html_to_text_sql('html')} AS text FROM pages")(
+    lambda spark, sf_dir: _pages(spark, sf_dir).select("page_id", H.html_to_text(F.col("html")).alias("text")))
+
+register("html_field_extract", rf"""
+SELECT page_id,
+  {_html_to_text_sql("regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1)")} AS title,
+  {_html_to_text_sql(_H1_SQL)} AS heading,
+  regexp_extract(html, '(?is)<html\b[^>]*\blang="([^"]*)"', 1) AS lang,
+  {_html_to_text_sql("regexp_extract(html, '(?is)<article\\b[^>]*>(.*?)</article>', 1)")} AS body
+FROM pages""")(
+    lambda spark, sf_dir: _pages(spark, sf_dir).select(
+        "page_id", H.html_to_text(H.tag_text(F.col("html"), "title")).alias("title"),
+        H.html_to_text(H.tag_text(F.col("html"), "h1")).alias("heading"),
+        H.html_lang(F.col("html")).alias("lang"),
+        H.html_to_text(H.tag_text(F.col("html"), "article")).alias("body")))
+
+# --- H9 / H10 / H12 over conversations ---------------------------------------------
+register("kv_value", f"""
+SELECT conv_id, turn, CASE WHEN contains({O.strip('text')}, ':')
+  THEN {O.strip(f"string_split({O.strip('text')}, ':')[-1]")} ELSE {O.strip('text')} END AS value FROM conversations""")(
+    lambda spark, sf_dir: fixtures.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", H.kv_value(F.col("text")).alias("value")))
+
+
+@register("section_text", f"""
+SELECT conv_id, array_to_string(list_filter(list_transform(list(text ORDER BY turn), lambda _t: {O.strip('_t')}),
+                                lambda _t: _t <> ''), '. ') AS section
+FROM conversations GROUP BY conv_id""")
+def _section_text(spark, sf_dir):
+    """A section's child texts (here: a conversation's turns) joined in
+    order.  One group is one output row, so its size is the output's."""
+    c = fixtures.table(spark, sf_dir, "conversations")
+    g = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("_t"))
+    return g.select("conv_id", H.join_sections(F.transform("_t", lambda x: x["text"])).alias("section"))
+
+
+register("prefer_nonempty", """
+SELECT page_id, coalesce(CASE WHEN t <> '' THEN t END, h) AS value FROM (
+  SELECT page_id, regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1) AS t,
+         regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1) AS h FROM pages)""")(
+    lambda spark, sf_dir: _pages(spark, sf_dir).select(
+        "page_id", H.prefer_nonempty(H.tag_text(F.col("html"), "title"), H.tag_text(F.col("html"), "h1")).alias("value")))
+
+# --- S12 / S13 / J5 / L1 / L5 / H7 over listing + seen ------------------------------
+
+_SEEN_FILE_SQL = "SELECT DISTINCT trim(link) AS link FROM seen WHERE trim(link) <> ''"
+
+
+@register("seen_ids_scan", fixtures.duck_prefix("listing", "seen") + _SEEN_FILE_SQL)
+def _seen_ids_scan(spark, sf_dir):
+    """History file (one id per line) -> trimmed, non-blank, distinct."""
+    from ..sources.files import read_history, write_history
+    path = scratch_path(spark, "history-seen")
+    write_history(fixtures.seen(spark, sf_dir).select("link"), path)
+    return read_history(spark, path).withColumnRenamed("id", "link")
+
+
+@register("seen_ids_anti", fixtures.duck_prefix("listing", "seen") + """
+SELECT l.* FROM listing l ANTI JOIN seen s ON l.site = s.site AND l.link = s.link""")
+def _seen_ids_anti(spark, sf_dir):
+    listing = fixtures.listing(spark, sf_dir)
+    seen = fixtures.seen(spark, sf_dir)
+    return listing.join(seen, ["site", "link"], "left_anti").select("site", "page", "pos", "link")
+
+
+def _frontier_sql(cap, max_empty, dedupe=True) -> str:
+    first = ("AND (page, pos) = (SELECT (page, pos) FROM listing x WHERE x.site = c.site AND x.link = c.link "
+             "ORDER BY page, pos LIMIT 1)") if dedupe else ""
+    new = f"""
+, c AS (SELECT l.*, s.link IS NULL AS unseen FROM listing l LEFT JOIN (SELECT DISTINCT site, link FROM seen) s
+        ON l.site = s.site AND l.link = s.link)
+, n AS (SELECT c.*, (unseen {first}) AS is_new FROM c)
+, p AS (SELECT site, page, CAST(sum(CAST(is_new AS INTEGER)) AS BIGINT) AS n_new FROM n GROUP BY site, page)
+, q AS (SELECT *, coalesce(sum(n_new) OVER (PARTITION BY site ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS new_before,
+        count(*) FILTER (WHERE n_new > 0) OVER (PARTITION BY site ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM p)
+, r AS (SELECT *, CASE WHEN n_new = 0 THEN row_number() OVER (PARTITION BY site, grp ORDER BY page) - CASE WHEN grp > 0 THEN 1 ELSE 0 END ELSE 0 END AS run FROM q)
+, st AS (SELECT site, min(page) FILTER (WHERE run >= {max_empty if max_empty else 10**9}) AS stop FROM r GROUP BY site)
+, k AS (SELECT n.site, n.page, n.pos, n.link, CAST(r.new_before + row_number() OVER (PARTITION BY n.site, n.page ORDER BY n.pos, n.link) AS INTEGER) AS rank
+        FROM n JOIN r ON n.site = r.site AND n.page = r.page JOIN st ON st.site = n.site
+        WHERE n.is_new AND (st.stop IS NULL OR n.page <= st.stop))
+"""
+    where = f"WHERE rank <= {cap}" if cap is not None else ""
+    return fixtures.duck_prefix("listing", "seen") + new + f"SELECT * FROM k {where}"
+
+
+@register("crawl_frontier", _frontier_sql(100, 5))
+def _crawl_frontier(spark, sf_dir):
+    return crawl_frontier(fixtures.listing(spark, sf_dir), fixtures.seen(spark, sf_dir), cap=100, max_empty=5)
+
+
+@register("crawl_frontier_no_dedupe", _frontier_sql(10, 5, dedupe=False))
+def _crawl_frontier_nd(spark, sf_dir):
+    """Q20 variant: no within-run de-duplication, cap 10."""
+    return crawl_frontier(fixtures.listing(spark, sf_dir), fixtures.seen(spark, sf_dir), cap=10, max_empty=5,
+                          dedupe_within_run=False)
+
+
+@register("limit_new", _frontier_sql(20, None))
+def _limit_new(spark, sf_dir):
+    """L1: the first N new links per site in (page, pos) order."""
+    return crawl_frontier(fixtures.listing(spark, sf_dir), fixtures.seen(spark, sf_dir), cap=20, max_empty=None)
+
+
+@register("seen_ids_merge", _frontier_sql(100, 5).replace("SELECT * FROM k WHERE rank <= 100", """
+SELECT DISTINCT site, link FROM (SELECT site, link FROM seen UNION ALL SELECT site, link FROM k WHERE rank <= 100)"""))
+def _seen_ids_merge(spark, sf_dir):
+    """History after the run = old history ∪ accepted links."""
+    seen = fixtures.seen(spark, sf_dir)
+    front = crawl_frontier(fixtures.listing(spark, sf_dir), seen, cap=100, max_empty=5)
+    return seen.select("site", "link").unionByName(front.select("site", "link")).distinct()
+
+
+@register("crawl_batch")
+def _crawl_batch(spark, sf_dir):
+    """X7 (rows-only): pages -> harvested links -> job ids -> frontier
+    against the history -> extracted fields of the accepted pages."""
+    p = _pages(spark, sf_dir)
+    cards = (p.select(F.concat(F.lit("site"), (F.col("page_id") % 3).cast("string")).alias("site"),
+                      (F.col("page_id") + 1).cast("int").alias("page"), "url", "html")
+             .select("site", "page", F.posexplode(H.hrefs(F.col("html"))).alias("pos", "link")))
+    cards = cards.withColumn("pos", F.col("pos") + 1)
+    history = cards.filter(F.length("link") % 2 == 0).select("site", "link")
+    front = crawl_frontier(cards, history, cap=100, max_empty=5)
+    return front.join(p.select(F.col("page_id").cast("int").alias("_pid"), "html"), F.col("page") == F.col("_pid") + 1) \
+        .select("site", "page", "pos", "link", "rank", H.html_to_text(H.tag_text(F.col("html"), "title")).alias("title"))
