@@ -46,7 +46,7 @@ FROM pages""")(
                                                 H.tag_text(F.col("html"), "h1"))).alias("max_page")))
 
 # --- H5: page URLs -------------------------------------------------------------
-register("page_url_expand", rf"""
+@register("page_url_expand", rf"""
 WITH p AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN regexp_replace(url, '[?#].*$', '') || '-sortdv-vi.html'
                                 ELSE url END AS base, {_MAXPAGE_LINKS_SQL} AS max_page FROM pages),
 e AS (SELECT page_id, base, CAST(unnest(generate_series(1, max_page)) AS INTEGER) AS page FROM p)
