@@ -3,7 +3,7 @@ education, skills, employment type / work mode, headcount."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules as R
@@ -160,3 +160,105 @@ def headcount(quantity: Column, title: Column) -> Column:
             .otherwise(F.greatest(from_col, from_title))).cast("int")
 
 
+
+
+# ---------------------------------------------------------------------------
+# Layered forms (shared values computed once as temporary columns)
+# ---------------------------------------------------------------------------
+
+
+def add_headcount(df: DataFrame, quantity: str, title: str, out: str) -> DataFrame:
+    raw, t, cn = f"__{out}_raw", f"__{out}_t", f"__{out}_cn"
+    df = df.withColumn(raw, F.coalesce(F.col(quantity), F.lit(""))).withColumn(
+        t, F.lower(F.coalesce(F.col(title), F.lit(""))))
+    vals = [f"__{out}_v{i}" for i in range(len(R.HEADCOUNT_TITLE_PATTERNS))]
+    df = df.select("*", F.array_max(F.filter(
+        F.transform(F.regexp_extract_all(F.col(raw), F.lit(r"(\d+)"), 1), lambda x: x.try_cast("decimal(38,0)")),
+        lambda x: x < 1000)).alias(cn),
+        *[F.regexp_extract(F.col(t), pat, 1).try_cast("decimal(38,0)").alias(v)
+          for pat, v in zip(R.HEADCOUNT_TITLE_PATTERNS, vals)])
+    from_col = F.coalesce(F.col(cn), F.lit(1)).cast("int")
+    found = [F.when((F.col(v) > 1) & (F.col(v) < 200), F.col(v)) for v in vals]
+    from_title = F.coalesce(F.greatest(*found), F.lit(1)).cast("int")
+    res = (F.when(contains_any(F.lower(F.col(raw)), R.HEADCOUNT_BULK), F.lit(999))
+           .when(from_col > 1, from_col)
+           .otherwise(F.greatest(from_col, from_title))).cast("int")
+    return df.withColumn(out, res).drop(raw, t, cn, *vals)
+
+
+def add_title_clean_v2(df: DataFrame, title: str, out: str) -> DataFrame:
+    t = f"__{out}_t"
+    s = F.lower(F.col(title))
+    for pat in R.TITLE_NOISE_V2:
+        s = F.regexp_replace(s, pat, " ")
+    s = F.regexp_replace(s, r"[^\p{L}\p{N}_\s\-+#./&]", " ")
+    df = df.withColumn(t, py_strip(F.regexp_replace(s, r"\s+", " ")))
+    res = F.when(F.col(t) == "", F.lit(None).cast("string")).otherwise(title_case(F.col(t)))
+    return df.withColumn(out, res).drop(t)
+
+
+def add_rank_v2(df: DataFrame, title: str, exp_avg: str, out: str) -> DataFrame:
+    base = f"__{out}_base"
+    ti = F.col(title)
+    missing = ti.isNull() | (ti == "") | (ti == "N/A")
+    df = df.withColumn(base, F.when(missing, F.lit("Junior")).otherwise(first_match(F.lower(ti), R.RANK_V2, "Junior")))
+    e = F.col(exp_avg)
+    refined = (F.when(e >= 5, F.lit("Senior")).when(e >= 3, F.lit("Mid-level"))
+               .when(e >= 1, F.lit("Junior")).otherwise(F.lit("Fresher")))
+    res = F.when((F.col(base) == "Junior") & e.isNotNull(), refined).otherwise(F.col(base))
+    return df.withColumn(out, res).drop(base)
+
+
+def add_education_v2(df: DataFrame, primary: str, fallback: str, out: str) -> DataFrame:
+    p = f"__{out}_p"
+    df = df.withColumn(p, _education_v2_one(F.col(primary)))
+    res = F.when(F.col(p) == "Không yêu cầu", _education_v2_one(F.col(fallback))).otherwise(F.col(p))
+    return df.withColumn(out, res).drop(p)
+
+
+def add_title_class_v1(df: DataFrame, title: str, out: str) -> DataFrame:
+    t = f"__{out}_t"
+    s = F.lower(F.col(title))
+    for pat in R.TITLE_NOISE_V1:
+        s = F.regexp_replace(s, pat, "")
+    df = df.withColumn(t, py_strip(s))
+    res = F.when(F.col(title).isNull(), F.lit("Khác")).otherwise(first_match(F.col(t), R.JOB_TITLE_V1, "Khác"))
+    return df.withColumn(out, res).drop(t)
+
+
+def add_workstyle_v1(df: DataFrame, employment: str, description: str, out: str) -> DataFrame:
+    t = f"__{out}_t"
+    e, d = F.col(employment), F.col(description)
+    df = df.withColumn(t, F.lower(F.concat_ws(" ", F.coalesce(e, F.lit("")), F.coalesce(d, F.lit("")))))
+    both_null = e.isNull() & d.isNull()
+    res = F.struct(F.when(both_null, F.lit("Full-time")).otherwise(first_match(F.col(t), R.EMPLOYMENT_V1, "Full-time"))
+                   .alias("employment"),
+                   F.when(both_null, F.lit("Onsite")).otherwise(first_match(F.col(t), R.WORK_MODE_V1, "Onsite"))
+                   .alias("mode"))
+    return df.withColumn(out, res).drop(t)
+
+
+def add_workstyle_v2(df: DataFrame, text_columns, out: str) -> DataFrame:
+    t = f"__{out}_t"
+    df = df.withColumn(t, F.lower(F.concat_ws(" ", *[F.col(c) for c in text_columns])))
+    res = F.struct(first_match(F.col(t), R.EMPLOYMENT_V2, "Full-time").alias("employment"),
+                   first_match(F.col(t), R.WORK_MODE_V2, "Onsite").alias("mode"))
+    return df.withColumn(out, res).drop(t)
+
+
+def add_skills_v2(df: DataFrame, text: str, outs: dict[str, str]) -> DataFrame:
+    """Hard/soft/language labels from one lowered copy of the text."""
+    t = f"__skills_{text}_t"
+    df = df.withColumn(t, F.lower(F.col(text)))
+    for kind, out in outs.items():
+        found = labels_found(F.col(t), R.SKILLS_V2[kind], escape=True)
+        df = df.withColumn(out, F.when(F.col(text).isNull() | (found == ""), F.lit("Không yêu cầu")).otherwise(found))
+    return df.drop(t)
+
+
+def add_skills_v1(df: DataFrame, description: str, requirement: str, out: str) -> DataFrame:
+    t = f"__{out}_t"
+    df = df.withColumn(t, F.lower(F.concat(py_str(F.col(description)), F.lit(" "), py_str(F.col(requirement)))))
+    res = F.struct(labels_found(F.col(t), R.SKILLS_V1["hard"], escape=False).alias("hard"),
+                   labels_found(F.col(t), R.SKILLS_V1["soft"], escape=False).alias("soft"))
+    return df.withColumn(out, res).drop(t)

@@ -7,7 +7,7 @@ work runs once per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules as R
@@ -258,3 +258,152 @@ def size_class_v2(hi: Column) -> Column:
 
 def py_lower_strip(c: Column) -> Column:
     return py_strip(F.lower(c))
+
+
+# ---------------------------------------------------------------------------
+# Layered forms used by the pipelines.
+#
+# The Column forms above reuse sub-expressions (the lowered text, the
+# number array) several times; composed into one projection they copy those
+# trees.  The forms below compute each shared value once as a temporary
+# column in its own projection (Catalyst does not inline a non-trivial
+# expression that is referenced more than once), then build the result
+# from the temporaries.  All return ``df`` plus a struct column ``out``.
+# ---------------------------------------------------------------------------
+
+
+def _tmp(out: str, name: str) -> str:
+    return f"__{out}_{name}"
+
+
+def _finish(df: DataFrame, out: str, result: Column, temps: list[str]) -> DataFrame:
+    return df.withColumn(out, result).drop(*temps)
+
+
+def parse_salary_v1(df: DataFrame, src: str, out: str) -> DataFrame:
+    t, n = _tmp(out, "t"), _tmp(out, "n")
+    df = df.withColumn(t, F.lower(F.coalesce(F.col(src), F.lit("None"))))
+    df = df.withColumn(n, numbers(F.regexp_replace(F.col(t), ",", ""), f"({NUM})"))
+    tc, nums = F.col(t), F.col(n)
+    unit = (F.when(tc.contains("usd") | tc.contains("$"), F.lit(25000.0))
+            .when(contains_any(tc, ("triệu", "tr", "millions", "m")), F.lit(1e6))
+            .when(contains_any(tc, ("nghìn", "k")), F.lit(1e3))
+            .otherwise(F.lit(1.0)))
+    n0 = F.get(nums, 0) * unit
+    n1 = F.get(nums, 1) * unit
+    zero = F.lit(0.0)
+    one = (F.when(contains_any(tc, R.SALARY_UPTO_V1), _pair(zero, n0))
+           .when(contains_any(tc, R.SALARY_FROM_V1), _pair(n0, zero))
+           .otherwise(_pair(n0, n0)))
+    res = (F.when(F.size(nums) == 1, one).when(F.size(nums) >= 2, _pair(n0, n1)).otherwise(_pair(zero, zero)))
+    return _finish(df, out, res, [t, n])
+
+
+def parse_salary_v2(df: DataFrame, src: str, out: str, fixed: bool = True) -> DataFrame:
+    t, u, n, v = _tmp(out, "t"), _tmp(out, "u"), _tmp(out, "n"), _tmp(out, "v")
+    pat = rf"({NUM})(\s*(?:tr|k|m)?)" if fixed else rf"({NUM})(\s*[ktrm]?)"
+    df = df.withColumn(t, _salary_v2_text(F.col(src)))
+    df = (df.withColumn(n, numbers(F.col(t), pat, 1))
+            .withColumn(u, F.transform(F.regexp_extract_all(F.col(t), F.lit(pat), 2), lambda x: F.trim(x))))
+    units = F.col(u)
+    if fixed:
+        last = F.try_element_at(F.filter(units, lambda x: x != ""), F.lit(-1))
+        units = F.transform(units, lambda x: F.when(x == "", F.coalesce(last, F.lit(""))).otherwise(x))
+    tc = F.col(t)
+    usd = tc.contains("usd") | tc.contains("$")
+
+    def conv(num, unit):
+        in_usd = (F.when(unit == "k", num * 1000).when(unit == "m", num * 1000000).otherwise(num)) * 0.025
+        in_vnd = (F.when(unit == "k", num / 1000).when(unit.isin("tr", "m"), num).otherwise(num / 1000000))
+        return F.round(F.when(usd, in_usd).otherwise(in_vnd), 2)
+
+    df = df.withColumn(v, F.zip_with(F.col(n), units, conv))
+    vals, raw = F.col(v), F.col(src)
+    first = F.get(vals, 0)
+    zero = F.lit(0.0)
+    one = (F.when(contains_any(tc, R.SALARY_UPTO_V2), _pair(zero, first))
+           .when(contains_any(tc, R.SALARY_FROM_V2), _pair(first, zero))
+           .otherwise(_pair(first, first)))
+    res = (F.when(raw.isNull() | (raw == ""), _pair(zero, zero))
+           .when(F.size(vals) == 1, one)
+           .when(F.size(vals) >= 2, _pair(F.array_min(vals), F.array_max(vals)))
+           .otherwise(_pair(zero, zero)))
+    return _finish(df, out, res, [t, u, n, v])
+
+
+def _exp_v1_from(t: Column, raw: Column, nums: Column, extended: bool) -> Column:
+    n0 = F.get(nums, 0)
+    no_exp = R.NO_EXPERIENCE_V1_EXTENDED if extended else R.NO_EXPERIENCE_V1
+    over = ("trên", "hơn", "over", ">") if extended else ("trên", "hơn", "over")
+    under = ("dưới", "less than", "<") if extended else ("dưới", "less")
+    return (F.when(raw.isNull() | (raw == ""), _pair(_null(), _null()))
+            .when(contains_any(t, no_exp), _pair(F.lit(0.0), F.lit(0.0)))
+            .when(F.size(nums) == 0, _pair(_null(), _null()))
+            .when(t.contains("dưới 1 năm"), _pair(F.lit(0.0), F.lit(1.0)))
+            .when(contains_any(t, over), _pair(n0, _null()))
+            .when(contains_any(t, under), _pair(F.lit(0.0), n0))
+            .when(F.size(nums) >= 2, _pair(F.array_min(nums), F.array_max(nums)))
+            .otherwise(_pair(n0, n0)))
+
+
+def parse_experience_v1(df: DataFrame, src: str, out: str, extended: bool = False) -> DataFrame:
+    t, n0, n = _tmp(out, "t"), _tmp(out, "n0"), _tmp(out, "n")
+    df = df.withColumn(t, py_strip(F.lower(F.col(src))))
+    df = df.withColumn(n0, numbers(F.col(t), f"({NUM})"))
+    months = F.col(t).contains("tháng") & ~F.col(t).contains("năm")
+    df = df.withColumn(n, F.when(months, F.transform(F.col(n0), lambda x: x / 12)).otherwise(F.col(n0)))
+    return _finish(df, out, _exp_v1_from(F.col(t), F.col(src), F.col(n), extended), [t, n0, n])
+
+
+def parse_experience_v1_coalesced(df: DataFrame, primary: str, fallback: str, out: str,
+                                  extended: bool = False) -> DataFrame:
+    p, f = _tmp(out, "p"), _tmp(out, "f")
+    df = parse_experience_v1(df, primary, p, extended)
+    df = parse_experience_v1(df, fallback, f, extended)
+    pc = F.col(p)
+    res = F.when(pc["min"].isNull() & pc["max"].isNull(), F.col(f)).otherwise(pc)
+    return _finish(df, out, res, [p, f])
+
+
+def parse_experience_v2(df: DataFrame, src: str, out: str) -> DataFrame:
+    t, n = _tmp(out, "t"), _tmp(out, "n")
+    df = df.withColumn(t, F.lower(F.col(src)))
+    df = df.withColumn(n, numbers(F.col(t), rf"({NUM})\s*(?:năm|year)"))
+    tc, nums, raw = F.col(t), F.col(n), F.col(src)
+    n0 = F.get(nums, 0)
+    one = (F.when(tc.contains("trên") | tc.contains("hơn"), _pair(n0, _null()))
+           .when(tc.contains("dưới"), _pair(F.lit(0.0), n0))
+           .otherwise(_pair(n0, n0)))
+    res = (F.when(raw.isNull() | contains_any(tc, R.NO_EXPERIENCE_V2), _pair(F.lit(0.0), F.lit(0.0)))
+           .when(F.size(nums) == 0, _pair(_null(), _null()))
+           .when(F.size(nums) == 1, one)
+           .otherwise(_pair(F.array_min(nums), F.array_max(nums))))
+    return _finish(df, out, res, [t, n])
+
+
+def parse_size_v1(df: DataFrame, src: str, out: str, extended: bool = False) -> DataFrame:
+    c, n = _tmp(out, "c"), _tmp(out, "n")
+    df = df.withColumn(c, F.regexp_replace(F.lower(F.col(src)), r"[.,]", ""))
+    df = df.withColumn(n, numbers(F.col(c), r"(\d+)"))
+    clean, nums, raw = F.col(c), F.col(n), F.col(src)
+    under = ("dưới", "ít hơn", "less than") if extended else ("dưới", "ít hơn")
+    over = ("trên", "hơn", "over", "+") if extended else ("trên", "hơn")
+    bad = raw.isNull() | (raw == "")
+    if extended:
+        bad = bad | (F.upper(raw) == "NULL")
+    n0 = F.get(nums, 0)
+    res = (F.when(bad | (F.size(nums) == 0), _pair(_null(), _null()))
+           .when(contains_any(clean, under), _pair(F.lit(0.0), n0))
+           .when(contains_any(clean, over), _pair(n0, _null()))
+           .when(F.size(nums) >= 2, _pair(F.array_min(nums), F.array_max(nums)))
+           .otherwise(_pair(n0, n0)))
+    return _finish(df, out, res, [c, n])
+
+
+def parse_size_v2(df: DataFrame, src: str, out: str) -> DataFrame:
+    n = _tmp(out, "n")
+    df = df.withColumn(n, _size_nums(F.col(src)))
+    nums, raw = F.col(n), F.col(src)
+    res = (F.when(raw.isNull() | (raw == "") | (F.size(nums) == 0), _pair(_null(), _null()))
+           .otherwise(_pair(F.array_min(nums), F.array_max(nums))))
+    return _finish(df, out, res, [n])

@@ -35,28 +35,42 @@ def regex_escape(text: str) -> str:
     return "".join("\\" + ch if ch in _REGEX_META else ch for ch in text)
 
 
-def contains_any(c: Column, keywords: Iterable[str]) -> Column:
+def to_sql(c: Column | str) -> str:
+    """SQL text of a Column (or pass a SQL expression string through)."""
+    return c if isinstance(c, str) else c._jc.node().sql()
+
+
+def sql_str(s: str) -> str:
+    """Spark SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _contains_sql(x: str, keywords: Iterable[str]) -> str:
+    return "(" + " OR ".join(f"contains({x}, {sql_str(k)})" for k in keywords) + ")"
+
+
+def contains_any(c: Column | str, keywords: Iterable[str]) -> Column:
     """``any(k in c for k in keywords)`` as one OR chain."""
-    cond = None
-    for k in keywords:
-        term = c.contains(k)
-        cond = term if cond is None else (cond | term)
-    return cond if cond is not None else F.lit(False)
+    keywords = list(keywords)
+    if not keywords:
+        return F.lit(False)
+    return F.expr(_contains_sql(f"({to_sql(c)})", keywords))
+
+
+def first_match_sql(x: str, rules: Sequence[tuple[str, Sequence[str]]], default: str | None) -> str:
+    whens = " ".join(f"WHEN {_contains_sql(x, kws)} THEN {sql_str(label)}" for label, kws in rules)
+    dflt = "CAST(NULL AS STRING)" if default is None else sql_str(default)
+    return f"(CASE {whens} ELSE {dflt} END)"
 
 
-def first_match(c: Column, rules: Sequence[tuple[str, Sequence[str]]], default: str | None) -> Column:
+def first_match(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]], default: str | None) -> Column:
     """Label of the first rule whose keyword occurs in ``c`` (ordered rules).
 
-    A CASE chain short-circuits and is code-generated; rule sets are tiny
-    literals so they constant-fold into the plan.
+    Generated as one SQL CASE expression: it short-circuits, is
+    code-generated, and the fixed rule data constant-folds into the plan
+    (built with one call instead of one per keyword).
     """
-    expr = None
-    for label, kws in rules:
-        cond = contains_any(c, kws)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    if expr is None:
-        return F.lit(default)
-    return expr.otherwise(F.lit(default))
+    return F.expr(first_match_sql(f"({to_sql(c)})", rules, default))
 
 
 def word_regex(keywords: Iterable[str], escape: bool = True) -> str:
@@ -65,16 +79,23 @@ def word_regex(keywords: Iterable[str], escape: bool = True) -> str:
     return rf"(?:^|{NON_WORD})(?:{alts})(?:$|{NON_WORD})"
 
 
-def labels_found(c: Column, rules: Sequence[tuple[str, Sequence[str]]], escape: bool = True) -> Column:
+def labels_found(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]], escape: bool = True) -> Column:
     """Sorted, ", "-joined labels whose keywords occur as whole words.
 
     Labels are emitted in code point order (Python ``sorted``); the order
-    is fixed at plan time, so no per-row sort is needed.  Empty string when
-    nothing matches.
+    is fixed at plan time, so no per-row sort is needed.  A plain substring
+    test guards each regex (a whole-word match implies the substring), so
+    the regex only runs on rows that can match.  Empty string when nothing
+    matches.
     """
-    parts = [F.when(c.rlike(word_regex(kws, escape)), F.lit(label))
-             for label, kws in sorted(rules, key=lambda r: r[0])]
-    return F.concat_ws(", ", *parts)
+    x = f"({to_sql(c)})"
+    parts = []
+    for label, kws in sorted(rules, key=lambda r: r[0]):
+        rx = f"{x} RLIKE {sql_str(word_regex(kws, escape))}"
+        literal = escape or not any(ch in _REGEX_META for k in kws for ch in k)
+        cond = f"{_contains_sql(x, kws)} AND {rx}" if literal else rx
+        parts.append(f"CASE WHEN {cond} THEN {sql_str(label)} END")
+    return F.expr(f"concat_ws(', ', {', '.join(parts)})")
 
 
 def numbers(c: Column, pattern: str, group: int = 1) -> Column:

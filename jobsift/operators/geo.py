@@ -1,33 +1,36 @@
-"""Location split + explode + province lookup."""
+"""Location split + explode + province lookup.
+
+The keyword lookups are generated as SQL CASE expressions over the fixed
+rule tables (one expression per lookup, code-generated where it is not
+inside an array lambda).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules as R
 from ..functions.hashing import job_hash_clean
-from ..functions.text import py_str, py_strip, title_case
+from ..functions.text import WS, first_match_sql, sql_str, title_case
+
+
+def _strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, {sql_str(f'^{WS}+|{WS}+$')}, '')"
 
-_GEO_T = "struct<province:string,region:string,lat:double,lon:double>"
-_COORD_V1_T = "struct<region:string,lat:double,lon:double,name:string>"
 
+def _num(v) -> str:
+    return "CAST(NULL AS DOUBLE)" if v is None else f"CAST({float(v)!r} AS DOUBLE)"
 
-def _coords_v2() -> dict:
-    return {p: (r, la, lo) for p, r, la, lo in R.PROVINCE_COORD_V2}
 
+def _lookup_sql(x: str, pairs, cast_double: bool = False) -> str:
+    """``CASE x WHEN k THEN v ... END`` for a fixed table."""
+    val = _num if cast_double else sql_str
+    return f"(CASE {x} " + " ".join(f"WHEN {sql_str(k)} THEN {val(v)}" for k, v in pairs) + " END)"
 
-def _geo_v2(part_lower: Column) -> Column:
-    """First merge key contained in the part -> (province, region, lat, lon)."""
-    coords = _coords_v2()
-    expr = None
-    for key, prov in R.PROVINCE_MERGE_V2:
-        region, lat, lon = coords.get(prov, ("Khác", None, None))
-        val = F.struct(F.lit(prov).alias("province"), F.lit(region).alias("region"),
-                       F.lit(lat).cast("double").alias("lat"), F.lit(lon).cast("double").alias("lon"))
-        cond = part_lower.contains(key)
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr.otherwise(F.lit(None).cast(_GEO_T))
+
+def _merge_rules_v2():
+    return [(prov, (key,)) for key, prov in R.PROVINCE_MERGE_V2]
 
 
 def geo_explode_v2(df: DataFrame, location: str = "ViTri", link: str = "LinkBaiTuyenDung",
@@ -41,20 +44,22 @@ def geo_explode_v2(df: DataFrame, location: str = "ViTri", link: str = "LinkBaiT
     (``links_unique=False``) the first row by ``order_col`` wins, which
     needs one shuffle on (link, province).
     """
-    parts = F.filter(F.transform(F.split(py_str(F.col(location)), r"[;|,]"), py_strip), lambda p: p != "")
-    tagged = F.transform(parts, lambda p: F.struct(p.alias("part"), _geo_v2(F.lower(p)).alias("geo")))
-    kept = F.filter(tagged, lambda x: x["geo"].isNotNull())
-    first_per_prov = F.filter(
-        kept, lambda x, i: ~F.exists(F.slice(kept, 1, i), lambda y: y["geo"]["province"] == x["geo"]["province"]))
-    out = df.select("*", F.posexplode(first_per_prov).alias("_pos", "_g"))
+    parts = (f"filter(transform(split(coalesce(`{location}`, 'None'), '[;|,]'), p -> {_strip_sql('p')}), "
+             f"p -> p != '')")
+    prov = first_match_sql("lower(p)", _merge_rules_v2(), None)
+    kept = f"filter(transform({parts}, p -> named_struct('part', p, 'prov', {prov})), x -> x.prov IS NOT NULL)"
+    out = df.withColumn("__geo_kept", F.expr(kept))
+    first = "filter(__geo_kept, (x, i) -> NOT exists(slice(__geo_kept, 1, i), y -> y.prov = x.prov))"
+    out = out.select("*", F.posexplode(F.expr(first)).alias("_pos", "_g")).drop("__geo_kept")
+    coords = [(p, (r, la, lo)) for p, r, la, lo in R.PROVINCE_COORD_V2]
+    p = "_g.prov"
     out = out.select(
-        *[c for c in df.columns],
-        "_pos",
+        *df.columns, "_pos",
         title_case(F.col("_g.part")).alias("ViTri_clean"),
-        F.col("_g.geo.province").alias("Tinh_Thanh"),
-        F.col("_g.geo.region").alias("KhuVuc"),
-        F.col("_g.geo.lat").alias("Latitude"),
-        F.col("_g.geo.lon").alias("Longitude"),
+        F.col(p).alias("Tinh_Thanh"),
+        F.expr(f"coalesce({_lookup_sql(p, [(k, v[0]) for k, v in coords])}, 'Khác')").alias("KhuVuc"),
+        F.expr(_lookup_sql(p, [(k, v[1]) for k, v in coords], True)).alias("Latitude"),
+        F.expr(_lookup_sql(p, [(k, v[2]) for k, v in coords], True)).alias("Longitude"),
     )
     if not links_unique:
         if order_col is None:
@@ -68,30 +73,6 @@ def with_clean_hash(df: DataFrame, link: str = "LinkBaiTuyenDung") -> DataFrame:
     return df.withColumn("JobHash", job_hash_clean(F.col(link), F.col("Tinh_Thanh")))
 
 
-def _merge_v1(loc: Column) -> Column:
-    exact = F.try_element_at(F.create_map(*[F.lit(x) for kv in R.PROVINCE_MERGE_V1 for x in kv]), loc)
-    first = None
-    for key, prov in R.PROVINCE_MERGE_V1:
-        cond = loc.contains(key)
-        first = F.when(cond, F.lit(prov)) if first is None else first.when(cond, F.lit(prov))
-    return F.coalesce(exact, first)
-
-
-def _coord_v1(loc: Column) -> Column:
-    def val(region, lat, lon, name):
-        return F.struct(F.lit(region).alias("region"), F.lit(lat).cast("double").alias("lat"),
-                        F.lit(lon).cast("double").alias("lon"), F.lit(name).alias("name"))
-
-    # exact key first, then the first key contained in the text
-    exact = None
-    first = None
-    for key, region, lat, lon, name in R.PROVINCE_COORD_V1:
-        v = val(region, lat, lon, name)
-        exact = F.when(loc == key, v) if exact is None else exact.when(loc == key, v)
-        first = F.when(loc.contains(key), v) if first is None else first.when(loc.contains(key), v)
-    return F.coalesce(exact, first)
-
-
 def geo_explode_v1(df: DataFrame, location: str = "ViTri") -> DataFrame:
     """One row per location part (split on ``[;,|&]`` or " - "); postings
     without a usable location keep one row with province "Khác".
@@ -99,16 +80,29 @@ def geo_explode_v1(df: DataFrame, location: str = "ViTri") -> DataFrame:
     Province: exact key, else first contained key, else the raw part.
     Coordinates are those of the original province (own table).
     """
-    parts = F.filter(F.transform(F.split(F.col(location), r"[;,|&]|\s+-\s+"), py_strip), lambda p: p != "")
-    out = df.select("*", F.explode_outer(parts).alias("_part"))
-    loc = py_strip(F.lower(F.col("_part")))
-    out = out.withColumn("_coord", _coord_v1(loc)).withColumn("_prov", _merge_v1(loc))
+    parts = (f"filter(transform(split(`{location}`, '[;,|&]|\\\\s+-\\\\s+'), p -> {_strip_sql('p')}), "
+             f"p -> p != '')")
+    out = df.select("*", F.explode_outer(F.expr(parts)).alias("_part"))
+    out = out.withColumn("_loc", F.expr(_strip_sql("lower(_part)")))
+    merge_exact = _lookup_sql("_loc", R.PROVINCE_MERGE_V1)
+    merge_first = first_match_sql("_loc", [(prov, (key,)) for key, prov in R.PROVINCE_MERGE_V1], None)
+    idx = [(e[0], str(i)) for i, e in enumerate(R.PROVINCE_COORD_V1)]
+    coord_exact = f"(CASE _loc " + " ".join(f"WHEN {sql_str(k)} THEN {i}" for k, i in idx) + " END)"
+    coord_first = first_match_sql("_loc", [(i, (k,)) for k, i in idx], None)
+    out = out.withColumn("_prov", F.expr(f"coalesce({merge_exact}, {merge_first})")).withColumn(
+        "_ci", F.expr(f"CAST(coalesce({coord_exact}, {coord_first}) AS INT)"))
+
+    def coord(field: int, cast_double: bool):
+        return F.expr(_lookup_sql("_ci", [(i, e[field]) for i, e in
+                                          ((str(j), x) for j, x in enumerate(R.PROVINCE_COORD_V1))], cast_double)
+                      .replace("CASE _ci WHEN '", "CASE CAST(_ci AS STRING) WHEN '"))
+
     missing = F.col("_part").isNull()
     return out.select(
         *df.columns,
-        F.when(missing, F.lit(None).cast("string")).otherwise(F.coalesce(F.col("_coord.name"), F.col("_part"))).alias("ViTri_clean"),
+        F.when(missing, F.lit(None).cast("string")).otherwise(F.coalesce(coord(4, False), F.col("_part"))).alias("ViTri_clean"),
         F.when(missing, F.lit("Khác")).otherwise(F.coalesce(F.col("_prov"), F.col("_part"))).alias("Tinh_Thanh"),
-        F.coalesce(F.col("_coord.region"), F.lit("Khác")).alias("KhuVuc"),
-        F.col("_coord.lat").alias("Latitude"),
-        F.col("_coord.lon").alias("Longitude"),
+        F.coalesce(coord(1, False), F.lit("Khác")).alias("KhuVuc"),
+        coord(2, True).alias("Latitude"),
+        coord(3, True).alias("Longitude"),
     )

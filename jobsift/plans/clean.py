@@ -56,10 +56,14 @@ def trim_all_text(df: DataFrame) -> DataFrame:
 def with_v2_features(df: DataFrame, as_of_date: str = AS_OF_DATE) -> DataFrame:
     """All v2 per-row columns (before the location explode)."""
     col = F.col
-    df = (df.withColumn("_exp", P.experience_v2(col("YeuCauKinhNghiem")))
-            .withColumn("_sal", P.salary_v2(col("MucLuong"), fixed=True))
-            .withColumn("_size", P.size_v2(col("QuyMoCongTy"))))
-    text_cols = [col(c) for c in ROW_TEXT_COLUMNS if c in df.columns]
+    df = P.parse_experience_v2(df, "YeuCauKinhNghiem", "_exp")
+    df = P.parse_salary_v2(df, "MucLuong", "_sal", fixed=True)
+    df = P.parse_size_v2(df, "QuyMoCongTy", "_size")
+    df = C.add_title_clean_v2(df, "CongViec", "CongViec_clean")
+    df = C.add_headcount(df, "SoLuongTuyen", "CongViec", "SoLuongTuyen_clean")
+    df = C.add_education_v2(df, "HocVan", "YeuCauUngVien", "HocVan_clean")
+    df = C.add_workstyle_v2(df, [c for c in ROW_TEXT_COLUMNS if c in df.columns], "_ws")
+    df = C.add_skills_v2(df, "YeuCauUngVien", {"hard": "Hard_Skills", "soft": "Soft_Skills", "language": "Ngoai_Ngu"})
     df = df.select(
         "*",
         col("_exp.min").alias("Exp_Min_clean"),
@@ -70,30 +74,22 @@ def with_v2_features(df: DataFrame, as_of_date: str = AS_OF_DATE) -> DataFrame:
         col("_size.min").alias("QuyMoMin_clean"),
         col("_size.max").alias("QuyMoMax_clean"),
         title_case(col("CongTy")).alias("CongTy_clean"),
-        C.title_clean_v2(col("CongViec")).alias("CongViec_clean"),
-        C.headcount(col("SoLuongTuyen"), col("CongViec")).alias("SoLuongTuyen_clean"),
-        C.education_v2(col("HocVan"), col("YeuCauUngVien")).alias("HocVan_clean"),
-        C.workstyle_v2(*text_cols).alias("_ws"),
-        C.skills_v2(col("YeuCauUngVien"), "hard").alias("Hard_Skills"),
-        C.skills_v2(col("YeuCauUngVien"), "soft").alias("Soft_Skills"),
-        C.skills_v2(col("YeuCauUngVien"), "language").alias("Ngoai_Ngu"),
         C.industry_macro_v2(col("LinhVuc")).alias("LinhVuc_Web"),
         C.industry_sub_v2(col("CongViec")).alias("LinhVuc_Con"),
         C.job_role_v2(col("CongViec")).alias("ViTri_Tuyen_Clean"),
         deadline_v2(col("HanNopHoSo"), col("NgayCaoDuLieu"), as_of_date).alias("HanNopHoSo_clean"),
     ).drop("_exp", "_sal", "_size")
-    sal_avg = P.salary_avg_v2(col("MucLuongMin_clean"), col("MucLuongMax_clean"))
+    df = C.add_rank_v2(df, "CongViec", "_exp_avg", "CapBac_clean")
+    df = df.withColumn("MucLuongTB_clean", P.salary_avg_v2(col("MucLuongMin_clean"), col("MucLuongMax_clean")))
     return df.select(
         "*",
         P.experience_band_v2(col("_exp_avg")).alias("PhanLoaiKinhNghiem"),
         P.experience_text(col("Exp_Min_clean"), col("Exp_Max_clean")).alias("KinhNghiem_clean"),
-        sal_avg.alias("MucLuongTB_clean"),
-        P.salary_band_v2(sal_avg).alias("KhoangLuong"),
+        P.salary_band_v2(col("MucLuongTB_clean")).alias("KhoangLuong"),
         P.salary_text(col("MucLuongMin_clean"), col("MucLuongMax_clean")).alias("Luong_clean"),
         P.null_skip_mean(col("QuyMoMin_clean"), col("QuyMoMax_clean")).alias("QuyMoTB_clean"),
         P.size_text(col("QuyMoMin_clean"), col("QuyMoMax_clean")).alias("QuyMo_clean"),
         P.size_class_v2(col("QuyMoMax_clean")).alias("LoaiQuyMo_clean"),
-        C.rank_v2(col("CongViec"), col("_exp_avg")).alias("CapBac_clean"),
         col("_ws.employment").alias("HinhThuc_clean"),
         col("_ws.mode").alias("WorkMode_clean"),
     ).drop("_ws", "_exp_avg")
@@ -113,20 +109,20 @@ def clean_v1(df: DataFrame, as_of: str = AS_OF) -> DataFrame:
     """Raw fact rows -> 49-column clean fact (v1 rules)."""
     col = F.col
     company = title_case(py_strip(col("CongTy")))
-    df = (df.withColumn("CongTy", company)
-            .withColumn("_sal", P.salary_v1(col("MucLuong")))
-            .withColumn("_exp", P.experience_v1_coalesced(col("YeuCauKinhNghiem"), col("YeuCauUngVien")))
-            .withColumn("_size", P.size_v1(col("QuyMoCongTy")))
-            .withColumn("_ws", C.workstyle_v1(col("HinhThucLamViec"), col("MoTaCongViec")))
-            .withColumn("_sk", C.skills_v1(col("MoTaCongViec"), col("YeuCauUngVien"))))
+    df = df.withColumn("CongTy", company)
+    df = P.parse_salary_v1(df, "MucLuong", "_sal")
+    df = P.parse_experience_v1_coalesced(df, "YeuCauKinhNghiem", "YeuCauUngVien", "_exp")
+    df = P.parse_size_v1(df, "QuyMoCongTy", "_size")
+    df = C.add_workstyle_v1(df, "HinhThucLamViec", "MoTaCongViec", "_ws")
+    df = C.add_skills_v1(df, "MoTaCongViec", "YeuCauUngVien", "_sk")
+    df = C.add_headcount(df, "SoLuongTuyen", "CongViec", "SoLuongTuyen_clean")
+    df = C.add_title_class_v1(df, "CongViec", "CongViec_clean")
     df = df.select(
         "*",
         col("CongTy").alias("CongTy_clean"),
-        C.title_class_v1(col("CongViec")).alias("CongViec_clean"),
         C.rank_v1(col("CongViec")).alias("CapBac_clean"),
         C.industry_v1(col("LinhVuc")).alias("LinhVuc_clean"),
         C.education_v1(col("HocVan")).alias("HocVan_clean"),
-        C.headcount(col("SoLuongTuyen"), col("CongViec")).alias("SoLuongTuyen_clean"),
         col("_ws.employment").alias("HinhThucLamViec_clean"),
         col("_ws.mode").alias("KieuLamViec_clean"),
         col("_sk.hard").alias("YeuCauKiNangCung_clean"),

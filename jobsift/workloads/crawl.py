@@ -206,3 +206,42 @@ def _crawl_batch(spark, sf_dir):
     front = crawl_frontier(cards, history, cap=100, max_empty=5)
     return front.join(p.select(F.col("page_id").cast("int").alias("_pid"), "html"), F.col("page") == F.col("_pid") + 1) \
         .select("site", "page", "pos", "link", "rank", H.html_to_text(H.tag_text(F.col("html"), "title")).alias("title"))
+
+
+# --- J6: ordered keyword rules over whole documents ----------------------------------
+
+def _rule_doc_sql() -> str:
+    from .. import rules as R
+    return f"SELECT doc_id, {O.first_match('lower(text)', R.JOB_ROLE_V2, 'Khác')} AS label FROM documents"
+
+
+@register("rule_first_match_hof", _rule_doc_sql())
+def _rule_hof(spark, sf_dir):
+    """J6 as a projection: the role rules folded into a CASE chain."""
+    from .. import rules as R
+    from ..functions.text import first_match
+    d = fixtures.table(spark, sf_dir, "documents")
+    return d.select("doc_id", first_match(F.lower(F.col("text")), R.JOB_ROLE_V2, "Khác").alias("label"))
+
+
+@register("rule_first_match_join", _rule_doc_sql())
+def _rule_join(spark, sf_dir):
+    """J6 as a broadcast containment join + min_by(priority)."""
+    from .. import rules as R
+    from ..operators.rules_join import first_match_join, rules_table
+    d = fixtures.table(spark, sf_dir, "documents")
+    return first_match_join(d, "doc_id", "text", rules_table(spark, R.JOB_ROLE_V2), "Khác")
+
+
+def _skills_doc_sql() -> str:
+    from .. import rules as R
+    return f"SELECT doc_id, {O.labels_found('lower(text)', R.SKILLS_V2['hard'], True)} AS skills FROM documents"
+
+
+@register("skills_documents", _skills_doc_sql())
+def _skills_documents(spark, sf_dir):
+    """C30 keyword table over whole documents (word-boundary matches)."""
+    from .. import rules as R
+    from ..functions.text import labels_found
+    d = fixtures.table(spark, sf_dir, "documents")
+    return d.select("doc_id", labels_found(F.lower(F.col("text")), R.SKILLS_V2["hard"]).alias("skills"))

@@ -355,3 +355,15 @@ def _stream_upsert_events(spark, sf_dir):
     run_available(stream, f"{root}/ckpt", latest_by_key_batches(f"{root}/out", "user_id", ["ts", "event_id"]))
     batches = spark.read.parquet(f"{root}/out").drop("_batch_id")
     return latest_per_key(batches, ["user_id"], ["ts", "event_id"]).select(*ev.columns)
+
+
+@register("daily_run")
+def _daily_run(spark, sf_dir):
+    """X8 (rows-only): the whole daily chain on two CSV drops of stg."""
+    from ..plans.daily import daily_run
+    root = _tmp(spark, "daily")
+    stg = fixtures.stg(spark, sf_dir)
+    S.write_csv(stg.filter(F.col("NgayCaoDuLieu") < F.lit(CUTOFF)).select(*STAGING_COLUMNS), f"{root}/drop/a")
+    S.write_csv(stg.filter(F.col("NgayCaoDuLieu") >= F.lit(CUTOFF)).select(*STAGING_COLUMNS), f"{root}/drop/b")
+    _, _, star = daily_run(spark, [f"{root}/drop/a", f"{root}/drop/b"], f"{root}/run")
+    return star
