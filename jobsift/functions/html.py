@@ -91,3 +91,17 @@ def section_minus_heading(text: Column, heading: str) -> Column:
 def prefer_nonempty(card: Column, tab: Column) -> Column:
     """Card value if non-empty, else the tab value."""
     return F.coalesce(F.when(card != "", card), tab)
+
+
+# FIXED VALUES: label prefix removed from scraped deadline texts
+DEADLINE_PREFIX = "Hạn nộp hồ sơ: "
+
+
+def strip_deadline_prefix(text: Column) -> Column:
+    """Drop the "Hạn nộp hồ sơ: " label from a scraped deadline."""
+    return F.replace(text, F.lit(DEADLINE_PREFIX), F.lit(""))
+
+
+def with_crawl_constants(df, source: str, crawl_date: str):
+    """Constant columns of a crawl run (source site, crawl date)."""
+    return df.withColumn("Nguon", F.lit(source)).withColumn("NgayCaoDuLieu", F.lit(crawl_date).cast("date"))

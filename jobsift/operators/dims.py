@@ -44,17 +44,31 @@ def assign_ids(df: DataFrame, order_by: Sequence[str], key: str, start: int = 0,
     return out
 
 
-def dim_fill(dim: DataFrame | None, src: DataFrame, src_col: str, key: str, name: str) -> DataFrame:
+def assign_ids_small(df: DataFrame, order_by: Sequence[str], key: str, start: int = 0,
+                     key_type: str = "int") -> DataFrame:
+    """``assign_ids`` for inputs with a proven small bound (members of a fixed
+    label vocabulary): one ordered window, no range-partition sampling."""
+    w = Window.orderBy(*order_by)
+    return df.withColumn(key, (F.lit(start) + F.row_number().over(w)).cast(key_type))
+
+
+def dim_fill(dim: DataFrame | None, src: DataFrame, src_col: str, key: str, name: str,
+             bounded: bool = False) -> DataFrame:
     """New members of a name dimension: distinct non-NULL ``src_col`` values
-    not yet in ``dim`` (left anti join), keyed after the current maximum."""
+    not yet in ``dim`` (left anti join), keyed after the current maximum.
+
+    ``bounded``: the values come from a fixed label vocabulary (rule
+    tables), so the new members are few and are numbered with a plain
+    window; otherwise the partition-offset numbering is used."""
     new = src.select(F.col(src_col).alias(name)).filter(F.col(name).isNotNull()).distinct()
     if dim is not None:
         new = new.join(dim.select(name), on=name, how="left_anti")
-    return assign_ids(new, [name], key, start=max_key(dim, key)).select(key, name)
+    number = assign_ids_small if bounded else assign_ids
+    return number(new, [name], key, start=max_key(dim, key)).select(key, name)
 
 
 def dim_fill_child(dim: DataFrame | None, src: DataFrame, src_col: str, parent_col: str, parent: DataFrame,
-                   parent_name: str, parent_key: str, key: str, name: str) -> DataFrame:
+                   parent_name: str, parent_key: str, key: str, name: str, bounded: bool = False) -> DataFrame:
     """Child dimension carrying its parent's key (province -> region).
 
     Distinct (name, parent id) pairs, as the source does: a name listed
@@ -65,7 +79,8 @@ def dim_fill_child(dim: DataFrame | None, src: DataFrame, src_col: str, parent_c
              .select(name, parent_key).distinct())
     if dim is not None:
         pairs = pairs.join(dim.select(name), on=name, how="left_anti")
-    return assign_ids(pairs, [name, parent_key], key, start=max_key(dim, key)).select(key, name, parent_key)
+    number = assign_ids_small if bounded else assign_ids
+    return number(pairs, [name, parent_key], key, start=max_key(dim, key)).select(key, name, parent_key)
 
 
 def union_dim(existing: DataFrame | None, new: DataFrame) -> DataFrame:

@@ -48,11 +48,13 @@ def fill_dims(src: DataFrame, dims: dict[str, DataFrame] | None = None) -> dict[
     """D1 + D2 + D3: every dimension after this run (existing + new members)."""
     dims = dict(dims or {})
     out: dict[str, DataFrame] = {}
-    for table, key, name, col, _ in NAME_DIMS:
-        new = dim_fill(dims.get(table), src, col, key, name)
+    for table, key, name, col, bounded in NAME_DIMS:
+        new = dim_fill(dims.get(table), src, col, key, name, bounded=bounded)
         out[table] = union_dim(dims.get(table), new)
     t, key, name, col = PROVINCE_DIM
-    new = dim_fill_child(dims.get(t), src, col, "KhuVuc", out["Dim_KhuVuc"], "TenKhuVuc", "KhuVucID", key, name)
+    # v2 provinces come from the merge table (bounded); v1 may keep raw text, so callers of v1 pass bounded=False
+    new = dim_fill_child(dims.get(t), src, col, "KhuVuc", out["Dim_KhuVuc"], "TenKhuVuc", "KhuVucID", key, name,
+                         bounded=True)
     out[t] = union_dim(dims.get(t), new)
     new_days = calendar_fill(dims.get("Dim_ThoiGian"), src, "NgayCaoDuLieu")
     out["Dim_ThoiGian"] = union_dim(dims.get("Dim_ThoiGian"), new_days)

@@ -23,23 +23,21 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, columns=None, infer: bool = False,
-             corrupt_column: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns=None, infer: bool = False) -> DataFrame:
     """Header CSV with quoted multi-line fields; a UTF-8 BOM on the
-    header is tolerated.  ``columns`` fixes an all-text schema; files that
-    lack some columns get NULLs.  Unreadable files are skipped
-    (``ignoreCorruptFiles``), malformed rows go to ``corrupt_column``."""
+    header is tolerated; unreadable files are skipped (``ignoreCorruptFiles``)
+    and an empty file contributes no rows.  Without ``infer`` every value is
+    text (the reader never guesses types).  ``columns`` aligns by *name*:
+    wanted columns a file lacks become NULL, extra ones are dropped."""
     r = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
          .option("encoding", "UTF-8").option("ignoreCorruptFiles", True))
-    if columns is not None:
-        schema = text_schema(columns)
-        if corrupt_column:
-            schema = schema.add(T.StructField(corrupt_column, T.StringType()))
-            r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
-        r = r.schema(schema).option("enforceSchema", False)
-    elif infer:
+    if infer:
         r = r.option("inferSchema", True)
-    return r.csv(path)
+    df = r.csv(path)
+    if columns is None:
+        return df
+    have = set(df.columns)
+    return df.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
