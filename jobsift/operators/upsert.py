@@ -82,3 +82,53 @@ def action_counts(merged: DataFrame) -> DataFrame:
 
 def resolve_columns(df: DataFrame, prefix: str) -> list[Column]:
     return [F.col(f"{prefix}{c}") for c in df.columns]
+
+
+BUCKET = "_bucket"
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Hash bucket of the key (stable across runs and engines' partitions)."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def merge_into_bucketed(spark, path: str, source: DataFrame, keys: Sequence[str], buckets: int,
+                        update: Mapping[str, Column | str] | None = None,
+                        insert: Mapping[str, Column | str] | None = None,
+                        empty_target: DataFrame | None = None) -> dict[str, int]:
+    """MERGE a batch into a parquet table partitioned by key bucket.
+
+    Only the buckets the batch touches are read (partition pruning on a
+    bucket list bounded by ``buckets``) and only those partitions are
+    replaced (dynamic partition overwrite); the rest of the table is not
+    rewritten.  Returns the action counts (from ``observe`` on the write).
+    """
+    import os
+
+    from pyspark.sql import Observation
+
+    src = with_bucket(source, keys, buckets)
+    touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # <= buckets values
+    if os.path.isdir(path):
+        target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+    else:
+        if empty_target is None:
+            raise ValueError("empty_target schema is needed for the first run")
+        target = with_bucket(empty_target, keys, buckets)
+    tcols = [c for c in target.columns if c != BUCKET]
+    upd = dict(update) if update is not None else None
+    ins = dict(insert) if insert is not None else None
+    merged = merge(target.select(*tcols, BUCKET), src, keys,
+                   update=None if upd is None else {**upd, BUCKET: BUCKET},
+                   insert=None if ins is None else {**ins, BUCKET: BUCKET})
+    # the merged buckets are written to a side table first: the final write
+    # replaces partitions that the merge plan reads from
+    tmp = path.rstrip("/") + f"._merge_{abs(hash(tuple(touched))) % 10**8}"
+    obs = Observation("bucketed_merge")
+    (merged.observe(obs, F.count_if(F.col(ACTION) == "INSERT").alias("inserted"),
+                    F.count_if(F.col(ACTION) == "UPDATE").alias("updated"))
+           .drop(ACTION).write.mode("overwrite").partitionBy(BUCKET).parquet(tmp))
+    counts = {k: int(v) for k, v in obs.get.items()}
+    (spark.read.parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy(BUCKET).parquet(path))
+    return counts

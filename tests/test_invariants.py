@@ -71,3 +71,30 @@ def test_frontier_rules(spark, sf):
     assert f.groupBy("site", "link").count().filter("count > 1").count() == 0
     per_site = {r["site"]: r["n"] for r in f.groupBy("site").agg(F.max("rank").alias("n")).collect()}
     assert all(n <= 100 for n in per_site.values())
+
+
+def test_bucketed_merge_rewrites_only_touched_buckets(spark, sf, tmp_path):
+    import os
+    from jobsift.operators.upsert import BUCKET, merge_into_bucketed
+    from jobsift.workloads.warehouse import STAGING, empty_raw_fact, staging_source
+    path = str(tmp_path / "fact")
+    stg = fixtures.stg(spark, sf)
+    now = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    upd = {c: c for c in STAGING if c != "LinkBaiTuyenDung"}
+    upd.update({"JobHash": "CalculatedHash", "NgayThemVaoHeThong": now})
+    ins = {c: c for c in STAGING}
+    ins.update({"JobHash": "CalculatedHash", "NgayThemVaoHeThong": now})
+    src = staging_source(stg)
+    c1 = merge_into_bucketed(spark, path, src, ["LinkBaiTuyenDung"], 16, upd, ins, empty_raw_fact(spark))
+    n_links = stg.select("LinkBaiTuyenDung").distinct().count()
+    assert c1 == {"inserted": n_links, "updated": 0}
+    # a second batch with a handful of links touches only their buckets
+    small = src.orderBy("LinkBaiTuyenDung").limit(3)
+    touched = {r[0] for r in small.select(F.pmod(F.xxhash64("LinkBaiTuyenDung"), F.lit(16))).collect()}
+    before = {d: os.listdir(os.path.join(path, d)) for d in os.listdir(path) if d.startswith(BUCKET)}
+    c2 = merge_into_bucketed(spark, path, small, ["LinkBaiTuyenDung"], 16, upd, ins)
+    assert c2 == {"inserted": 0, "updated": 3}
+    after = {d: os.listdir(os.path.join(path, d)) for d in os.listdir(path) if d.startswith(BUCKET)}
+    changed = {int(d.split("=")[1]) for d in after if after[d] != before.get(d)}
+    assert changed == touched
+    assert spark.read.parquet(path).count() == n_links

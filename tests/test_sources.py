@@ -56,3 +56,15 @@ def test_schemas_create_if_missing(spark):
     df = schemas.create_if_missing(spark, d, schemas.DIMENSIONS["Dim_CongTy"])
     assert df.count() == 0 and df.columns == ["CongTyID", "TenCongTy"]
     assert len(schemas.RAW_CSV_22.fields) == 22 and len(schemas.STAGING.fields) == 18
+
+
+def test_bucketed_staging_job(spark, sf):
+    from jobsift import fixtures
+    from jobsift.plans.staging import bucketed_staging_merge_job
+    root = tempfile.mkdtemp(prefix="jobsift-bjob-")
+    stg_path = os.path.join(root, "stg")
+    fixtures.stg(spark, sf).write.parquet(stg_path)
+    log = bucketed_staging_merge_job(spark, stg_path, os.path.join(root, "fact"), os.path.join(root, "log"),
+                                     buckets=8, as_of="2025-01-01 00:00:00").first()
+    assert log["Status"] == "Success" and log["NewJobsInserted"] > 0
+    assert spark.read.parquet(os.path.join(root, "fact")).count() == log["NewJobsInserted"]
