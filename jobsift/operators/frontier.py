@@ -5,8 +5,8 @@ history and (optionally) not seen earlier in the run.  Scanning stops after
 ``max_empty`` consecutive pages without a new link, and at most ``cap`` new
 links are taken.
 
-No window spans a whole site's cards: first occurrences use (site, link)
-partitions, page totals are a hash aggregate, the stop page and the running
+No window spans a whole site's cards: first occurrences are a (site,
+link) aggregate joined back, page totals are a hash aggregate, the stop page and the running
 totals are windows over that per-page table (one row per page), and the
 rank inside a page uses (site, page) partitions.
 """
@@ -22,8 +22,12 @@ def mark_new(listing: DataFrame, history: DataFrame, dedupe_within_run: bool = T
     cards = listing.join(seen, ["site", "link"], "left")
     is_new = F.col("_seen").isNull()
     if dedupe_within_run:
-        first = F.min(F.struct("page", "pos")).over(Window.partitionBy("site", "link"))
-        is_new = is_new & (F.struct("page", "pos") == first)
+        # first occurrence per link as an aggregate (combined map-side, so a
+        # link repeated on many pages is not gathered into one task)
+        first = listing.groupBy("site", "link").agg(F.min(F.struct("page", "pos")).alias("_first"))
+        cards = cards.join(first, ["site", "link"], "left")
+        is_new = is_new & (F.struct("page", "pos") == F.col("_first"))
+        return cards.withColumn("is_new", is_new).drop("_seen", "_first")
     return cards.withColumn("is_new", is_new).drop("_seen")
 
 

@@ -7,7 +7,7 @@ inside an array lambda).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules as R
@@ -41,8 +41,8 @@ def geo_explode_v2(df: DataFrame, location: str = "ViTri", link: str = "LinkBaiT
     Parts are split on ``[;|,]`` and kept only if they contain a province
     key.  Repeated provinces inside one posting are removed inside the row
     (no shuffle).  When the same link may occur in several input rows
-    (``links_unique=False``) the first row by ``order_col`` wins, which
-    needs one shuffle on (link, province).
+    (``links_unique=False``) the first row by ``order_col`` wins: a
+    ``min_by`` aggregate on (link, province), combined map-side.
     """
     parts = (f"filter(transform(split(coalesce(`{location}`, 'None'), '[;|,]'), p -> {_strip_sql('p')}), "
              f"p -> p != '')")
@@ -64,8 +64,8 @@ def geo_explode_v2(df: DataFrame, location: str = "ViTri", link: str = "LinkBaiT
     if not links_unique:
         if order_col is None:
             raise ValueError("order_col is required when links are not unique")
-        w = Window.partitionBy(link, "Tinh_Thanh").orderBy(F.col(order_col).asc(), F.col("_pos").asc())
-        out = out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        from .dedupe import first_per_key
+        out = first_per_key(out, [link, "Tinh_Thanh"], [order_col, "_pos"])
     return out.drop("_pos")
 
 
