@@ -173,7 +173,7 @@ def add_headcount(df: DataFrame, quantity: str, title: str, out: str) -> DataFra
         t, F.lower(F.coalesce(F.col(title), F.lit(""))))
     vals = [f"__{out}_v{i}" for i in range(len(R.HEADCOUNT_TITLE_PATTERNS))]
     df = df.select("*", F.array_max(F.filter(
-        F.transform(F.regexp_extract_all(F.col(raw), F.lit(r"(\d+)"), 1), lambda x: x.try_cast("decimal(38,0)")),
+        F.regexp_extract_all(F.col(raw), F.lit(r"(\d+)"), 1).try_cast("array<decimal(38,0)>"),
         lambda x: x < 1000)).alias(cn),
         *[F.regexp_extract(F.col(t), pat, 1).try_cast("decimal(38,0)").alias(v)
           for pat, v in zip(R.HEADCOUNT_TITLE_PATTERNS, vals)])
