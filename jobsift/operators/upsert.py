@@ -23,12 +23,16 @@ class DuplicateSourceKey(RuntimeError):
 def check_unique_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a target row would be matched by several source rows.
 
-    Runs one aggregate over the source keys (map-side combined) and a
-    semi join against the target keys; only an offending key is collected.
+    First one aggregate over the batch's keys (map-side combined); the
+    target is consulted only when the batch does hold duplicate keys (the
+    usual batch is already one row per key), and then only for those keys
+    through a semi join.  At most one offending key reaches the driver.
     """
     nn = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
     dups = source.filter(nn).groupBy(*keys).count().filter("count > 1").drop("count")
-    hit = dups.join(target.select(*keys), on=list(keys), how="left_semi").limit(1).collect()
+    if dups.isEmpty():
+        return
+    hit = target.select(*keys).join(dups, on=list(keys), how="left_semi").limit(1).collect()
     if hit:
         raise DuplicateSourceKey(f"source rows share key {hit[0].asDict()} that matches a target row")
 
