@@ -99,13 +99,15 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
 def merge_into_bucketed(spark, path: str, source: DataFrame, keys: Sequence[str], buckets: int,
                         update: Mapping[str, Column | str] | None = None,
                         insert: Mapping[str, Column | str] | None = None,
-                        empty_target: DataFrame | None = None) -> dict[str, int]:
+                        empty_target: DataFrame | None = None, finalize=None) -> dict[str, int]:
     """MERGE a batch into a parquet table partitioned by key bucket.
 
     Only the buckets the batch touches are read (partition pruning on a
     bucket list bounded by ``buckets``) and only those partitions are
     replaced (dynamic partition overwrite); the rest of the table is not
-    rewritten.  Returns the action counts (from ``observe`` on the write).
+    rewritten.  ``finalize`` may transform the merged rows (with their
+    ``MergeAction``) before the write, e.g. to number inserted rows.
+    Returns the action counts (from ``observe`` on the write).
     """
     import os
 
@@ -125,6 +127,8 @@ def merge_into_bucketed(spark, path: str, source: DataFrame, keys: Sequence[str]
     merged = merge(target.select(*tcols, BUCKET), src, keys,
                    update=None if upd is None else {**upd, BUCKET: BUCKET},
                    insert=None if ins is None else {**ins, BUCKET: BUCKET})
+    if finalize is not None:
+        merged = finalize(merged)
     # the merged buckets are written to a side table first: the final write
     # replaces partitions that the merge plan reads from
     tmp = path.rstrip("/") + f"._merge_{abs(hash(tuple(touched))) % 10**8}"

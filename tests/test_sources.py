@@ -68,3 +68,22 @@ def test_bucketed_staging_job(spark, sf):
                                      buckets=8, as_of="2025-01-01 00:00:00").first()
     assert log["Status"] == "Success" and log["NewJobsInserted"] > 0
     assert spark.read.parquet(os.path.join(root, "fact")).count() == log["NewJobsInserted"]
+
+
+def test_star_load_job_bucketed(spark, sf):
+    from jobsift.plans.clean import clean_v2
+    from jobsift.plans.star import star_load_job
+    from jobsift.workloads.postings import raw_fact
+    root = tempfile.mkdtemp(prefix="jobsift-star-")
+    clean_path = os.path.join(root, "clean")
+    clean_v2(raw_fact(spark, sf)).write.parquet(clean_path)
+    n = spark.read.parquet(clean_path).count()
+    c1 = star_load_job(spark, clean_path, os.path.join(root, "dw"), buckets=8)
+    assert c1 == {"inserted": n, "updated": 0}
+    c2 = star_load_job(spark, clean_path, os.path.join(root, "dw"), buckets=8)
+    assert c2 == {"inserted": 0, "updated": n}
+    fact = spark.read.parquet(os.path.join(root, "dw", "fact"))
+    ids = sorted(r[0] for r in fact.select("FactID").collect())
+    assert ids == list(range(1, n + 1))
+    dim = spark.read.parquet(os.path.join(root, "dw", "dims", "Dim_CongTy", "v=2"))
+    assert dim.count() == dim.select("TenCongTy").distinct().count()
