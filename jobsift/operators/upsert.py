@@ -109,13 +109,13 @@ def merge_into_bucketed(spark, path: str, source: DataFrame, keys: Sequence[str]
     ``MergeAction``) before the write, e.g. to number inserted rows.
     Returns the action counts (from ``observe`` on the write).
     """
-    import os
-
     from pyspark.sql import Observation
 
+    from ..session import path_exists
+
     src = with_bucket(source, keys, buckets)
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # <= buckets values
-    if os.path.isdir(path):
+    if path_exists(spark, path):
         target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
     else:
         if empty_target is None:

@@ -153,34 +153,28 @@ def star_load_job(spark: SparkSession, clean_path: str, root: str, buckets: int
     New facts get FactIDs after the table's current maximum, in JobHash
     order.
     """
-    import os
-
-    from ..operators.upsert import BUCKET, merge_into_bucketed
+    from ..operators.upsert import merge_into_bucketed
+    from ..session import path_exists
     from .staging import read_current, write_version
 
+    def dim_path(t: str) -> str:
+        return f"{root.rstrip('/')}/dims/{t}"
+
     src = v2_to_star(spark.read.parquet(clean_path))
-    existing = {}
-    versions = {}
-    for table, *_ in NAME_DIMS:
-        df, v = read_current(spark, os.path.join(root, "dims", table), None) if os.path.isdir(
-            os.path.join(root, "dims", table)) else (None, 0)
-        if df is not None:
-            existing[table] = df
-        versions[table] = v
-    for table in ("Dim_TinhThanh", "Dim_ThoiGian"):
-        path = os.path.join(root, "dims", table)
-        df, v = read_current(spark, path, None) if os.path.isdir(path) else (None, 0)
+    existing, versions = {}, {}
+    for table in [t for t, *_ in NAME_DIMS] + ["Dim_TinhThanh", "Dim_ThoiGian"]:
+        df, v = read_current(spark, dim_path(table), None)
         if df is not None:
             existing[table] = df
         versions[table] = v
     dims = fill_dims(src, existing)
     for table, df in dims.items():
-        write_version(df, os.path.join(root, "dims", table), versions[table] + 1)
-    dims = {t: read_current(spark, os.path.join(root, "dims", t), None)[0] for t in dims}
+        write_version(df, dim_path(table), versions[table] + 1)
+    dims = {t: read_current(spark, dim_path(t), None)[0] for t in dims}
 
-    fact_path = os.path.join(root, "fact")
+    fact_path = f"{root.rstrip('/')}/fact"
     start = 0
-    if os.path.isdir(fact_path):
+    if path_exists(spark, fact_path):
         start = int(spark.read.parquet(fact_path).agg(F.max("FactID")).first()[0] or 0)
     now = F.lit(as_of).cast("timestamp_ntz")
     upd = {c: c for c in ("DateKey", *FK_COLUMNS, "SoLuongTuyen")}

@@ -3,8 +3,6 @@ write, and create-if-missing for parquet table folders."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -52,6 +50,7 @@ def run_log() -> T.StructType:
 
 def create_if_missing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Create an empty parquet table folder when absent; return the table."""
-    if not os.path.exists(os.path.join(path, "_SUCCESS")) and not os.path.isdir(path):
+    from .session import path_exists
+    if not path_exists(spark, path):
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
     return spark.read.schema(schema).parquet(path)
