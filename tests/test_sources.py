@@ -87,3 +87,21 @@ def test_star_load_job_bucketed(spark, sf):
     assert ids == list(range(1, n + 1))
     dim = spark.read.parquet(os.path.join(root, "dw", "dims", "Dim_CongTy", "v=2"))
     assert dim.count() == dim.select("TenCongTy").distinct().count()
+
+
+def test_stream_ingest_exactly_once_and_archive(spark):
+    from jobsift.streaming.ingest import append_batches, csv_drop_stream, run_available
+    root = tempfile.mkdtemp(prefix="jobsift-stream-")
+    drop, arch, ck, out = (os.path.join(root, x) for x in ("drop", "archive", "ckpt", "out"))
+    os.makedirs(drop)
+    for name, rows in (("day1.csv", 3), ("day2.csv", 2)):
+        if name == "day2.csv":
+            run_available(csv_drop_stream(spark, drop, ("CongViec",), arch), ck, append_batches(out))
+        with open(os.path.join(drop, name), "w", encoding="utf-8-sig") as f:
+            f.write("CongViec\n" + "".join(f"job {name} {i}\n" for i in range(rows)))
+    run_available(csv_drop_stream(spark, drop, ("CongViec",), arch), ck, append_batches(out))
+    run_available(csv_drop_stream(spark, drop, ("CongViec",), arch), ck, append_batches(out))
+    got = spark.read.parquet(out)
+    assert got.count() == 5 and got.select("CongViec").distinct().count() == 5
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
+    assert len(archived) >= 1
