@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_bytes, id_text, stored, window_sums
+from .common import flat_bytes, id_text, rebatched, stored, window_sums
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 8
@@ -72,7 +72,7 @@ def repeated_words(words: list[bytes], width: int = REPEAT_WINDOW) -> int:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in rebatched(batches, 4 << 20):
         names = [batch.schema.names[0], *FEATURES]  # what stands before the text is handed on
         flat, offsets = flat_bytes(batch.column("text"))
         counts = {}
