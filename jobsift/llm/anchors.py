@@ -41,7 +41,7 @@ from .flat_words import MULTIPLIERS, hashes, spans, window_hashes
 #: A perfect difference set, every residue modulo 13 is a difference of two of these.
 PERIOD = 13
 COVER = (0, 1, 3, 9)
-BATCH = 6 << 20
+BATCH = 2 << 20
 
 KEYS = ("doc_id", "text_key")
 PLACES = "doc_id long, text_key long, places binary"

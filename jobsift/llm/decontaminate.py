@@ -199,7 +199,7 @@ def passages(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None =
     for items in _blocks(benchmark, item_col, item_text_col, block_chars):
         def run(batches: Iterator[pa.RecordBatch], items: list = items) -> Iterator[pa.RecordBatch]:
             index = Index(items, q, error_rate)
-            for batch in rebatched(batches, 4 << 20):
+            for batch in rebatched(batches, 2 << 20):
                 found = list(index.passages(batch.column("text").to_pylist()))
                 if found:
                     rows = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
@@ -220,7 +220,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
 
         def run(batches: Iterator[pa.RecordBatch], items: list = items) -> Iterator[pa.RecordBatch]:
             index = Index(items, q, error_rate)
-            for batch in rebatched(batches, 4 << 20):
+            for batch in rebatched(batches, 2 << 20):
                 hit = {x[0] for x in index.passages(batch.column("text").to_pylist())}
                 keep = pa.array([i for i in range(batch.num_rows) if i not in hit], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc").take(keep)], ["doc"])

@@ -19,7 +19,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _powers_of(multiplier: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """multiplier ** i and its inverse, for i below n at least."""
     if multiplier not in _powers or len(_powers[multiplier][0]) < n:
-        size = max(n, 1 << 22)
+        size = max(n, 1 << 21)
         with np.errstate(over="ignore"):
             _powers[multiplier] = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, m, np.uint64)]), dtype=np.uint64) for m in (multiplier, pow(multiplier, -1, _M64)))
     return _powers[multiplier]
