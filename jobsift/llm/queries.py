@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, decontaminate, quality_rules, simhash
+from . import anchors, decontaminate, frames, packing, quality_rules, simhash
 from .common import documents
+from .tokens import tokenizer_path
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,15 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.passages(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op9_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = frames.write(documents(spark, sf_dir), frames.shared_folder(spark, "frames"), tokenizer_path("word_bpe_49k.json"))
+    return frames.read(spark, manifest)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.remove_repeats(documents(spark, sf_dir))
 
@@ -31,6 +41,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
+    "op6_packing": op6_packing,
+    "op9_frames": op9_frames,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE: dict[str, str] = {}
