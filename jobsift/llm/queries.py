@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, decontaminate, frames, packing, quality_rules, simhash
+from . import anchors, decontaminate, frames, licences, packing, quality_rules, simhash
 from .common import documents
 from .tokens import tokenizer_path
 
@@ -28,6 +28,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir))
+
+
 def op9_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = frames.write(documents(spark, sf_dir), frames.shared_folder(spark, "frames"), tokenizer_path("word_bpe_49k.json"))
     return frames.read(spark, manifest)
@@ -42,7 +46,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
+    "op8_licences": op8_licences,
     "op9_frames": op9_frames,
     "op10_substring_dedup": op10_substring_dedup,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_licences": licences.oracle(),
+}
