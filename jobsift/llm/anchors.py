@@ -27,7 +27,8 @@ null id comes before all others; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 from hashlib import sha256
 
 import numpy as np
@@ -41,10 +42,11 @@ from .flat_words import MULTIPLIERS, hashes, spans, window_hashes
 #: A perfect difference set, every residue modulo 13 is a difference of two of these.
 PERIOD = 13
 COVER = (0, 1, 3, 9)
-BATCH = 2 << 20
+BATCH = 1 << 20
 
 KEYS = ("doc_id", "text_key")
 PLACES = "doc_id long, text_key long, places binary"
+SENT = "part int, doc_ids binary, text_keys binary, places binary"
 BLOCK = "part int, repeated boolean, h1 binary, h2 binary, doc_ids binary, text_keys binary, places binary"
 
 
@@ -59,6 +61,28 @@ def _runs(ids: np.ndarray, keys: np.ndarray, places: np.ndarray) -> Iterator[pa.
     yield pa.RecordBatch.from_arrays([pa.array(ids[starts]), pa.array(keys[starts]), pa.array(cut, pa.binary())], ["doc_id", "text_key", "places"])
 
 
+def _sent(parts: int, ids: np.ndarray, keys: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Places on their way to their documents: a row for each range of documents."""
+    if not len(ids):
+        return
+    with np.errstate(over="ignore"):
+        mixed = (ids.view(np.uint64) ^ keys.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    part = ((mixed >> np.uint64(33)) * np.uint64(parts) >> np.uint64(31)).astype(np.int32)
+    order = np.lexsort((places, keys, ids, part))
+    cuts = np.flatnonzero(np.diff(part[order])) + 1
+    columns = [np.split(x[order], cuts) for x in (ids, keys, places.astype(np.uint32))]
+    yield pa.RecordBatch.from_arrays([pa.array(part[order][np.append(0, cuts)]), *(pa.array([x.tobytes() for x in c], pa.binary()) for c in columns)], ["part", "doc_ids", "text_keys", "places"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document of a range, with all its places."""
+    got: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]]
+    for batch in batches:
+        for into, c in zip(got, ("doc_ids", "text_keys", "places"), strict=True):
+            into += [np.frombuffer(x, into[0].dtype) for x in batch.column(c).to_pylist()]
+    yield from _runs(*(np.concatenate(x) for x in got))
+
+
 def _blocks(parts: int, h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, keys: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of ``BLOCK``: the first place of each hash, by hash range, and
     whether it is the only one; then the other places, which need no partner
@@ -95,9 +119,9 @@ def _apart(order: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], (h1[order[1:]] != h1[order[:-1]]) | (h2[order[1:]] != h2[order[:-1]])])
 
 
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeats(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places whose hash is found twice or more."""
-    h1, h2, ids, keys, places, flags = _joined(batches)
+    h1, _, ids, keys, places, flags = _joined(batches)
     if not len(h1):
         return
     order = np.argsort(h1, kind="stable")
@@ -105,31 +129,32 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     many = np.zeros(len(h1), bool)
     many[order] = ~(new & np.append(new[1:], True))
     many |= flags
-    yield from _runs(ids[many], keys[many], places[many])
+    yield from _sent(parts, ids[many], keys[many], places[many])
 
 
-def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _later(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places whose hash is found earlier too."""
     h1, h2, ids, keys, places, _ = _joined(batches)
     if not len(h1):
         return
     order = np.lexsort((places, keys, ids, h2, h1))
     late = order[~_apart(order, h1, h2)]
-    yield from _runs(ids[late], keys[late], places[late])
+    yield from _sent(parts, ids[late], keys[late], places[late])
 
 
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _settled(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         _, _, ids, keys, places, _ = _joined(iter([batch]))
-        yield from _runs(ids, keys, places)
+        yield from _sent(parts, ids, keys, places)
 
 
-def _gathered(blocks: DataFrame, step) -> DataFrame:  # noqa: ANN001
+def _gathered(blocks: DataFrame, step: Callable) -> DataFrame:
     """``(doc_id, text_key, places)`` of what ``step`` finds among each hash
     range, and of the places that were settled before; one row a document."""
     parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = blocks.where("part >= 0").repartition(parts, "part").mapInArrow(step, PLACES).unionByName(blocks.where("part < 0").mapInArrow(_settled, PLACES))
-    return blocks.groupBy(*KEYS).agg(F.collect_list("places").alias("places"))
+    found = blocks.where("part >= 0").repartition(parts, "part").mapInArrow(partial(step, parts), SENT)
+    settled = blocks.where("part < 0").mapInArrow(partial(_settled, parts), SENT)
+    return found.unionByName(settled).repartition(parts, "part").mapInArrow(_met, PLACES)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -161,8 +186,8 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             flat, _, starts, ends, counts = spans(batch.column("text"))
             base = np.cumsum(counts) - counts
             wanted = np.zeros(len(starts) + 1, bool)
-            for i, lists in enumerate(batch.column("places").to_pylist()):
-                anchors_at = np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in lists]).astype(np.int64))
+            for i, at in enumerate(batch.column("places").to_pylist()):
+                anchors_at = np.frombuffer(at, np.uint32).astype(np.int64)
                 near = (anchors_at[:, None] - np.arange(PERIOD)).reshape(-1)
                 wanted[base[i] + near[(near >= 0) & (near + window <= counts[i])]] = True
             at = np.flatnonzero(wanted)
@@ -192,9 +217,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def less(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rebatched(batches, BATCH):
             out = []
-            for text, lists in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("places").to_pylist(), strict=True):
+            for text, at in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("places").to_pylist(), strict=True):
                 words = text.split()
-                gone = covered(np.concatenate([np.frombuffer(x, np.uint32) for x in lists]).astype(np.int64), window, len(words))
+                gone = covered(np.frombuffer(at, np.uint32).astype(np.int64), window, len(words))
                 kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
                 out.append((int(gone.sum()), sha256(kept).hexdigest(), kept.decode()))
             removed, digests, texts = zip(*out, strict=True) if out else ((), (), ())
