@@ -1,15 +1,18 @@
-"""The corpus pipeline over ``documents``: quality rules first; later stages follow.
+"""The corpus pipeline over ``documents``.
 
-Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; the driver
-writes it as Parquet and rereads it as the next one's ``docs``.
+Quality rules, line dedup, SimHash near-dedup, benchmark decontamination,
+packing.  Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame;
+the driver writes it as Parquet and rereads it as the next one's ``docs``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobsift.llm import quality_rules
+from jobsift.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from jobsift.llm.common import documents, stored
+from jobsift.llm.tokens import tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +20,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that are found earlier; n_chars follows the text.
+    A document of which no line is left stays, with an empty text."""
+    out = line_dedup.remove_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long"))
 
-#: No stage's method can be said in SQL; tests hold run() against brute force.
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group."""
+    return simhash.keep_first(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the windows."""
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedup", near_duplicates), ("benchmark decontamination", benchmark), ("packing", packed)]
+
+#: Estimation, hashes and tokens cannot be said in SQL; tests hold run() against brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, decontaminate, frames, licences, packing, quality_rules, simhash
+from . import anchors, decontaminate, frames, licences, line_dedup, packing, quality_rules, simhash
 from .common import documents
 from .tokens import tokenizer_path
 
@@ -28,6 +28,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(documents(spark, sf_dir))
+
+
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
+    "op7_line_dedup": op7_line_dedup,
     "op8_licences": op8_licences,
     "op9_frames": op9_frames,
     "op10_substring_dedup": op10_substring_dedup,
