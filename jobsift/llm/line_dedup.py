@@ -61,6 +61,18 @@ def edits_within(a: str, b: str, most: int) -> Column:
     return F.expr(f"abs(length({a}) - length({b})) <= {most} AND CASE WHEN length({b}) = 0 THEN true ELSE aggregate(sequence(0, greatest(length({b}) - 1, 0)), {begin}, {merge}, {end}) END")
 
 
+def finer_segments_met(a: str, b: str, most: int, parts: int = 8) -> Column:
+    """Whether at least ``parts - most`` of ``parts`` equal segments of ``a``
+    stand in ``b`` at most ``most`` places away: true of every pair within
+    ``most`` edits, as an edit spoils one segment and moves the rest by one."""
+    met = []
+    for i in range(parts):
+        first, end = f"(({i} * length({a})) div {parts})", f"(({i + 1} * length({a})) div {parts})"
+        same = [f"({first} + {shift} >= 0 AND substring({b}, CAST({first} + {shift + 1} AS INT), CAST({end} - {first} AS INT)) = substring({a}, CAST({first} + 1 AS INT), CAST({end} - {first} AS INT)))" for shift in range(-most, most + 1)]
+        met.append(f"IF({' OR '.join(same)}, 1, 0)")
+    return F.expr(f"({' + '.join(met)}) >= {parts - most}")
+
+
 def segment_keys(line: str, most: int) -> Column:
     """Array of (key, indexed) of a line: its own segments, and the substrings
     with which it probes the indexes of its own and smaller lengths."""
@@ -109,7 +121,11 @@ def links(docs: DataFrame, max_edits: int, min_chars: int, id_col: str = "doc_id
     held = stored(shared.join(texts, "at"), "line-texts")
     a = held.where("indexed").select("key", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("at").alias("a_at"), F.col("line").alias("a_line"))
     b = held.select("key", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("at").alias("b_at"), F.col("line").alias("b_line"))
-    found = a.join(b, (a["key"] == b["key"]) & F.expr("NOT (a1 = b1 AND a2 = b2)") & edits_within("a_line", "b_line", max_edits)).select("a1", "a2", "a_at", "b1", "b2", "b_at")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = F.expr("NOT (a1 = b1 AND a2 = b2)") & finer_segments_met("a_line", "b_line", max_edits)
+    near = near & edits_within("a_line", "b_line", max_edits)
+    found = a.repartition(parts, "key").join(b.repartition(parts, "key"), (a["key"] == b["key"]) & near).select("a1", "a2", "a_at", "b1", "b2", "b_at")
+    found = stored(found.distinct(), "line-links")
     both = found.union(found.select("b1", "b2", "b_at", "a1", "a2", "a_at")).distinct()
     return classes.select("h1", "h2", "at"), both
 

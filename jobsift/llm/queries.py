@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import anchors, decontaminate, frames, licences, line_dedup, packing, quality_rules, simhash
+from . import anchors, decontaminate, frames, licences, line_dedup, packing, quality_rules, simhash, suffix_sort, suffix_tree_lm
 from .common import documents
 from .tokens import tokenizer_path
 
@@ -20,6 +20,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_lm.score(documents(spark, sf_dir))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_sort.remove_repeats(documents(spark, sf_dir))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.passages(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -47,7 +55,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_suffix_tree_lm": op2_suffix_tree_lm,
     "op3_simhash": op3_simhash,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_line_dedup": op7_line_dedup,
