@@ -61,16 +61,30 @@ def edits_within(a: str, b: str, most: int) -> Column:
     return F.expr(f"abs(length({a}) - length({b})) <= {most} AND CASE WHEN length({b}) = 0 THEN true ELSE aggregate(sequence(0, greatest(length({b}) - 1, 0)), {begin}, {merge}, {end}) END")
 
 
-def finer_segments_met(a: str, b: str, most: int, parts: int = 8) -> Column:
-    """Whether at least ``parts - most`` of ``parts`` equal segments of ``a``
-    stand in ``b`` at most ``most`` places away: true of every pair within
-    ``most`` edits, as an edit spoils one segment and moves the rest by one."""
-    met = []
-    for i in range(parts):
-        first, end = f"(({i} * length({a})) div {parts})", f"(({i + 1} * length({a})) div {parts})"
-        same = [f"({first} + {shift} >= 0 AND substring({b}, CAST({first} + {shift + 1} AS INT), CAST({end} - {first} AS INT)) = substring({a}, CAST({first} + 1 AS INT), CAST({end} - {first} AS INT)))" for shift in range(-most, most + 1)]
-        met.append(f"IF({' OR '.join(same)}, 1, 0)")
-    return F.expr(f"({' + '.join(met)}) >= {parts - most}")
+FINER = 16
+
+
+def _finer(line: str, less: int, shift: int) -> str:
+    """Hashes of the FINER segments of a text ``less`` characters shorter, cut out of ``line`` at ``shift``."""
+    n = f"(length({line}) - {less})"
+    cuts = [f"xxhash64(substring({line}, CAST((({i} * {n}) div {FINER}) + {shift + 1} AS INT), CAST((({i + 1} * {n}) div {FINER}) - (({i} * {n}) div {FINER}) AS INT)), (({i} * {n}) div {FINER}) + {shift} < 0)" for i in range(FINER)]
+    return f"array({', '.join(cuts)})"
+
+
+def _shifts(most: int) -> list[tuple[int, int]]:
+    """(length difference, places that a segment may have moved)."""
+    return [(less, shift) for less in range(most + 1) for shift in range(-((most - less) // 2), less + (most - less) // 2 + 1)]
+
+
+def finer_segments_met(most: int) -> str:
+    """Condition on ``a_own`` and the ``b_...`` hashes: all but ``most`` of the
+    shorter text's FINER segments stand in the longer one where they can.  It is
+    true of every pair within ``most`` edits, as an edit spoils one segment."""
+    cases = []
+    for less in range(most + 1):
+        met = [f"IF({' OR '.join(f'get(a_own, {i}) = get(b_{d}_{k}, {i})' for k, (d, _) in enumerate(_shifts(most)) if d == less)}, 1, 0)" for i in range(FINER)]
+        cases.append(f"WHEN {less} THEN ({' + '.join(met)}) >= {FINER - most}")
+    return f"CASE length(b_line) - length(a_line) {' '.join(cases)} ELSE false END"
 
 
 def segment_keys(line: str, most: int) -> Column:
@@ -119,10 +133,10 @@ def links(docs: DataFrame, max_edits: int, min_chars: int, id_col: str = "doc_id
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.split(text, "\n", -1).alias("lines"))
     texts = source.join(wanted.hint("shuffle_hash"), ["doc_id", "text_key"]).select("doc_id", "text_key", F.explode("places").alias("place"), "lines").select(F.struct("doc_id", "text_key", "place").alias("at"), F.expr("lines[place]").alias("line")).distinct()
     held = stored(shared.join(texts, "at"), "line-texts")
-    a = held.where("indexed").select("key", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("at").alias("a_at"), F.col("line").alias("a_line"))
-    b = held.select("key", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("at").alias("b_at"), F.col("line").alias("b_line"))
+    a = held.where("indexed").select("key", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("at").alias("a_at"), F.col("line").alias("a_line"), F.expr(_finer("line", 0, 0)).alias("a_own"))
+    b = held.select("key", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("at").alias("b_at"), F.col("line").alias("b_line"), *(F.expr(_finer("line", less, shift)).alias(f"b_{less}_{k}") for k, (less, shift) in enumerate(_shifts(max_edits))))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = F.expr("NOT (a1 = b1 AND a2 = b2)") & finer_segments_met("a_line", "b_line", max_edits)
+    near = F.expr("NOT (a1 = b1 AND a2 = b2)") & F.expr(finer_segments_met(max_edits))
     near = near & edits_within("a_line", "b_line", max_edits)
     found = a.repartition(parts, "key").join(b.repartition(parts, "key"), (a["key"] == b["key"]) & near).select("a1", "a2", "a_at", "b1", "b2", "b_at")
     found = stored(found.distinct(), "line-links")
