@@ -66,7 +66,7 @@ class Encoder:
                 ids = old.get(piece)
                 if ids is None:
                     letters = piece[1:] if piece[:1] == " " else piece
-                    if letters.isalpha() and max(letters) < "\u0250":
+                    if letters.isalpha() and max(letters) < "\u0250" and "\u0130" not in letters:  # its lower case is two characters
                         ids = self._word(piece)
                     else:
                         odd.append(len(out))
