@@ -78,6 +78,8 @@ def _types(s: np.ndarray) -> np.ndarray:
 
 def common_prefix(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Length of the common prefix of the suffixes at ``a`` and ``b``, pairwise."""
+    if len(a) > 1 << 16:
+        return np.concatenate([common_prefix(s, a[k:k + (1 << 16)], b[k:k + (1 << 16)]) for k in range(0, len(a), 1 << 16)])
     out = np.zeros(len(a), np.int64)
     live = np.arange(len(a))
     width, n = 16, len(s)

@@ -43,6 +43,7 @@ from .induced_sorting import suffix_order
 
 GRAM = 32
 BATCH = 1 << 20
+SORTED = 1 << 20
 NO_ID = -(1 << 63)
 KEYS = ("doc_id", "text_key")
 ENTRY = np.dtype([("anchor", "<u8"), ("h1", "<u8"), ("h2", "<u8"), ("doc_id", "<i8"), ("text_key", "<i8"), ("start", "<i8"), ("many", "<i8"), ("seen", "<i8")])
@@ -205,9 +206,24 @@ def _sorted(parts: int, width: int, most_held: int, batches: Iterator[pa.RecordB
     for batch in batches:
         notes += batch.column("notes").to_pylist()
         texts += batch.column("bytes").to_pylist()
+    rows = np.frombuffer(b"".join(notes), NOTE)
+    order = np.argsort(rows["anchor"], kind="stable")
+    # Segments of one minimizer stay together; as many minimizers as come to SORTED bytes are sorted at once.
+    run: list[int] = []
+    size = 0
+    for k, at in enumerate(order.tolist()):
+        if size >= SORTED and rows["anchor"][at] != rows["anchor"][order[k - 1]]:
+            yield from _sorted_run(parts, width, most_held, rows[run], [texts[i] for i in run])
+            run, size = [], 0
+        run.append(at)
+        size += len(texts[at])
+    if run:
+        yield from _sorted_run(parts, width, most_held, rows[run], [texts[i] for i in run])
+
+
+def _sorted_run(parts: int, width: int, most_held: int, rows: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
     if len(texts) < 2:
         return
-    rows = np.frombuffer(b"".join(notes), NOTE)
     # Segment k ends in a symbol of its own; the smallest one ends the whole.
     n = len(texts)
     sizes = np.array([len(t) for t in texts])
