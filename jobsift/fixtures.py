@@ -53,8 +53,8 @@ LISTING_SQL = """
 SELECT concat('site', CAST(o_orderkey % 3 AS STRING)) AS site,
        CAST(floor(o_orderkey / 60) AS INT) + 1 AS page,
        CAST(floor((o_orderkey % 60) / 3) AS INT) + 1 AS pos,
-       concat('https://jobs.example.com/', CAST((o_orderkey * 7919) % 4000 AS STRING), '.html') AS link
-FROM orders WHERE o_orderkey < 6000
+       concat('https://jobs.example.com/', CAST(o_orderkey - o_orderkey % 7 AS STRING), '.html') AS link
+FROM orders
 """
 
 # crawl history: even ids plus every link on pages 8-14 of site0

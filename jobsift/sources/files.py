@@ -82,6 +82,8 @@ def replicate_full(spark: SparkSession, source: DataFrame, path: str) -> int:
     """Overwrite a full replica (non-numeric columns as text); the
     row count comes from an ``observe`` on the write, not a second scan."""
     from pyspark.sql import Observation
+    if source.isEmpty():
+        return 0  # an empty source leaves the replica as it is
     cols = [F.col(f.name) if isinstance(f.dataType, T.NumericType) or isinstance(f.dataType, (T.DateType,
             T.TimestampType, T.TimestampNTZType)) else F.col(f.name).cast("string").alias(f.name)
             for f in source.schema.fields]
