@@ -44,7 +44,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedup", near_duplicates), ("benchmark decontamination", benchmark), ("packing", packed)]
 
-#: Estimation, hashes and tokens cannot be said in SQL; tests hold run() against brute force.
+#: Estimation, hashes and tokens cannot be said in SQL; each stage's operator is tested by itself.
 ORACLE_SQL: str | None = None
 
 
