@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import id_text, rebatched
-from .tokens import Encoder
+from .tokens import encoder_of
 
 #: Fixed values of the public formats.
 SKIPPABLE, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -129,11 +129,11 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, id_col: str
         system.create_dir(root, recursive=True)
         attempt, encoder, written = f"{root}/.attempt-{number}-{context.taskAttemptId()}", None, 0
         sink = writer = None
-        for batch in rebatched(batches, 2 << 20):
+        for batch in rebatched(batches, 4 << 20):
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder, sink = Encoder(path), system.open_output_stream(attempt)
+                encoder, sink = encoder_of(path), system.open_output_stream(attempt)
                 writer = Writer(sink)
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
                 writer.add(doc_id, np.append(ids, np.uint32(end_id)))

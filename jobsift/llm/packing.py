@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from .common import id_text, rebatched
 from .flat_words import hashes, spans
-from .tokens import Encoder
+from .tokens import encoder_of
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 LOWER = np.arange(256, dtype=np.uint8)
@@ -130,12 +130,11 @@ def pieces(lengths: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
 def pack(docs: DataFrame, path: str, end_id: int = 1, width: int = 2048, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 6 << 20) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         sequence_id = TaskContext.get().partitionId() << 32
         for shard in shards(batches):
-            encoder = encoder or Encoder(path)
+            encoder = encoder_of(path)
             texts = shard.column("text")
-            ids = [np.append(x, np.uint32(end_id)) for at in range(0, len(texts), 512) for x in encoder.encode(texts.slice(at, 512))]
+            ids = [np.append(x, np.uint32(end_id)) for at in range(0, len(texts), 1024) for x in encoder.encode(texts.slice(at, 1024))]
             lengths = np.array([len(x) for x in ids], np.int64)
             picked = np.array(order(Index(texts), lengths.tolist(), width))
             doc, start, length, sequence, offset = pieces(lengths[picked], width)

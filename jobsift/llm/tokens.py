@@ -10,6 +10,8 @@ runs of white space, white space at an end, or the opening of a special token ar
 from __future__ import annotations
 
 import os
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,26 +56,25 @@ class Encoder:
         """A piece of Latin letters, with or without a space before it, is one
         word of the model; only its bytes' characters have to be written."""
         text = piece.lower().lstrip(" ") if self.lower else piece
-        return np.array([x.id for x in self.model.tokenize(text.encode().decode("latin-1").translate(BYTE_TEXT))], np.uint32).tobytes()
+        text = text.replace(" ", BYTE_TEXT[32]) if text.isascii() else text.encode().decode("latin-1").translate(BYTE_TEXT)
+        return array("I", [x.id for x in self.model.tokenize(text)]).tobytes()
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        out: list = []
-        odd: list[int] = []
         young, old = self.young, self.old
-        for piece in pieces:
-            ids = young.get(piece)
+        out: list = list(map(young.get, pieces))
+        odd: list[int] = []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            piece = pieces[i]
+            ids = old.get(piece)
             if ids is None:
-                ids = old.get(piece)
-                if ids is None:
-                    letters = piece[1:] if piece[:1] == " " else piece
-                    if letters.isalpha() and max(letters) < "\u0250" and "\u0130" not in letters:  # its lower case is two characters
-                        ids = self._word(piece)
-                    else:
-                        odd.append(len(out))
-                        out.append(None)
-                        continue
-                young[piece] = ids
-            out.append(ids)
+                letters = piece[1:] if piece[:1] == " " else piece
+                # The lower case of U+0130 is two characters.
+                if letters.isalpha() and (letters.isascii() or max(letters) < "\u0250" and "\u0130" not in letters):
+                    ids = self._word(piece)
+                else:
+                    odd.append(i)
+                    continue
+            out[i] = young[piece] = ids
         for i, ids in zip(odd, self._whole([pieces[i] for i in odd]), strict=True):
             out[i] = young[pieces[i]] = ids
         if len(young) > self.most_kept:
@@ -119,3 +120,10 @@ class Encoder:
         for i, a, b in zip(at.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             out[i] = flat_ids[a:b]
         return out
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this worker process, which serves several tasks; what it
+    keeps in memory is bounded, and ids do not depend on it."""
+    return Encoder(path)
