@@ -40,25 +40,23 @@ def edits_within(a: str, b: str, most: int) -> Column:
     partner (one up).
     """
     band = (1 << (2 * most + 1)) - 1
-    match = " + ".join(f"IF(get(s.p, j + {d}) = get(s.t, j), {1 << (d + most)}, 0)" for d in range(-most, most + 1))
-    steps, rows = f"named_struct('p', s.p, 't', s.t, 'm', {match}, ", []
-    for e in range(most + 1):
-        rows.append(f"'r{e}', s.r{e}")
-    steps += ", ".join(rows) + ")"
-    out = "x"
-    expression = "named_struct('p', x.p, 't', x.t, 'r0', x.r0 & x.m"
+    match = " + ".join(f"IF(get(both.p, j + {d}) = get(both.t, j), {1 << (d + most)}, 0)" for d in range(-most, most + 1))
+    steps = f"named_struct('m', {match}, " + ", ".join(f"'r{e}', s.r{e}" for e in range(most + 1)) + ")"
+    expression = "named_struct('r0', x.r0 & x.m"
     previous = "(x.r0 & x.m)"
     for e in range(1, most + 1):
         now = f"(((x.r{e} & x.m) | x.r{e - 1} | shiftright(x.r{e - 1}, 1) | shiftleft({previous}, 1)) & {band})"
         expression += f", 'r{e}', {now}"
         previous = now
     expression += ")"
-    merge = f"(s, j) -> transform(array({steps}), {out} -> {expression})[0]"
-    start = ", ".join(f"'r{e}', {sum(1 << (most + d) for d in range(e + 1))}" for e in range(most + 1))
-    # split() with an empty pattern gives the characters.
-    begin = f"named_struct('p', split({a}, ''), 't', split({b}, ''), {start})"
+    # transform() of one element names a value; it copies its result at each step, so the texts stay outside.
+    merge = f"(s, j) -> transform(array({steps}), x -> {expression})[0]"
+    begin = "named_struct(" + ", ".join(f"'r{e}', {sum(1 << (most + d) for d in range(e + 1))}" for e in range(most + 1)) + ")"
     end = f"s -> (shiftright(s.r{most}, length({a}) - length({b}) + {most}) & 1) = 1"
-    return F.expr(f"abs(length({a}) - length({b})) <= {most} AND CASE WHEN length({b}) = 0 THEN true ELSE aggregate(sequence(0, greatest(length({b}) - 1, 0)), {begin}, {merge}, {end}) END")
+    # split() with an empty pattern gives the characters.
+    texts = f"array(named_struct('p', split({a}, ''), 't', split({b}, '')))"
+    steps_taken = f"transform({texts}, both -> aggregate(sequence(0, greatest(length({b}) - 1, 0)), {begin}, {merge}, {end}))[0]"
+    return F.expr(f"abs(length({a}) - length({b})) <= {most} AND CASE WHEN length({b}) = 0 THEN true ELSE {steps_taken} END")
 
 
 FINER = 16
