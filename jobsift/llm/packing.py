@@ -44,9 +44,9 @@ class Index:
         flat, _, starts, ends, counts = spans(texts)
         n = len(counts)
         words = hashes(LOWER[flat], starts, ends)
-        _, term = np.unique(words, return_inverse=True)
+        term = pa.array(words).dictionary_encode().indices.to_numpy().astype(np.int64)
         doc = np.repeat(np.arange(n), counts)
-        pair, often = np.unique(term.astype(np.int64) * n + doc, return_counts=True) if n else (np.zeros(0, np.int64),) * 2
+        pair, often = np.unique(term * n + doc, return_counts=True) if n else (np.zeros(0, np.int64),) * 2
         term, doc = pair // max(n, 1), pair % max(n, 1)
         first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, int)
         df = np.diff(np.append(first, len(term)))
@@ -54,20 +54,21 @@ class Index:
         length = counts / max(counts.mean(), 1e-9) if n else counts
         weight = idf[np.repeat(np.arange(len(df)), df)] * often * (k1 + 1) / (often + k1 * (1 - b + b * length[doc]))
         shared = np.repeat(df > 1, df)  # a word of one document finds no other
-        self.n, self.doc, self.weight = n, doc[shared].astype(np.int32), weight[shared].astype(np.float32)
+        self.n, self.doc, self.weight = n, doc[shared], weight[shared]
         df = df[df > 1]
         self.first = np.cumsum(df) - df
         self.df = df
-        term = np.repeat(np.arange(len(df)), df)
-        order = np.argsort(self.doc, kind="stable")
-        self.terms = term[order]
-        self.terms_from = np.searchsorted(self.doc[order], np.arange(n + 1))
+        kinds = max(len(df), 1)
+        by_doc = np.sort(self.doc * kinds + np.repeat(np.arange(len(df)), df))
+        self.terms = by_doc % kinds
+        self.terms_from = np.searchsorted(by_doc, np.arange(n + 1) * kinds)
 
     def scores(self, seed: int) -> np.ndarray:
         """The BM25 score of every document for the distinct words of ``seed``."""
         terms = self.terms[self.terms_from[seed]:self.terms_from[seed + 1]]
         many = self.df[terms]
-        rows = np.repeat(self.first[terms] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        rows = np.repeat(self.first[terms] - (np.cumsum(many) - many), many)
+        rows += np.arange(len(rows))
         return np.bincount(self.doc[rows], self.weight[rows], self.n)
 
 
@@ -134,7 +135,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, width: int = 2048, id_col:
         for shard in shards(batches):
             encoder = encoder_of(path)
             texts = shard.column("text")
-            ids = [np.append(x, np.uint32(end_id)) for at in range(0, len(texts), 1024) for x in encoder.encode(texts.slice(at, 1024))]
+            ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode(texts)]
             lengths = np.array([len(x) for x in ids], np.int64)
             picked = np.array(order(Index(texts), lengths.tolist(), width))
             doc, start, length, sequence, offset = pieces(lengths[picked], width)
