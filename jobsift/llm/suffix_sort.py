@@ -14,10 +14,14 @@ minimizer's hash names; a shard's segments are all it needs.
 are shuffled first, one for each distinct segment of an input slice.  A segment
 whose minimizer is found once cannot repeat; one that is found twice or more,
 byte for byte (128 bits of hash), repeats as a whole.  What is left, segments
-that share a minimizer but differ, is sorted: their texts are fetched, and each
-shard's suffixes are sorted by recursive induction with queues that go to disk
-and carry the common prefixes; a window repeats if a neighbour in that order
-shares ``width`` bytes with it.
+that share a minimizer but differ, meets by shard: their texts are fetched.
+Equal windows lie alike about their minimizer, so segments of which no stretch
+of ``width - STEP`` bytes, at one of the places ``STEP`` apart about the
+minimizer, is found in another one have no common window and are left out; of
+the others the windows about such stretches stay.  The suffixes of what stays
+are sorted by recursive induction with queues that go to disk and carry the
+common prefixes; a window repeats if a neighbour in that order shares ``width``
+bytes with it.
 
 Defined cases: a null or empty text has no byte; texts under ``width`` bytes
 lose nothing; rows with the same id and text are one document (each row gets
@@ -42,6 +46,7 @@ from .flat_words import MULTIPLIERS, _VALUES, _powers_of
 from .induced_sorting import suffix_order
 
 GRAM = 32
+STEP = 16
 BATCH = 1 << 20
 SORTED = 1 << 20
 NO_ID = -(1 << 63)
@@ -200,6 +205,38 @@ def _fetched(parts: int, width: int, batches: Iterator[pa.RecordBatch]) -> Itera
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["part", "notes", "bytes"])
 
 
+def _shared_stretches(width: int, anchors: np.ndarray, many: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first window, end of windows) of the segments, texts given in
+    order of their minimizers, that share a stretch with another of the same
+    minimizer.  A window that begins ``back`` bytes before the minimizer covers
+    the stretch that begins ``back // STEP * STEP`` bytes before it; equal
+    windows cover equal stretches."""
+    sizes = np.array([len(t) for t in texts])
+    base = np.cumsum(sizes) - sizes
+    flat = np.frombuffer(b"".join(texts), np.uint8)
+    hashed = _rolled(flat, MULTIPLIERS[0])
+    # The minimizer is the leftmost place in the first window with its hash.
+    near = base[:, None] + np.arange(width - GRAM + 1)
+    back = (hashed(near.reshape(-1), near.reshape(-1) + GRAM).reshape(near.shape) == anchors[:, None]).argmax(axis=1)
+    low = np.maximum(back - many + 1, 0) // STEP
+    count = back // STEP - low + 1
+    of = np.repeat(np.arange(len(texts)), count)
+    stretch = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    at = base[of] + back[of] - stretch * STEP
+    h = hashed(at, at + width - STEP)
+    order = np.lexsort((h, stretch, anchors[of]))
+    a, j, x = anchors[of][order], stretch[order], h[order]
+    equal = (a[1:] == a[:-1]) & (j[1:] == j[:-1]) & (x[1:] == x[:-1])
+    found = np.zeros(len(of), bool)
+    found[order] = np.append(equal, False) | np.append(False, equal)
+    of, stretch = of[found], stretch[found]
+    kept, heads = np.unique(of, return_index=True)
+    if not len(kept):
+        return kept, kept, kept
+    first = np.maximum(back[kept] - np.maximum.reduceat(stretch, heads) * STEP - STEP + 1, 0)
+    return kept, first, np.minimum(back[kept] - np.minimum.reduceat(stretch, heads) * STEP + 1, many[kept])
+
+
 def _sorted(parts: int, width: int, most_held: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Notes on the windows of a shard's segments that repeat among them."""
     notes, texts = [], []
@@ -208,20 +245,34 @@ def _sorted(parts: int, width: int, most_held: int, batches: Iterator[pa.RecordB
         texts += batch.column("bytes").to_pylist()
     rows = np.frombuffer(b"".join(notes), NOTE)
     order = np.argsort(rows["anchor"], kind="stable")
+    rows, texts = rows[order], [texts[i] for i in order.tolist()]
     # Segments of one minimizer stay together; as many minimizers as come to SORTED bytes are sorted at once.
-    run: list[int] = []
-    size = 0
-    for k, at in enumerate(order.tolist()):
-        if size >= SORTED and rows["anchor"][at] != rows["anchor"][order[k - 1]]:
-            yield from _sorted_run(parts, width, most_held, rows[run], [texts[i] for i in run])
-            run, size = [], 0
-        run.append(at)
-        size += len(texts[at])
-    if run:
-        yield from _sorted_run(parts, width, most_held, rows[run], [texts[i] for i in run])
+    fresh = np.append(True, rows["anchor"][1:] != rows["anchor"][:-1])[:len(rows)]
+    begin = size = 0
+    for k, text in enumerate(texts):
+        if size >= SORTED and fresh[k]:
+            yield from _sorted_run(parts, width, most_held, rows[begin:k], texts[begin:k])
+            begin, size = k, 0
+        size += len(text)
+    if texts:
+        yield from _sorted_run(parts, width, most_held, rows[begin:], texts[begin:])
 
 
 def _sorted_run(parts: int, width: int, most_held: int, rows: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+    kept, first, end = _shared_stretches(width, rows["anchor"], rows["many"], texts)
+    if not len(kept):
+        return
+    rows = rows[kept].copy()
+    rows["start"] += first
+    rows["many"] = end - first
+    cut = [texts[k][a:b + width - 1] for k, a, b in zip(kept.tolist(), first.tolist(), end.tolist(), strict=True)]
+    # What is now equal as a whole repeats; one of each is sorted with the others.
+    number: dict[bytes, int] = {}
+    group = np.array([number.setdefault(t, len(number)) for t in cut])
+    heads = np.unique(group, return_index=True)[1]
+    whole = np.bincount(group)[group] > 1
+    yield from _notes(parts, rows[whole], 0)
+    rows, texts = rows[heads], list(number)
     if len(texts) < 2:
         return
     # Segment k ends in a symbol of its own; the smallest one ends the whole.
