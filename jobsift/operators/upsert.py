@@ -8,6 +8,7 @@ target is stored bucketed on the key its side needs no shuffle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,10 @@ class DuplicateSourceKey(RuntimeError):
     """More than one source row matches one target row (T-SQL MERGE error)."""
 
 
+class BucketCountMismatch(ValueError):
+    """A bucketed table is merged with another number of buckets."""
+
+
 def check_unique_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a target row would be matched by several source rows.
 
@@ -84,10 +89,6 @@ def action_counts(merged: DataFrame) -> DataFrame:
                       F.count_if(F.col(ACTION) == "UPDATE").alias("updated"))
 
 
-def resolve_columns(df: DataFrame, prefix: str) -> list[Column]:
-    return [F.col(f"{prefix}{c}") for c in df.columns]
-
-
 BUCKET = "_bucket"
 
 
@@ -107,14 +108,27 @@ def merge_into_bucketed(spark, path: str, source: DataFrame, keys: Sequence[str]
     replaced (dynamic partition overwrite); the rest of the table is not
     rewritten.  ``finalize`` may transform the merged rows (with their
     ``MergeAction``) before the write, e.g. to number inserted rows.
+    The number of buckets is kept beside the table; a run with another one
+    raises ``BucketCountMismatch``, as it would look for keys in wrong places.
+    A rebalance by bucket before the write keeps the number of files down and
+    lets AQE split a large bucket.
     Returns the action counts (from ``observe`` on the write).
     """
     from pyspark.sql import Observation
 
-    from ..session import path_exists
+    from ..session import path_exists, scratch_path
 
+    meta = path.rstrip("/") + "._meta"
+    if path_exists(spark, meta):
+        stored = spark.read.parquet(meta).first()["buckets"]
+        if stored != buckets:
+            raise BucketCountMismatch(f"{path} has {stored} buckets, not {buckets}")
+    else:
+        spark.createDataFrame([(buckets,)], "buckets int").write.parquet(meta)
     src = with_bucket(source, keys, buckets)
     touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # <= buckets values
+    if not touched:
+        return {"inserted": 0, "updated": 0}
     if path_exists(spark, path):
         target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
     else:
@@ -129,13 +143,13 @@ def merge_into_bucketed(spark, path: str, source: DataFrame, keys: Sequence[str]
                    insert=None if ins is None else {**ins, BUCKET: BUCKET})
     if finalize is not None:
         merged = finalize(merged)
-    # the merged buckets are written to a side table first: the final write
-    # replaces partitions that the merge plan reads from
-    tmp = path.rstrip("/") + f"._merge_{abs(hash(tuple(touched))) % 10**8}"
+    # the merged buckets are written to a side table in the shared scratch
+    # folder first: the final write replaces partitions that the plan reads
+    tmp = scratch_path(spark, f"merge-{uuid.uuid4().hex[:12]}")
     obs = Observation("bucketed_merge")
     (merged.observe(obs, F.count_if(F.col(ACTION) == "INSERT").alias("inserted"),
                     F.count_if(F.col(ACTION) == "UPDATE").alias("updated"))
-           .drop(ACTION).write.mode("overwrite").partitionBy(BUCKET).parquet(tmp))
+           .drop(ACTION).hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(tmp))
     counts = {k: int(v) for k, v in obs.get.items()}
     (spark.read.parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(BUCKET).parquet(path))

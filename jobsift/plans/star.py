@@ -24,6 +24,7 @@ NAME_DIMS = (
     ("Dim_KhuVuc", "KhuVucID", "TenKhuVuc", "KhuVuc", True),
 )
 PROVINCE_DIM = ("Dim_TinhThanh", "TinhThanhID", "TenTinhThanh", "Tinh_Thanh")
+DIM_TABLES = (*(t for t, *_ in NAME_DIMS), "Dim_TinhThanh", "Dim_ThoiGian")
 FK_COLUMNS = ("CongTyID", "QuyMoID", "TinhThanhID", "KhuVucID", "NganhID", "CapBacID", "HocVanID", "HinhThucID",
               "KieuLamViecID", "NguonID")
 
@@ -162,7 +163,7 @@ def star_load_job(spark: SparkSession, clean_path: str, root: str, buckets: int
 
     src = v2_to_star(spark.read.parquet(clean_path))
     existing, versions = {}, {}
-    for table in [t for t, *_ in NAME_DIMS] + ["Dim_TinhThanh", "Dim_ThoiGian"]:
+    for table in DIM_TABLES:
         df, v = read_current(spark, dim_path(table), None)
         if df is not None:
             existing[table] = df

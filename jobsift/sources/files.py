@@ -4,6 +4,7 @@ run CSVs, table append / replicate, dual sink (S1-S14, S16, S19)."""
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,13 +34,28 @@ def read_csv(spark: SparkSession, path: str, columns=None, infer: bool = False)
          .option("encoding", "UTF-8").option("ignoreCorruptFiles", True))
     if infer:
         r = r.option("inferSchema", True)
-    df = r.csv(path)
+    groups = header_groups(spark, path)
+    df = union_by_name([r.csv(files) for files in groups]) if len(groups) > 1 else r.csv(path)
     if columns is None:
         return df
     have = set(df.columns)
     return df.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns])
 
 
+def header_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a drop by header line, as sites write other columns; files
+    without a line are in no group.  One pass finds the first line of each
+    file; only paths and headers reach the driver, which lists the files
+    anyway."""
+    heads = (spark.read.option("ignoreCorruptFiles", True).text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+             .filter("block = 0").groupBy("file").agg(F.min_by("value", "place").alias("header")))
+    by_header = (heads.groupBy(F.regexp_replace("header", "^\ufeff|\\s+$", "").alias("header"))
+                 .agg(F.sort_array(F.collect_list(F.expr("url_decode(replace(file, '+', '%2B'))"))).alias("files")))
+    return [r["files"] for r in by_header.orderBy("header").collect()]
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV that round-trips values exactly (no white-space trimming)."""
     (df.write.mode(mode).option("header", True).option("escape", '"')
@@ -106,14 +122,17 @@ def union_by_name(frames) -> DataFrame:
 
 
 def dual_sink(spark: SparkSession, files: list[str], backup_root: str, staging_path: str,
-              columns=STAGING_COLUMNS) -> DataFrame:
+              columns=STAGING_COLUMNS, run_id: str | None = None) -> DataFrame:
     """Each file's full rows go to the backup sink; the union of all
     files, projected to the staging columns that exist, goes to staging.
-    Files are archived by the caller only after both writes succeed."""
+    The backup keeps every run in its own ``run=<id>`` folder (a retry that
+    passes the same id replaces only its own).  Files are archived by the
+    caller only after both writes succeed."""
+    run_id = run_id or uuid.uuid4().hex[:12]
     frames = []
     for i, f in enumerate(files):
         df = read_csv(spark, f)
-        df.write.mode("overwrite").parquet(f"{backup_root.rstrip('/')}/file={i}")
+        df.write.mode("overwrite").parquet(f"{backup_root.rstrip('/')}/run={run_id}/file={i}")
         frames.append(df)
     staged = project_existing(union_by_name(frames), columns)
     staged.write.mode("append").parquet(staging_path)
@@ -137,16 +156,22 @@ API_SCHEMA = T.StructType([
 
 
 def api_flatten(payload: DataFrame, col: str = "payload") -> DataFrame:
-    """Typed parse, 'N/A' for missing keys, lists joined, HTML to
-    text; rows without an id are dropped."""
+    """Typed parse, 'N/A' for missing keys and for missing or empty
+    lists, lists joined, HTML to text ('' when missing); rows without an id
+    are dropped."""
     from ..functions.html import html_to_text
     p = payload.select(F.from_json(F.col(col), API_SCHEMA).alias("j")).select("j.*").filter(F.col("jobId").isNotNull())
     na = F.lit("N/A")
+
+    def joined(items: str, field: str):
+        present = F.filter(items, lambda s: s.isNotNull())
+        text = F.array_join(F.transform(present, lambda s: F.coalesce(s[field], F.lit(""))), ", ")
+        return F.when(F.size(items) > 0, text).otherwise(na)
+
     return p.select(
         "jobId",
         F.coalesce("jobTitle", na).alias("CongViec"), F.coalesce("companyName", na).alias("CongTy"),
         F.coalesce("prettySalary", na).alias("MucLuong"), F.coalesce("jobUrl", na).alias("LinkBaiTuyenDung"),
-        F.coalesce(F.array_join(F.transform("skills", lambda s: s["skillName"]), ", "), na).alias("KyNang"),
-        F.coalesce(F.array_join(F.transform("locations", lambda s: s["locationNameVI"]), ", "), na).alias("ViTri"),
-        F.coalesce(html_to_text(F.col("jobDescription")), na).alias("MoTaCongViec"),
-        F.coalesce(html_to_text(F.col("jobRequirement")), na).alias("YeuCauUngVien"))
+        joined("skills", "skillName").alias("KyNang"), joined("locations", "locationNameVI").alias("ViTri"),
+        F.coalesce(html_to_text(F.col("jobDescription")), F.lit("")).alias("MoTaCongViec"),
+        F.coalesce(html_to_text(F.col("jobRequirement")), F.lit("")).alias("YeuCauUngVien"))

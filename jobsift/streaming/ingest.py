@@ -3,9 +3,9 @@
 A daily drop folder is read as a file stream with ``trigger(availableNow)``
 (process what is there, then stop) and a checkpoint, so each file is
 ingested exactly once across runs; processed files are moved to an archive
-folder by the source (``cleanSource=archive``).  Each micro-batch is merged
-into the target with ``foreachBatch``; the merge is idempotent per batch
-(re-running a batch id after a failure produces the same table version).
+folder by the source (``cleanSource=archive``).  Each micro-batch is written with
+``foreachBatch`` to a folder of its own, so re-running a batch id after a
+failure replaces its rows; readers reduce the batches to the newest row a key.
 """
 
 from __future__ import annotations
@@ -20,8 +20,11 @@ from ..sources.files import text_schema
 
 def csv_drop_stream(spark: SparkSession, drop_dir: str, columns, archive_dir: str | None = None,
                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """The files of a drop folder, all with the header ``columns``: a file with
+    another one fails the batch, as its values would land in wrong columns.
+    Sites with other headers get a folder and a stream of their own."""
     r = (spark.readStream.schema(text_schema(columns)).option("header", True).option("multiLine", True)
-         .option("escape", '"'))
+         .option("escape", '"').option("enforceSchema", False))
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:

@@ -231,7 +231,7 @@ def _api_payload(spark, sf_dir):
         tag_text(F.col("html"), "title").alias("jobTitle"),
         F.when(F.col("page_id") % 4 != 0, F.regexp_extract("url", r"//([^/]+)", 1)).alias("companyName"),
         F.col("url").alias("jobUrl"),
-        F.transform(F.slice(words, 1, 3), lambda w: F.struct(w.alias("skillName"))).alias("skills"),
+        F.transform(words, lambda w: F.struct(w.alias("skillName"))).alias("skills"),
         F.array(F.struct(F.regexp_extract("url", r"/(\w\w)/", 1).alias("locationNameVI"))).alias("locations"),
         tag_text(F.col("html"), "article").alias("jobDescription"))
     return p.select(F.to_json(obj).alias("payload"))

@@ -105,3 +105,44 @@ def test_stream_ingest_exactly_once_and_archive(spark):
     assert got.count() == 5 and got.select("CongViec").distinct().count() == 5
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".csv")]
     assert len(archived) >= 1
+
+
+def test_csv_files_with_other_headers_align_by_name(spark):
+    d = tempfile.mkdtemp(prefix="jobsift-csv-")
+    for name, text in (("a b.csv", "CongViec,ViTri\nDev,HN\n"), ("c.csv", "CongViec,ChuyenMon,ViTri\nTester,QA,HCM\n"), ("e.csv", "")):
+        with open(os.path.join(d, name), "w", encoding="utf-8-sig" if name == "c.csv" else "utf-8") as f:
+            f.write(text)
+    got = {tuple(r) for r in S.read_csv(spark, d, columns=("CongViec", "ViTri", "MucLuong")).collect()}
+    assert got == {("Dev", "HN", None), ("Tester", "HCM", None)}
+
+
+def test_stream_with_another_header_fails(spark):
+    import pytest
+    from jobsift.streaming.ingest import append_batches, csv_drop_stream, run_available
+    root = tempfile.mkdtemp(prefix="jobsift-stream-")
+    os.makedirs(os.path.join(root, "drop"))
+    with open(os.path.join(root, "drop", "a.csv"), "w") as f:
+        f.write("CongViec,ChuyenMon,ViTri\nTester,QA,HCM\n")
+    with pytest.raises(Exception):
+        run_available(csv_drop_stream(spark, os.path.join(root, "drop"), ("CongViec", "ViTri")),
+                      os.path.join(root, "ckpt"), append_batches(os.path.join(root, "out")))
+
+
+def test_api_payload_missing_parts(spark):
+    rows = [('{"jobId": 1, "skills": [], "jobTitle": "a"}',), ('{"jobId": 2, "skills": [{"skillName": "SQL"}, null, {}]}',), ('{"jobTitle": "x"}',)]
+    got = {r["jobId"]: r for r in S.api_flatten(spark.createDataFrame(rows, "payload string")).collect()}
+    assert set(got) == {1, 2}
+    assert (got[1]["KyNang"], got[1]["ViTri"], got[1]["MoTaCongViec"], got[2]["KyNang"]) == ("N/A", "N/A", "", "SQL, ")
+
+
+def test_bucket_count_is_kept(spark):
+    import pytest
+    from jobsift.operators.upsert import BucketCountMismatch, merge_into_bucketed
+    path = os.path.join(tempfile.mkdtemp(prefix="jobsift-bkt-"), "t")
+    src = spark.createDataFrame([(k, k) for k in range(50)], "k long, v long")
+    assert merge_into_bucketed(spark, path, src, ["k"], 8, empty_target=src.limit(0)) == {"inserted": 50, "updated": 0}
+    with pytest.raises(BucketCountMismatch):
+        merge_into_bucketed(spark, path, src, ["k"], 4)
+    assert merge_into_bucketed(spark, path, src, ["k"], 8) == {"inserted": 0, "updated": 50}
+    assert spark.read.parquet(path).count() == 50
+    assert sum(f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs) <= 8
