@@ -83,13 +83,24 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _runs(*(np.concatenate(x) for x in got))
 
 
+def _once(order: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    """``order``, which sorts the columns, without entries equal to the one
+    before: the places of a row that is listed twice are one place."""
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for x in columns:
+        x = x[order]
+        new[1:] |= x[1:] != x[:-1]
+    return order[new]
+
+
 def _blocks(parts: int, h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, keys: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of ``BLOCK``: the first place of each hash, by hash range, and
     whether it is the only one; then the other places, which need no partner
     from elsewhere, with part -1."""
     if not len(h1):
         return
-    order = np.lexsort((places, keys, ids, h2, h1))
+    order = _once(np.lexsort((places, keys, ids, h2, h1)), h1, h2, ids, keys, places)
     h1, h2, ids, keys, places = (x[order] for x in (h1, h2, ids, keys, places))
     first = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
     single = first & np.append(first[1:], True)
@@ -137,7 +148,7 @@ def _later(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     h1, h2, ids, keys, places, _ = _joined(batches)
     if not len(h1):
         return
-    order = np.lexsort((places, keys, ids, h2, h1))
+    order = _once(np.lexsort((places, keys, ids, h2, h1)), h1, h2, ids, keys, places)
     late = order[~_apart(order, h1, h2)]
     yield from _sent(parts, ids[late], keys[late], places[late])
 

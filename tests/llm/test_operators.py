@@ -242,3 +242,14 @@ def test_substring_dedup_against_brute_force(docs, none):
         if r["doc_id"] is not None:
             assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == wanted[r["doc_id"]]
     assert anchors.remove_repeats(none).count() == 0
+
+
+def test_substring_dedup_keeps_one_of_a_repeated_row(spark):
+    make = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    shared = make("s", 25)
+    rows = [(4, make("a", 30) + " " + shared), (4, make("a", 30) + " " + shared), (6, make("b", 10) + " " + shared)]
+    beside = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    apart = spark.createDataFrame(rows[:1], "doc_id long, text string").union(spark.createDataFrame(rows[1:], "doc_id long, text string").coalesce(1))
+    for frame in (beside, apart):
+        got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in anchors.remove_repeats(frame, with_text=True).collect())
+        assert got == [(4, 55, 0, rows[0][1])] * 2 + [(6, 35, 25, make("b", 10))]
