@@ -23,7 +23,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that are found earlier; n_chars follows the text.
     A document of which no line is left stays, with an empty text."""
-    out = line_dedup.remove_lines(docs)
+    out = line_dedup.remove_lines(docs, line_dedup.EDITS)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 

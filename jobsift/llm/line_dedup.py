@@ -3,6 +3,8 @@
 A line goes if the same line, or one within ``max_edits`` character edits, is
 found earlier (smaller document id, or the same document above).  Lines of
 white space stay; lines under ``min_chars`` characters are compared exactly.
+``max_edits`` is one number, or ``(characters, edits)`` steps: of two lines the
+shorter one's length decides how many edits count as near.
 
 Exact copies collapse first, so only distinct lines enter the join.  Each is
 cut into ``max_edits + 1`` segments; two lines within the threshold share a
@@ -22,12 +24,23 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from itertools import pairwise
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 
 LEAST = -(1 << 63)
+#: Production steps: edits that count as near, from so many characters of the shorter line on.
+EDITS = ((20, 2), (400, 3))
+Edits = int | tuple[tuple[int, int], ...]
+
+
+def steps_of(max_edits: Edits, min_chars: int) -> list[tuple[int, int, int]]:
+    """(least length, length that is over it, edits) of each step."""
+    steps = [(min_chars, max_edits)] if isinstance(max_edits, int) else [(max(n, min_chars), k) for n, k in max_edits]
+    return [(low, high, most) for (low, most), (high, _) in pairwise([*steps, (1 << 31, 0)]) if low < high]
 
 
 def edits_within(a: str, b: str, most: int) -> Column:
@@ -62,9 +75,10 @@ def edits_within(a: str, b: str, most: int) -> Column:
 FINER = 16
 
 
-def _finer(line: str, less: int, shift: int) -> str:
-    """Hashes of the FINER segments of a text ``less`` characters shorter, cut out of ``line`` at ``shift``."""
-    n = f"(length({line}) - {less})"
+def _finer(line: str, chars: str, less: int, shift: int) -> str:
+    """Hashes of the FINER segments of a text ``less`` characters shorter, cut
+    out of ``line`` (of ``chars`` characters) at ``shift``."""
+    n = f"({chars} - {less})"
     cuts = [f"xxhash64(substring({line}, CAST((({i} * {n}) div {FINER}) + {shift + 1} AS INT), CAST((({i + 1} * {n}) div {FINER}) - (({i} * {n}) div {FINER}) AS INT)), (({i} * {n}) div {FINER}) + {shift} < 0)" for i in range(FINER)]
     return f"array({', '.join(cuts)})"
 
@@ -74,32 +88,54 @@ def _shifts(most: int) -> list[tuple[int, int]]:
     return [(less, shift) for less in range(most + 1) for shift in range(-((most - less) // 2), less + (most - less) // 2 + 1)]
 
 
+def _finer_name(less: int, shift: int) -> str:
+    return f"b_{less}_{'m' if shift < 0 else ''}{abs(shift)}"
+
+
 def finer_segments_met(most: int) -> str:
     """Condition on ``a_own`` and the ``b_...`` hashes: all but ``most`` of the
     shorter text's FINER segments stand in the longer one where they can.  It is
     true of every pair within ``most`` edits, as an edit spoils one segment."""
     cases = []
     for less in range(most + 1):
-        met = [f"IF({' OR '.join(f'get(a_own, {i}) = get(b_{d}_{k}, {i})' for k, (d, _) in enumerate(_shifts(most)) if d == less)}, 1, 0)" for i in range(FINER)]
+        met = [f"IF({' OR '.join(f'get(a_own, {i}) = get({_finer_name(d, shift)}, {i})' for d, shift in _shifts(most) if d == less)}, 1, 0)" for i in range(FINER)]
         cases.append(f"WHEN {less} THEN ({' + '.join(met)}) >= {FINER - most}")
     return f"CASE length(b_line) - length(a_line) {' '.join(cases)} ELSE false END"
 
 
-def segment_keys(line: str, most: int) -> Column:
-    """Array of (key, indexed) of a line: its own segments, and the substrings
-    with which it probes the indexes of its own and smaller lengths."""
-    parts = most + 1
+def near_lines(steps: list[tuple[int, int, int]]) -> Column:
+    """Whether ``a_line``, the shorter one, and ``b_line`` are within the edits of its step."""
+    near = F.lit(False)
+    for low, high, most in steps:
+        near = F.when(F.expr(f"length(a_line) >= {low} AND length(a_line) < {high}"), F.expr(finer_segments_met(most)) & edits_within("a_line", "b_line", most)).otherwise(near)
+    return near
+
+
+def segment_keys(line: str, chars: str, steps: list[tuple[int, int, int]]) -> Column:
+    """Array of (key, indexed) of a line of ``chars`` characters: its own
+    segments, and the substrings with which it probes the indexes of its own and
+    smaller lengths; null where a substring would begin before the line.  The
+    length is a column, as counting characters at each use took most of the time,
+    and there is no lambda, which would keep all of it from generated code."""
+    none = "CAST(array() AS array<struct<key:bigint,indexed:boolean>>)"
     out = []
-    for less in range(most + 1):
-        n = f"(length({line}) - {less})"
-        for i in range(1, parts + 1):
-            first, size = f"(({i - 1} * {n}) div {parts})", f"((({i} * {n}) div {parts}) - (({i - 1} * {n}) div {parts}))"
-            low, high = max(-(i - 1), less - (parts - i)), min(i - 1, less + (parts - i))
-            for shift in range(low, high + 1):
-                indexed = "true" if less == 0 and shift == 0 else "false"
-                place = f"(CAST({first} AS INT) + {shift + 1})"
-                out.append(f"IF({place} >= 1, named_struct('key', xxhash64({n}, {i}, substring({line}, {place}, CAST({size} AS INT))), 'indexed', {indexed}), NULL)")
-    return F.expr(f"filter(array({', '.join(out)}), x -> x IS NOT NULL)")
+    for less in range(max(most for _, _, most in steps) + 1):
+        n = f"({chars} - {less})"
+        cases = []
+        for least, over, most in steps:
+            if less > most:
+                continue
+            parts, keys = most + 1, []
+            for i in range(1, parts + 1):
+                first, size = f"(({i - 1} * {n}) div {parts})", f"((({i} * {n}) div {parts}) - (({i - 1} * {n}) div {parts}))"
+                low, high = max(-(i - 1), less - (parts - i)), min(i - 1, less + (parts - i))
+                for shift in range(low, high + 1):
+                    indexed = "true" if less == 0 and shift == 0 else "false"
+                    place = f"(CAST({first} AS INT) + {shift + 1})"
+                    keys.append(f"IF({place} >= 1, named_struct('key', xxhash64({n}, {i}, substring({line}, {place}, CAST({size} AS INT))), 'indexed', {indexed}), NULL)")
+            cases.append(f"WHEN {n} >= {least} AND {n} < {over} THEN array({', '.join(keys)})")
+        out.append(f"CASE {' '.join(cases)} ELSE {none} END")
+    return F.expr(f"flatten(array({', '.join(out)}))")
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,36 +149,37 @@ def _hash() -> list[Column]:
     return [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2")]
 
 
-def links(docs: DataFrame, max_edits: int, min_chars: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, max_edits: Edits, min_chars: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(classes of equal lines with their first place, verified links between
     classes in both directions)."""
+    steps = steps_of(max_edits, min_chars)
     lines = lines_of(docs, id_col, text_col)
-    keys = F.when(F.length("line") >= min_chars, segment_keys("line", max_edits))
-    at = F.struct("doc_id", "text_key", "place")
-    classes = lines.select(*_hash(), at.alias("at"), F.coalesce(keys, F.expr("CAST(array() AS array<struct<key:bigint,indexed:boolean>>)")).alias("keys"))
-    # min of the place and what goes with it: combined before the shuffle.
-    classes = classes.groupBy("h1", "h2").agg(F.min(F.struct("at", "keys")).alias("x")).select("h1", "h2", "x.at", "x.keys")
-    classes = stored(classes, "line-classes")
-    rows = classes.select("h1", "h2", "at", F.explode("keys").alias("k")).select("k.key", "k.indexed", "h1", "h2", "at")
+    # min of the place: combined before the shuffle.
+    classes = stored(lines.select(*_hash(), F.struct("doc_id", "text_key", "place").alias("at")).groupBy("h1", "h2").agg(F.min("at").alias("at")), "line-classes")
+    # A key travels with one hash of its line only; copies of a line are one row of a key.
+    rows = lines.select(_hash()[0], "line", F.length("line").alias("chars")).where(F.col("chars") >= steps[0][0])
+    rows = rows.select("h1", F.explode(segment_keys("line", "chars", steps)).alias("k")).where("k IS NOT NULL").select("k.key", "k.indexed", "h1")
     # A key is of use if two lines have it, one of them in the index.
-    shared = stored(rows.withColumn("n", F.expr("count(*) OVER (PARTITION BY key)")).withColumn("any_indexed", F.expr("max(indexed) OVER (PARTITION BY key)")).where("n > 1 AND any_indexed").drop("n", "any_indexed"), "line-keys")
-    wanted = shared.select("at").distinct().groupBy("at.doc_id", "at.text_key").agg(F.collect_set("at.place").alias("places"))  # lines of one document
+    by_key = Window.partitionBy("key")
+    used = rows.withColumns({"least": F.min("h1").over(by_key), "most": F.max("h1").over(by_key), "any_indexed": F.max("indexed").over(by_key)}).where("least < most AND any_indexed")
+    shared = stored(used.groupBy("key", "h1").agg(F.max("indexed").alias("indexed")), "line-keys")
+    wanted = classes.join(shared.select("h1").distinct(), "h1", "left_semi").groupBy("at.doc_id", "at.text_key").agg(F.collect_list(F.struct("at", "h1", "h2")).alias("wanted"))  # lines of one document
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.split(text, "\n", -1).alias("lines"))
-    texts = source.join(wanted.hint("shuffle_hash"), ["doc_id", "text_key"]).select("doc_id", "text_key", F.explode("places").alias("place"), "lines").select(F.struct("doc_id", "text_key", "place").alias("at"), F.expr("lines[place]").alias("line")).distinct()
-    held = stored(shared.join(texts, "at"), "line-texts")
-    a = held.where("indexed").select("key", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("at").alias("a_at"), F.col("line").alias("a_line"), F.expr(_finer("line", 0, 0)).alias("a_own"))
-    b = held.select("key", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("at").alias("b_at"), F.col("line").alias("b_line"), *(F.expr(_finer("line", less, shift)).alias(f"b_{less}_{k}") for k, (less, shift) in enumerate(_shifts(max_edits))))
+    texts = source.join(wanted.hint("shuffle_hash"), ["doc_id", "text_key"]).select(F.explode("wanted").alias("w"), "lines").select("w.at", "w.h1", "w.h2", F.expr("lines[w.at.place]").alias("line")).distinct().withColumn("chars", F.length("line"))
+    held = stored(shared.join(texts, "h1"), "line-texts")
+    a = held.where("indexed").select("key", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("at").alias("a_at"), F.col("line").alias("a_line"), F.expr(_finer("line", "chars", 0, 0)).alias("a_own"))
+    from_chars = {(less, shift): min(low for low, _, most in steps if (less, shift) in _shifts(most)) for _, _, most in steps for less, shift in _shifts(most)}
+    b = held.select("key", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("at").alias("b_at"), F.col("line").alias("b_line"), *(F.when(F.col("chars") - less >= low, F.expr(_finer("line", "chars", less, shift))).alias(_finer_name(less, shift)) for (less, shift), low in from_chars.items()))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = F.expr("NOT (a1 = b1 AND a2 = b2)") & F.expr(finer_segments_met(max_edits))
-    near = near & edits_within("a_line", "b_line", max_edits)
+    near = F.expr("NOT (a1 = b1 AND a2 = b2)") & near_lines(steps)
     found = a.repartition(parts, "key").join(b.repartition(parts, "key"), (a["key"] == b["key"]) & near).select("a1", "a2", "a_at", "b1", "b2", "b_at")
     found = stored(found.distinct(), "line-links")
     both = found.union(found.select("b1", "b2", "b_at", "a1", "a2", "a_at")).distinct()
     return classes.select("h1", "h2", "at"), both
 
 
-def line_verdicts(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_verdicts(docs: DataFrame, max_edits: Edits = 1, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document (id and text): doc_id, text_key, n_lines, n_copies,
     n_near (lines that go as exact and as near copies), n_links (near lines of
     other wording that its lines have), gone (places of the lines that go)."""
@@ -155,7 +192,7 @@ def line_verdicts(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_c
     return marked.groupBy("doc_id", "text_key").agg(F.count("*").alias("n_lines"), F.sum(F.col("copy").cast("long")).alias("n_copies"), F.sum(F.col("near").cast("long")).alias("n_near"), F.sum("links").alias("n_links"), F.sort_array(F.collect_list(F.when(F.col("copy") | F.col("near"), F.col("place")))).alias("gone"))
 
 
-def dedup_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_report(docs: DataFrame, max_edits: Edits = 1, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_lines, n_copies, n_near, n_links, gone."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     every = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc_id"), F.xxhash64(text).alias("text_key"))
@@ -163,7 +200,7 @@ def dedup_report(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_co
     return out.select(F.when(F.col("doc_id") != LEAST, F.col("doc_id")).alias("doc_id"), *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_lines", "n_copies", "n_near", "n_links")), F.coalesce("gone", F.expr("CAST(array() AS array<int>)")).alias("gone"))
 
 
-def remove_lines(docs: DataFrame, max_edits: int = 1, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_lines(docs: DataFrame, max_edits: Edits = 1, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines that go, all columns in place; rows that lose
     nothing keep their text as it is, null included."""
     gone = stored(line_verdicts(docs, max_edits, min_chars, id_col, text_col).where("size(gone) > 0").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "gone"), "lines-gone")

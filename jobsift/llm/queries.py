@@ -37,7 +37,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_report(documents(spark, sf_dir))
+    return line_dedup.dedup_report(documents(spark, sf_dir), line_dedup.EDITS)
 
 
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

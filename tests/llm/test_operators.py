@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from jobsift.llm import anchors, decontaminate, frames, induced_sorting, licences, line_dedup, packing, quality_rules, simhash, suffix_sort, suffix_tree_lm
+from jobsift.llm import anchors, decontaminate, frames, induced_sorting, licences, line_dedup, packing, quality_rules, queries, simhash, suffix_sort, suffix_tree_lm
 from jobsift.llm.tokens import Encoder, tokenizer_path
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -253,3 +253,35 @@ def test_substring_dedup_keeps_one_of_a_repeated_row(spark):
     for frame in (beside, apart):
         got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in anchors.remove_repeats(frame, with_text=True).collect())
         assert got == [(4, 55, 0, rows[0][1])] * 2 + [(6, 35, 25, make("b", 10))]
+
+
+def test_line_dedup_allows_more_edits_to_longer_lines(spark, monkeypatch):
+    rnd = random.Random(11)
+
+    def edited(line, n):
+        for _ in range(n):
+            k = rnd.randrange(len(line))
+            line = line[:k] + rnd.choice(["", "q" + line[k], "q"]) + line[k + 1:]
+        return line
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    steps = ((20, 2), (60, 3))
+    lines = ["of at orinre of anouth", "of that orinre of anouth"]
+    for n in (19, 20, 21, 24, 40, 58, 59, 60, 62, 90):
+        base = "".join(rnd.choice("abcde ") for _ in range(n - 1)) + "x"
+        lines += [base, *(edited(base, k) for k in (1, 2, 2, 3, 3, 3, 4))]
+    lines = [x for x in dict.fromkeys(lines) if x.strip()]
+    allowed = lambda n: 3 if n >= 60 else 2 if n >= 20 else 0
+    wanted = [k for k, x in enumerate(lines) if any(distance(x, y) <= allowed(min(len(x), len(y))) for y in lines[:k])]
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in line_dedup.dedup_report(docs, steps).collect() if r["gone"])
+    assert got == wanted and wanted[0] == 1
+    monkeypatch.setattr(queries, "documents", lambda *_: docs.where("doc_id < 2"))
+    assert {r["doc_id"]: r["n_near"] for r in queries.op7_line_dedup(spark, "").collect()} == {0: 0, 1: 1}
