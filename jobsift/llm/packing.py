@@ -5,15 +5,20 @@ document; its words query a BM25 inverted index, and the best documents that
 are still unused follow until the window is full.  The last one is cut and its
 rest opens the next window as its seed, so windows have no padding.
 
-The index is sharded: a shard holds the consecutive documents of one input
-partition that come to about ``shard_bytes`` of text, is built and used by the
-task that reads them, and is dropped then.  So packing needs no shuffle, and its
-memory is that of a shard, however many documents there are.  What is left at a
-shard's end is cut at powers of two, which need no padding either.
+Document frequencies and the mean length are those of all documents.  The corpus
+is written as blocks; each sends its distinct words with their counts, as
+columns, to ranges of words, which add them up and send the sums back.  Then
+documents are dealt by the rarest word that they share with another one, so
+documents of any two places of the corpus meet.  The index is sharded: a shard
+holds documents that come to about ``shard_bytes`` of text, ordered by that
+word, and is built, used and dropped by one task.  A group of one word that
+fills several shards is dealt to as many.  A seed still sees its own shard only:
+a neighbour whose rarest shared word is another one can be in another shard.
+What is left at a shard's end is cut at powers of two, which need no padding either.
 
 Defined cases: a null or empty text is just its end id; rows that repeat an id
 are packed each; of equal scores the earlier document is taken; documents that
-share no word with the seed follow in reading order; a document longer than a
+share no word with the seed follow in the shard's order; a document longer than a
 window goes on through as many windows as it needs; an empty table gives an
 empty result.
 """
@@ -22,36 +27,137 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import id_text, rebatched
+from .common import id_text, rebatched, stored
 from .flat_words import hashes, spans
 from .tokens import encoder_of
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+BLOCK_BYTES = 4 << 20
+BLOCKS = "block long, n_docs long, n_words long, n_bytes long, doc_ids array<long>, lengths binary, texts binary"
+ROUTED = "route long, salt int, doc_id long, text string, dfs binary"
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, lower-cased; words of each text)."""
+    flat, _, starts, ends, counts = spans(texts)
+    return hashes(LOWER[flat], starts, ends), counts
+
+
+def _texts(batch: pa.RecordBatch, row: int) -> pa.Array:
+    """The texts of a block, which is stored compressed as a whole."""
+    lengths = np.frombuffer(batch.column("lengths")[row].as_py(), np.int32)
+    offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    data = pa.Codec("zstd").decompress(batch.column("texts")[row].as_py(), int(offsets[-1])) if offsets[-1] else pa.py_buffer(b"")
+    return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), data)
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = TaskContext.get().partitionId() << 32
+    for batch in rebatched(batches, BLOCK_BYTES):
+        if batch.num_rows:
+            texts = batch.column("text")
+            raw = texts.cast(pa.binary()).to_pylist()
+            lengths = np.array([len(x) for x in raw], np.int32)
+            row = [block, batch.num_rows, int(spans(texts)[4].sum()), int(lengths.sum()), batch.column("doc_id").to_pylist(), lengths.tobytes(), pa.Codec("zstd", 3).compress(b"".join(raw), asbytes=True)]
+            kinds = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], ["block", "n_docs", "n_words", "n_bytes", "doc_ids", "lengths", "texts"])
+            block += 1
+
+
+def _counted(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of a block that have each of its words, by range of words."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            words, counts = _words(_texts(batch, row))
+            if not len(words):
+                continue
+            terms, term = np.unique(words, return_inverse=True)
+            pair = np.unique(term * len(counts) + np.repeat(np.arange(len(counts)), counts))
+            often = np.bincount(pair // len(counts), minlength=len(terms)).astype(np.uint32)
+            part = ((terms >> np.uint64(33)) * np.uint64(parts) >> np.uint64(31)).astype(np.int32)
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            columns = [pa.array([x.tobytes() for x in np.split(c, cuts)], pa.binary()) for c in (terms, often)]
+            at = part[np.append(0, cuts)]
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([batch.column("block")[row].as_py()] * len(at), pa.int64()), *columns], ["part", "block", "terms", "often"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The document frequency over all blocks, for each block's words of a range."""
+    table = pa.Table.from_batches(held) if (held := list(batches)) else None
+    if table is None or not table.num_rows:
+        return
+    terms = [np.frombuffer(x, np.uint64) for x in table["terms"].to_pylist()]
+    often = np.concatenate([np.frombuffer(x, np.uint32) for x in table["often"].to_pylist()])
+    kinds, kind = np.unique(np.concatenate(terms), return_inverse=True)
+    dfs = np.bincount(kind, often, len(kinds)).astype(np.uint32)[kind]
+    cut = np.split(dfs, np.cumsum([len(x) for x in terms])[:-1])
+    yield pa.RecordBatch.from_arrays([table["block"].combine_chunks(), table["part"].combine_chunks(), pa.array([x.tobytes() for x in cut], pa.binary())], ["block", "part", "dfs"])
+
+
+def _routed(mean_bytes: float, shard_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document with the frequencies of its words, and the rarest of those
+    that another document has."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            texts, ids = _texts(batch, row), batch.column("doc_ids")[row].values
+            words, counts = _words(texts)
+            term = np.unique(words, return_inverse=True)[1]
+            answers = batch.column("dfs")[row].as_py() or []
+            df = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x["dfs"], np.uint32) for x in answers)])[term]
+            doc = np.repeat(np.arange(len(counts)), counts)
+            at = np.flatnonzero(df > 1)
+            at = at[np.lexsort((words[at], df[at], doc[at]))]
+            at = at[np.concatenate([[True], doc[at][1:] != doc[at][:-1]])] if len(at) else at
+            route, many = np.zeros(len(counts), np.int64), np.ones(len(counts))
+            route[doc[at]], many[doc[at]] = words[at].view(np.int64), df[at]
+            salts = np.ceil(many * mean_bytes / shard_bytes).astype(np.int64)
+            salt = [zlib.crc32(t) % n if n > 1 else 0 for t, n in zip((f"{i}".encode() for i in ids.to_pylist()), salts.tolist(), strict=True)]
+            # The four bytes of the numbers apart: the higher ones are mostly zero and shuffle in few bytes.
+            cut = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in np.split(df, np.cumsum(counts)[:-1])]
+            yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(salt, pa.int32()), ids, texts, pa.array(cut, pa.binary())], ["route", "salt", "doc_id", "text", "dfs"])
+
+
+def routed(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, float]:
+    """(documents dealt and ordered by their rarest shared word, with ``dfs``,
+    the document frequency of each word; documents in all; mean words of one)."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = stored(docs.mapInArrow(_blocked, BLOCKS), "pack-blocks")
+    n, words, size = (x or 0 for x in blocks.agg(F.sum("n_docs"), F.sum("n_words"), F.sum("n_bytes")).first())
+    counted = blocks.mapInArrow(partial(_counted, parts), "part int, block long, terms binary, often binary")
+    summed = counted.repartition(parts, "part").mapInArrow(_summed, "block long, part int, dfs binary")
+    answers = summed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "dfs"))).alias("dfs"))
+    rows = blocks.join(answers.hint("shuffle_hash"), "block", "left").select("doc_ids", "lengths", "texts", "dfs")
+    rows = rows.mapInArrow(partial(_routed, size / max(n, 1), shard_bytes), ROUTED)
+    return rows.repartition(parts, "route", "salt").sortWithinPartitions("route", "salt", "doc_id", "text").select("doc_id", "text", "dfs"), n, words / max(n, 1)
 
 
 class Index:
-    """BM25 over the words of one shard's texts, lower-cased."""
+    """BM25 over the words of one shard's texts, lower-cased; ``dfs`` has the
+    document frequency of each word among ``n_docs`` documents of ``mean`` words."""
 
-    def __init__(self, texts: pa.Array, k1: float = 1.2, b: float = 0.75):
-        flat, _, starts, ends, counts = spans(texts)
+    def __init__(self, texts: pa.Array, dfs: np.ndarray, n_docs: int, mean: float, k1: float = 1.2, b: float = 0.75):
+        words, counts = _words(texts)
         n = len(counts)
-        words = hashes(LOWER[flat], starts, ends)
         term = pa.array(words).dictionary_encode().indices.to_numpy().astype(np.int64)
         doc = np.repeat(np.arange(n), counts)
+        df_of = np.zeros(int(term.max()) + 1 if len(term) else 0)
+        df_of[term] = dfs
         pair, often = np.unique(term * n + doc, return_counts=True) if n else (np.zeros(0, np.int64),) * 2
         term, doc = pair // max(n, 1), pair % max(n, 1)
         first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])) if len(term) else np.zeros(0, int)
         df = np.diff(np.append(first, len(term)))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        length = counts / max(counts.mean(), 1e-9) if n else counts
+        idf = np.log1p((n_docs - df_of + 0.5) / (df_of + 0.5))
+        length = counts / max(mean, 1e-9)
         weight = idf[np.repeat(np.arange(len(df)), df)] * often * (k1 + 1) / (often + k1 * (1 - b + b * length[doc]))
         shared = np.repeat(df > 1, df)  # a word of one document finds no other
         self.n, self.doc, self.weight = n, doc[shared], weight[shared]
@@ -135,9 +241,10 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, width: int = 2048, id_col:
         for shard in shards(batches):
             encoder = encoder_of(path)
             texts = shard.column("text")
+            dfs = np.concatenate([np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view(np.uint32)[:, 0] for x in shard.column("dfs").to_pylist()])
             ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode(texts)]
             lengths = np.array([len(x) for x in ids], np.int64)
-            picked = np.array(order(Index(texts), lengths.tolist(), width))
+            picked = np.array(order(Index(texts, dfs, n_docs, mean), lengths.tolist(), width))
             doc, start, length, sequence, offset = pieces(lengths[picked], width)
             doc = picked[doc]
             crc = [zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()) for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
@@ -151,11 +258,12 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, width: int = 2048, id_col:
         for batch in rebatched(batches, shard_bytes // 8):
             if batch.num_rows:
                 held.append(batch)
-                size += batch.nbytes
+                size += batch.column("text").nbytes
             if size >= shard_bytes:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 held, size = [], 0
         if held:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+    rows, n_docs, mean = routed(id_text(docs, id_col, text_col), shard_bytes)
+    return rows.mapInArrow(run, SCHEMA)

@@ -12,9 +12,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from jobsift.llm import anchors, decontaminate, frames, induced_sorting, licences, line_dedup, packing, quality_rules, queries, simhash, suffix_sort, suffix_tree_lm
+from jobsift.llm.common import id_text
 from jobsift.llm.tokens import Encoder, tokenizer_path
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -285,3 +287,28 @@ def test_line_dedup_allows_more_edits_to_longer_lines(spark, monkeypatch):
     assert got == wanted and wanted[0] == 1
     monkeypatch.setattr(queries, "documents", lambda *_: docs.where("doc_id < 2"))
     assert {r["doc_id"]: r["n_near"] for r in queries.op7_line_dedup(spark, "").collect()} == {0: 0, 1: 1}
+
+
+def test_packing_finds_neighbours_in_other_partitions(spark):
+    rnd = random.Random(4)
+    common = [f"c{i}" for i in range(30)]
+    rows = [(k, " ".join(rnd.choice(common) for _ in range(20)) + f" rare{k % 20}a rare{k % 20}b") for k in range(40)]
+    frames_of = lambda part: spark.createDataFrame(part, "doc_id long, text string").coalesce(1)
+    path = tokenizer_path("byte_bpe_50k.json")
+    apart = packing.pack(frames_of(rows[:20]).union(frames_of(rows[20:])), path, width=256).collect()
+    windows: dict = {}
+    for r in apart:
+        windows.setdefault(r["sequence_id"], set()).add(r["doc_id"])
+    # A filler that ends a window can leave its own neighbour behind, so not all pairs share one.
+    assert sum(any({k, k + 20} <= w for w in windows.values()) for k in range(20)) > 10
+    dealt = packing.routed(id_text(frames_of(rows[:20]).union(frames_of(rows[20:]))), 6 << 20)[0]
+    part_of = {r["doc_id"]: r["part"] for r in dealt.select("doc_id", F.spark_partition_id().alias("part")).collect()}
+    assert all(part_of[k] == part_of[k + 20] for k in range(20))
+    assert sorted(apart) == sorted(packing.pack(frames_of(rows[::-1]), path, width=256).collect())
+
+
+def test_packing_scores_by_all_documents():
+    texts, words = ["a b", "a c", "b d"], [3, 9, 3, 1, 9, 1]
+    index = packing.Index(pa.array(texts), np.array(words, np.uint32), 20, 4.0)
+    weight = lambda df: np.log1p((20 - df + 0.5) / (df + 0.5)) * 2.2 / (1 + 1.2 * (1 - 0.75 + 0.75 * 2 / 4.0))
+    assert np.allclose(index.scores(0), [weight(3) + weight(9), weight(3), weight(9)])
