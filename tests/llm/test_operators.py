@@ -312,3 +312,41 @@ def test_packing_scores_by_all_documents():
     index = packing.Index(pa.array(texts), np.array(words, np.uint32), 20, 4.0)
     weight = lambda df: np.log1p((20 - df + 0.5) / (df + 0.5)) * 2.2 / (1 + 1.2 * (1 - 0.75 + 0.75 * 2 / 4.0))
     assert np.allclose(index.scores(0), [weight(3) + weight(9), weight(3), weight(9)])
+
+
+def test_suffix_tree_scores_against_brute_force(docs):
+    mu, least, gain, depth = 4.0, 8, 8.0, suffix_tree_lm.DEPTH
+    rows = [(i, b" ".join((t or "").encode().translate(suffix_tree_lm.LOWER).split())) for i, t, _, _ in _texts()]
+    train = [t for i, t in rows if not suffix_tree_lm.held_out(i)]
+    met: dict[bytes, dict[int, int]] = {}
+    for t in train:
+        s = bytes(depth) + t + b"\1"
+        for at in range(depth, len(s)):
+            for k in range(depth + 1):
+                after = met.setdefault(s[at - k:at], {})
+                after[s[at]] = after.get(s[at], 0) + 1
+    total = {c: sum(after.values()) for c, after in met.items()}
+    kept: dict[bytes, bool] = {}
+
+    def p(context, x):
+        count, many = met.get(context, {}).get(x, 0), total.get(context, 0)
+        if not context:
+            return (count + 1) / (many + 256)
+        shorter = p(context[1:], x)
+        if len(context) > 1 and context not in kept:
+            kept[context] = many >= least and sum(n * np.log(n / many / p(context[1:], y)) for y, n in met[context].items()) >= gain
+        return (count + mu * shorter) / (many + mu) if len(context) == 1 or kept[context] else shorter
+
+    words: dict[bytes, int] = {}
+    for w in b" ".join(train).split():
+        words[w] = words.get(w, 0) + 1
+    tokens, kinds = sum(words.values()) + len(train), len(words) + 1
+    wanted = []
+    for i, t in rows:
+        s = bytes(depth) + t + b"\1"
+        logs = sum(np.log10(p(s[at - depth:at], s[at])) for at in range(depth, len(s)))
+        base = sum(np.log10((n + 1) / (tokens + kinds + 1)) for n in [*(words.get(w, 0) for w in t.split()), len(train)])
+        wanted.append((i or 0, len(t.split()) + 1, sum(w in words for w in t.split()) + 1, tokens, base, logs))
+    got = [(r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in suffix_tree_lm.score(docs).collect()]
+    assert any(kept.values()) and not all(kept.values())
+    assert np.allclose(sorted(got), sorted(wanted))
