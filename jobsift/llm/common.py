@@ -74,6 +74,19 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(steps[:n]) > 0
 
 
+#: What Spark hands to a Python worker at once, at most; several copies of it are in memory on both sides.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on the bytes of an Arrow batch, whose default
+    of 64 MB a worker is much where whole rows pass through Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(key, "64m"))
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def rebatched(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold about ``max_bytes`` at most (one row at least)."""
     for batch in batches:

@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_bytes, id_text, rebatched, stored, window_sums
+from .common import flat_bytes, id_text, rebatched, small_batches, stored, window_sums
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 8
@@ -71,10 +72,13 @@ def repeated_words(words: list[bytes], width: int = REPEAT_WINDOW) -> int:
     return int(inside.sum())
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], within: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The first column of each row, which is handed on, with the counts of its
+    text: the column ``text``, or the field ``within`` of the first column."""
     for batch in rebatched(batches, 4 << 20):
-        names = [batch.schema.names[0], *FEATURES]  # what stands before the text is handed on
-        flat, offsets = flat_bytes(batch.column("text"))
+        names = [batch.schema.names[0], *FEATURES]
+        texts = batch.column("text") if within is None else pc.fill_null(pc.struct_field(batch.column(0), within).cast(pa.string()), "")
+        flat, offsets = flat_bytes(texts)
         counts = {}
         for name, table in (("space", _SPACE), ("continued", _CONTINUED), ("n_symbols", _table(SYMBOLS)), ("n_upper", _UPPER), ("n_letters", _LETTER), ("n_marks", _table(b"!"))):
             sums = np.concatenate([[0], np.cumsum(table[flat], dtype=np.int64)])
@@ -197,6 +201,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -
     Each row is judged by itself; its columns travel with its counts, so no
     join brings the two together and null or repeated ids do no harm.
     """
-    rows = docs.select(F.struct("*").alias("kept_row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.struct("*").alias("kept_row"))
     schema = T.StructType([rows.schema["kept_row"], *(T.StructField(c, T.LongType()) for c in FEATURES)])
-    return judged(rows.mapInArrow(_features, schema), threshold).where("kept").select("kept_row.*")
+    return judged(rows.mapInArrow(lambda batches: _features(batches, text_col), schema), threshold).where("kept").select("kept_row.*")
