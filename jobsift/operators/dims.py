@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -33,7 +34,7 @@ def assign_ids(df: DataFrame, order_by: Sequence[str], key: str, start: int = 0,
     s = (df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
            .withColumn("_mid", F.monotonically_increasing_id())
            .withColumn("_pid", F.shiftright(F.col("_mid"), 33)))
-    s = s.persist(StorageLevel.MEMORY_AND_DISK)
+    s = materialize(s, "assign-ids")  # written once, as both uses below must see the same partitions
     per_part = s.groupBy("_pid").count()
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: the window here runs over a bounded table

@@ -8,7 +8,6 @@ target is stored bucketed on the key its side needs no shuffle.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -101,56 +100,17 @@ def merge_into_bucketed(spark, path: str, source: DataFrame, keys: Sequence[str]
                         update: Mapping[str, Column | str] | None = None,
                         insert: Mapping[str, Column | str] | None = None,
                         empty_target: DataFrame | None = None, finalize=None) -> dict[str, int]:
-    """MERGE a batch into a parquet table partitioned by key bucket.
-
-    Only the buckets the batch touches are read (partition pruning on a
-    bucket list bounded by ``buckets``) and only those partitions are
-    replaced (dynamic partition overwrite); the rest of the table is not
-    rewritten.  ``finalize`` may transform the merged rows (with their
-    ``MergeAction``) before the write, e.g. to number inserted rows.
-    The number of buckets is kept beside the table; a run with another one
-    raises ``BucketCountMismatch``, as it would look for keys in wrong places.
-    A rebalance by bucket before the write keeps the number of files down and
-    lets AQE split a large bucket.
-    Returns the action counts (from ``observe`` on the write).
+    """MERGE a batch into a ``BucketedTable`` (see ``operators.tables``) of which
+    only the newest version is kept, so the folder can also be read as it is.
+
+    Only the buckets the batch touches are read and rewritten.  ``finalize`` may
+    transform the merged rows (with their ``MergeAction``) before the write, e.g.
+    to number inserted rows.  Returns the action counts.
     """
-    from pyspark.sql import Observation
-
-    from ..session import path_exists, scratch_path
-
-    meta = path.rstrip("/") + "._meta"
-    if path_exists(spark, meta):
-        stored = spark.read.parquet(meta).first()["buckets"]
-        if stored != buckets:
-            raise BucketCountMismatch(f"{path} has {stored} buckets, not {buckets}")
-    else:
-        spark.createDataFrame([(buckets,)], "buckets int").write.parquet(meta)
-    src = with_bucket(source, keys, buckets)
-    touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # <= buckets values
-    if not touched:
-        return {"inserted": 0, "updated": 0}
-    if path_exists(spark, path):
-        target = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
-    else:
-        if empty_target is None:
+    from .tables import BucketedTable, COMMIT, FOLDER, MANIFESTS
+    from ..session import path_exists
+    if empty_target is None:
+        if not path_exists(spark, f"{path.rstrip('/')}/{MANIFESTS}"):
             raise ValueError("empty_target schema is needed for the first run")
-        target = with_bucket(empty_target, keys, buckets)
-    tcols = [c for c in target.columns if c != BUCKET]
-    upd = dict(update) if update is not None else None
-    ins = dict(insert) if insert is not None else None
-    merged = merge(target.select(*tcols, BUCKET), src, keys,
-                   update=None if upd is None else {**upd, BUCKET: BUCKET},
-                   insert=None if ins is None else {**ins, BUCKET: BUCKET})
-    if finalize is not None:
-        merged = finalize(merged)
-    # the merged buckets are written to a side table in the shared scratch
-    # folder first: the final write replaces partitions that the plan reads
-    tmp = scratch_path(spark, f"merge-{uuid.uuid4().hex[:12]}")
-    obs = Observation("bucketed_merge")
-    (merged.observe(obs, F.count_if(F.col(ACTION) == "INSERT").alias("inserted"),
-                    F.count_if(F.col(ACTION) == "UPDATE").alias("updated"))
-           .drop(ACTION).hint("rebalance", F.col(BUCKET)).write.mode("overwrite").partitionBy(BUCKET).parquet(tmp))
-    counts = {k: int(v) for k, v in obs.get.items()}
-    (spark.read.parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(BUCKET).parquet(path))
-    return counts
+        empty_target = spark.read.parquet(path).drop(COMMIT, FOLDER, BUCKET)
+    return BucketedTable(spark, path, keys, buckets, empty_target.schema, keep=1).merge(source, update, insert, finalize)

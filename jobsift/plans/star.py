@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dims import assign_ids, calendar_fill, dim_fill, dim_fill_child, max_key, union_dim
+from ..operators.dims import assign_ids, assign_ids_small, calendar_fill, calendar_rows, max_key
 from ..operators.upsert import ACTION, merge
-from ..session import AS_OF
+from ..session import AS_OF, materialize
 
-# (dimension, key, name column, clean-fact column, bounded vocabulary?)
+# (dimension, key, name column, clean-fact column, members come from the rule tables?)
 NAME_DIMS = (
     ("Dim_Nguon", "NguonID", "TenNguon", "Nguon", True),
     ("Dim_CapBac", "CapBacID", "TenCapBac", "CapBac_clean", True),
@@ -45,42 +45,109 @@ def v2_to_star(clean: DataFrame) -> DataFrame:
     return clean.withColumnsRenamed(V2_TO_STAR)
 
 
-def fill_dims(src: DataFrame, dims: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """D1 + D2 + D3: every dimension after this run (existing + new members)."""
-    dims = dict(dims or {})
-    out: dict[str, DataFrame] = {}
-    for table, key, name, col, bounded in NAME_DIMS:
-        new = dim_fill(dims.get(table), src, col, key, name, bounded=bounded)
-        out[table] = union_dim(dims.get(table), new)
-    t, key, name, col = PROVINCE_DIM
-    # v2 provinces come from the merge table (bounded); v1 may keep raw text, so callers of v1 pass bounded=False
-    new = dim_fill_child(dims.get(t), src, col, "KhuVuc", out["Dim_KhuVuc"], "TenKhuVuc", "KhuVucID", key, name,
-                         bounded=True)
-    out[t] = union_dim(dims.get(t), new)
-    new_days = calendar_fill(dims.get("Dim_ThoiGian"), src, "NgayCaoDuLieu")
-    out["Dim_ThoiGian"] = union_dim(dims.get("Dim_ThoiGian"), new_days)
+#: A dimension of at most so many rows, counted in the run, is broadcast; a larger one is left to AQE.
+BROADCAST_ROWS = 20_000
+DIM_TABLE = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
+                          T.StructField("parent_id", T.IntegerType()), T.StructField("dim", T.StringType())])
+
+
+class Dims(dict):
+    """The dimension tables by name, as one stored table ``stored`` (id, name,
+    parent_id, dim) holds them, and their numbers of rows, ``rows``."""
+
+    def __init__(self, stored: DataFrame, rows: dict[str, int]):
+        self.stored, self.rows = stored, rows
+        of = {t: stored.where(F.col("dim") == t) for t in DIM_TABLES}
+        super().__init__({t: of[t].select(F.col("id").alias(key), F.col("name").alias(name)) for t, key, name, *_ in NAME_DIMS})
+        t, key, name, _ = PROVINCE_DIM
+        self[t] = of[t].select(F.col("id").alias(key), F.col("name").alias(name), F.col("parent_id").alias("KhuVucID"))
+        self["Dim_ThoiGian"] = calendar_rows(of["Dim_ThoiGian"].select(F.col("name").cast("date").alias("FullDate")))
+
+
+def _stored_form(dims: dict[str, DataFrame]) -> DataFrame:
+    """Dimension tables under their own column names as one table."""
+    columns = {t: (key, name, None) for t, key, name, *_ in NAME_DIMS}
+    columns |= {PROVINCE_DIM[0]: (*PROVINCE_DIM[1:3], "KhuVucID"), "Dim_ThoiGian": ("DateKey", "FullDate", None)}
+    out = None
+    for t, df in dims.items():
+        key, name, parent = columns[t]
+        one = df.select(F.col(key).cast("int").alias("id"), F.col(name).cast("string").alias("name"),
+                        (F.col(parent) if parent else F.lit(None)).cast("int").alias("parent_id"), F.lit(t).alias("dim"))
+        out = one if out is None else out.unionByName(one)
     return out
 
 
+def dim_members(src: DataFrame) -> DataFrame:
+    """``(dim, name, parent)``: the distinct members of all dimensions in one
+    pass over the source; ``parent`` is the region of a province."""
+    none = F.lit(None).cast("string")
+    day = F.col("NgayCaoDuLieu").cast("string").try_cast("date").cast("string")
+    each = [(t, F.col(col), none) for t, _, _, col, _ in NAME_DIMS] + [(PROVINCE_DIM[0], F.col(PROVINCE_DIM[3]), F.col("KhuVuc")), ("Dim_ThoiGian", day, none)]
+    members = F.inline(F.array(*[F.struct(F.lit(t).alias("dim"), c.cast("string").alias("name"), p.alias("parent")) for t, c, p in each]))
+    return src.select(members).where("name IS NOT NULL").distinct()
+
+
+def fill_dims(src: DataFrame, dims: dict[str, DataFrame] | None = None) -> Dims:
+    """D1 + D2 + D3: every dimension after this run (existing + new members).
+
+    The source is read once, for the distinct members of all dimensions.  New
+    members (left anti join by name) are numbered after the largest id of their
+    dimension, in name order; those of a dimension too large for one task by the
+    partition-offset numbering.  All are written as one table.
+    """
+    spark = src.sparkSession
+    members = materialize(dim_members(src), "dim-members")
+    old = dims.stored if isinstance(dims, Dims) else _stored_form(dims) if dims else spark.createDataFrame([], DIM_TABLE)
+    state = {r["dim"]: r for r in old.groupBy("dim").agg(F.max("id").alias("top"), F.count("*").alias("n")).collect()}
+    fresh = materialize(members.join(old.select("dim", "name"), ["dim", "name"], "left_anti"), "dim-fresh")
+    many = {r["dim"]: r["count"] for r in fresh.groupBy("dim").count().collect()}
+    top = {t: state[t]["top"] if t in state else 0 for t in DIM_TABLES}
+    number = {t: assign_ids if many.get(t, 0) > BROADCAST_ROWS else assign_ids_small for t in DIM_TABLES}
+
+    def stored_rows(t: str, rows: DataFrame, order: list[str]) -> DataFrame:
+        return number[t](rows, order, "id", start=top[t]).select("id", "name", F.col("parent_id").cast("int").alias("parent_id"), F.lit(t).alias("dim"))
+
+    new = old.select(*DIM_TABLE.fieldNames())
+    for t, *_ in NAME_DIMS:
+        if t in many:
+            rows = stored_rows(t, fresh.where(F.col("dim") == t).select("name", F.lit(None).alias("parent_id")), ["name"])
+            new = new.unionByName(rows)
+    t = PROVINCE_DIM[0]
+    if t in many:
+        regions = new.where("dim = 'Dim_KhuVuc'").select(F.col("name").alias("parent"), F.col("id").alias("parent_id"))
+        pairs = fresh.where(F.col("dim") == t).select("name", "parent").join(regions, "parent", "left").select("name", "parent_id").distinct()
+        new = new.unionByName(stored_rows(t, pairs, ["name", "parent_id"]))
+    days = calendar_fill(old.where("dim = 'Dim_ThoiGian'").select(F.col("name").cast("date").alias("FullDate")),
+                         members.where("dim = 'Dim_ThoiGian'").select("name"), "name")
+    new = new.unionByName(days.select(F.col("DateKey").alias("id"), F.col("FullDate").cast("string").alias("name"),
+                                      F.lit(None).cast("int").alias("parent_id"), F.lit("Dim_ThoiGian").alias("dim")))
+    rows = {t: many.get(t, 0) + (state[t]["n"] if t in state else 0) for t in DIM_TABLES}
+    return Dims(materialize(new, "dims"), rows)
+
+
 def star_source(src: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """The MERGE source -- hash, link, date key, 11 FKs (-1 when no
     match), measure (1 when missing).
 
-    Dimensions drawn from a fixed label vocabulary are broadcast (their size
-    is bounded by the rule tables); the company dimension grows with the
-    data, so its join is left to AQE, which broadcasts it only when the
-    runtime size is under the threshold and shuffles otherwise.
+    A dimension that ``fill_dims`` counted and found small is broadcast; any
+    other join is left to AQE, which broadcasts only what is under its threshold
+    at runtime and shuffles otherwise.
     """
+    rows = dims.rows if isinstance(dims, Dims) else {}
+
+    def sized(t: str, d: DataFrame) -> DataFrame:
+        return F.broadcast(d) if t in rows and rows[t] <= BROADCAST_ROWS else d
+
     df = src.select("JobHash", "LinkBaiTuyenDung", "NgayCaoDuLieu", "SoLuongTuyen_clean", "Tinh_Thanh",
                     *[c for _, _, _, c, _ in NAME_DIMS if c != "KhuVuc"])
-    for table, key, name, col, bounded in NAME_DIMS:
+    for table, key, name, col, _ in NAME_DIMS:
         if table == "Dim_KhuVuc":
             continue  # the region key comes from the province dimension
         d = dims[table].select(F.col(name).alias(f"_n_{key}"), key)
-        df = df.join(F.broadcast(d) if bounded else d, F.col(col) == F.col(f"_n_{key}"), "left")
+        df = df.join(sized(table, d), F.col(col) == F.col(f"_n_{key}"), "left")
     prov = dims["Dim_TinhThanh"].groupBy("TenTinhThanh").agg(F.min("TinhThanhID").alias("TinhThanhID"),
                                                              F.min_by("KhuVucID", "TinhThanhID").alias("KhuVucID"))
-    df = df.join(F.broadcast(prov), F.col("Tinh_Thanh") == F.col("TenTinhThanh"), "left")
+    df = df.join(sized("Dim_TinhThanh", prov), F.col("Tinh_Thanh") == F.col("TenTinhThanh"), "left")
     date_key = F.date_format(F.col("NgayCaoDuLieu").cast("string").try_cast("date"), "yyyyMMdd").cast("int")
     return df.select(
         "JobHash", "LinkBaiTuyenDung", date_key.alias("DateKey"),
@@ -92,23 +159,30 @@ def empty_fact(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], FACT_SCHEMA)
 
 
-def star_merge(fact: DataFrame, source: DataFrame, as_of: str = AS_OF) -> DataFrame:
-    """MERGE by JobHash -- matched rows get new FKs, measure and
-    NgayCapNhat (link and NgayTao untouched); new rows are inserted with
-    both timestamps and the next FactIDs (in JobHash order)."""
+def _star_columns(as_of: str) -> tuple[dict, dict]:
+    """What matched rows take (new FKs, measure and NgayCapNhat; link and NgayTao
+    untouched) and what new rows take."""
     now = F.lit(as_of).cast("timestamp_ntz")
     upd = {c: c for c in ("DateKey", *FK_COLUMNS, "SoLuongTuyen")}
-    upd["NgayCapNhat"] = now
     ins = {c: c for c in ("JobHash", "DateKey", *FK_COLUMNS, "SoLuongTuyen", "LinkBaiTuyenDung")}
-    ins["NgayTao"] = now
-    ins["NgayCapNhat"] = now
-    merged = merge(fact, source, ["JobHash"], update=upd, insert=ins)
-    inserted = merged.filter(F.col(ACTION) == "INSERT")
+    return upd | {"NgayCapNhat": now}, ins | {"NgayTao": now, "NgayCapNhat": now}
+
+
+def number_inserts(merged: DataFrame, start: int) -> DataFrame:
+    """The next FactIDs for the inserted rows, in JobHash order.  The merged rows
+    are written first, so the plan above them runs once for all that follows."""
+    merged = materialize(merged, "star-merged")
+    inserted = merged.filter(F.col(ACTION) == "INSERT").drop("FactID")
     kept = merged.filter(F.col(ACTION).isNull() | (F.col(ACTION) == "UPDATE"))
-    cols = [c for c in FACT_SCHEMA.fieldNames() if c != "FactID"]
-    numbered = assign_ids(inserted.select(*cols, ACTION), ["JobHash"], "FactID", start=max_key(fact, "FactID"),
-                          key_type="bigint")
-    return kept.unionByName(numbered)
+    return kept.unionByName(assign_ids(inserted, ["JobHash"], "FactID", start=start, key_type="bigint"))
+
+
+def star_merge(fact: DataFrame, source: DataFrame, as_of: str = AS_OF) -> DataFrame:
+    """MERGE by JobHash; the source is written first, as the check of its
+    keys and the merge both read it."""
+    upd, ins = _star_columns(as_of)
+    merged = merge(fact, materialize(source, "star-source"), ["JobHash"], update=upd, insert=ins)
+    return number_inserts(merged, max_key(fact, "FactID"))
 
 
 def star_load(clean_v2_fact: DataFrame, dims: dict[str, DataFrame] | None = None, fact: DataFrame | None = None,
@@ -137,57 +211,44 @@ def postings_report(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 def flagship_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..workloads.postings import raw_fact
     from .clean import clean_v2
-    from ..session import materialize
     clean = materialize(clean_v2(raw_fact(spark, sf_dir)), "clean_v2")
     dims, fact = star_load(clean)
     return postings_report(fact, dims)
 
 
-def star_load_job(spark: SparkSession, clean_path: str, root: str, buckets: int = 1024,
-                  as_of: str = AS_OF) -> dict[str, int]:
-    """X5 as a job over stored tables.
-
-    Dimensions (small, bounded or growing slowly) are kept as versioned
-    tables under ``root/dims/<name>``; the star fact under ``root/fact`` is
-    partitioned by ``pmod(xxhash64(JobHash), buckets)`` and merged bucket
-    by bucket (only buckets touched by this run are read and replaced).
-    New facts get FactIDs after the table's current maximum, in JobHash
-    order.
-    """
-    from ..operators.upsert import merge_into_bucketed
-    from ..session import path_exists
-    from .staging import read_current, write_version
-
-    def dim_path(t: str) -> str:
-        return f"{root.rstrip('/')}/dims/{t}"
-
-    src = v2_to_star(spark.read.parquet(clean_path))
-    existing, versions = {}, {}
-    for table in DIM_TABLES:
-        df, v = read_current(spark, dim_path(table), None)
-        if df is not None:
-            existing[table] = df
-        versions[table] = v
-    dims = fill_dims(src, existing)
-    for table, df in dims.items():
-        write_version(df, dim_path(table), versions[table] + 1)
-    dims = {t: read_current(spark, dim_path(t), None)[0] for t in dims}
-
-    fact_path = f"{root.rstrip('/')}/fact"
-    start = 0
-    if path_exists(spark, fact_path):
-        start = int(spark.read.parquet(fact_path).agg(F.max("FactID")).first()[0] or 0)
-    now = F.lit(as_of).cast("timestamp_ntz")
-    upd = {c: c for c in ("DateKey", *FK_COLUMNS, "SoLuongTuyen")}
-    upd["NgayCapNhat"] = now
-    ins = {c: c for c in ("JobHash", "DateKey", *FK_COLUMNS, "SoLuongTuyen", "LinkBaiTuyenDung")}
-    ins.update({"NgayTao": now, "NgayCapNhat": now})
+def read_dims(spark: SparkSession, root: str) -> Dims | None:
+    """The dimensions that the last star load under ``root`` left."""
+    from .staging import read_current
+    stored, version = read_current(spark, f"{root.rstrip('/')}/dims", None)
+    if not version:
+        return None
+    stored = stored.select(*DIM_TABLE.fieldNames())
+    return Dims(stored, {r["dim"]: r["count"] for r in stored.groupBy("dim").count().collect()})
+
+
+def star_table(spark: SparkSession, root: str, buckets: int = 1024, keep: int = 2):
+    from ..operators.tables import BucketedTable
+    return BucketedTable(spark, f"{root.rstrip('/')}/fact", ["JobHash"], buckets, FACT_SCHEMA, keep)
+
 
-    def number_inserts(merged: DataFrame) -> DataFrame:
-        inserted = merged.filter(F.col(ACTION) == "INSERT").drop("FactID")
-        kept = merged.filter(F.col(ACTION).isNull() | (F.col(ACTION) == "UPDATE"))
-        numbered = assign_ids(inserted, ["JobHash"], "FactID", start=start, key_type="bigint")
-        return kept.unionByName(numbered)
+def load_star(src: DataFrame, root: str, buckets: int = 1024, as_of: str = AS_OF, batch: tuple | None = None, keep: int = 2) -> dict[str, int]:
+    """X5 over stored tables: fill the dimensions under ``root/dims`` (one version
+    a run, members keep their keys), then merge into the star fact under
+    ``root/fact``, of which only buckets touched by ``src`` are read and replaced.
+    A run that fails between the two leaves members without facts, which the next
+    run finds and keeps.  New facts get FactIDs after the largest there is."""
+    from .staging import next_version
+    spark = src.sparkSession
+    dims = fill_dims(src, read_dims(spark, root))
+    next_version(dims.stored, f"{root.rstrip('/')}/dims")
+    table = star_table(spark, root, buckets, keep)
+    start = max_key(table.read(), "FactID")
+    upd, ins = _star_columns(as_of)
+    return table.merge(materialize(star_source(src, dims), "star-source"), upd, ins, lambda merged: number_inserts(merged, start), batch)
 
-    return merge_into_bucketed(spark, fact_path, star_source(src, dims), ["JobHash"], buckets, upd, ins,
-                               empty_target=empty_fact(spark), finalize=number_inserts)
+
+def star_load_job(spark: SparkSession, clean_path: str, root: str, buckets: int = 1024,
+                  as_of: str = AS_OF) -> dict[str, int]:
+    """``load_star`` of the clean fact at ``clean_path``; the fact's folder holds
+    its newest version only, so it can be read as it is."""
+    return load_star(v2_to_star(spark.read.parquet(clean_path)), root, buckets, as_of, keep=1)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,8 +63,6 @@ def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: cuts the lineage so later stages reread a stored table instead of
     recomputing the plan (and survive executor loss)."""
-    import uuid
-
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
@@ -88,3 +87,50 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, through the Hadoop FileSystem."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small text file as a whole: it is written beside ``path`` and
+    renamed, which fails when ``path`` is there already."""
+    jvm = spark.sparkContext._jvm
+    fs, target = _fs(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    keep[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        files.rename(draft, target, keep)
+    except Exception:
+        fs.delete(draft, False)
+        raise FileExistsError(path) if fs.exists(target) else OSError(f"cannot create {path}") from None
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path`` ([] when it does not exist)."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()] if fs.exists(p) else []
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    fs, p = _fs(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(p) or []]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

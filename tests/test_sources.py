@@ -72,7 +72,7 @@ def test_bucketed_staging_job(spark, sf):
 
 def test_star_load_job_bucketed(spark, sf):
     from jobsift.plans.clean import clean_v2
-    from jobsift.plans.star import star_load_job
+    from jobsift.plans.star import read_dims, star_load_job
     from jobsift.workloads.postings import raw_fact
     root = tempfile.mkdtemp(prefix="jobsift-star-")
     clean_path = os.path.join(root, "clean")
@@ -85,7 +85,7 @@ def test_star_load_job_bucketed(spark, sf):
     fact = spark.read.parquet(os.path.join(root, "dw", "fact"))
     ids = sorted(r[0] for r in fact.select("FactID").collect())
     assert ids == list(range(1, n + 1))
-    dim = spark.read.parquet(os.path.join(root, "dw", "dims", "Dim_CongTy", "v=2"))
+    dim = read_dims(spark, os.path.join(root, "dw"))["Dim_CongTy"]
     assert dim.count() == dim.select("TenCongTy").distinct().count()
 
 
