@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# staging postings: 18 staging columns + row_id (three rows share each link)
+# staging postings: 18 staging columns + row_id (three rows share each link, some have none)
 STG_SQL = """
 WITH b AS (
   SELECT o.o_orderkey AS k, CAST(o.o_orderdate AS DATE) AS d, c.c_name, c.c_mktsegment, n.n_name, o.o_orderpriority
@@ -41,7 +41,7 @@ SELECT
   'Bảo hiểm, thưởng' AS QuyenLoi,
   CASE k % 6 WHEN 0 THEN concat('Hạn nộp hồ sơ: ', CAST(1 + k % 28 AS STRING), '/', CAST(1 + k % 12 AS STRING), '/2025') WHEN 1 THEN 'Còn 20 ngày tới'
     WHEN 2 THEN '31/02/2025' WHEN 3 THEN NULL WHEN 4 THEN '5-6-2025' ELSE 'Thỏa thuận' END AS HanNopHoSo,
-  concat('https://jobs.example.com/viec-lam/', CAST(k - k % 3 AS STRING), '.html') AS LinkBaiTuyenDung,
+  CASE WHEN (k - k % 3) % 33 <> 0 THEN concat('https://jobs.example.com/viec-lam/', CAST(k - k % 3 AS STRING), '.html') END AS LinkBaiTuyenDung,
   o_orderpriority AS Nguon, d AS NgayCaoDuLieu,
   CASE k % 5 WHEN 0 THEN 'CNTT - Phần mềm' WHEN 1 THEN 'Ngân hàng / Kế toán' WHEN 2 THEN c_mktsegment WHEN 3 THEN NULL ELSE 'Marketing' END AS LinhVuc,
   k AS row_id

@@ -3,8 +3,8 @@
 Surrogate keys continue an IDENTITY column: new members get
 ``max(existing id) + rank`` in name order.  The rank is computed without a
 single-partition window: rows are range-partitioned and sorted by name,
-each partition counts its rows, and a per-partition offset (one row per
-partition, so a bounded table) is broadcast back.
+each partition counts its rows, and the offsets (one number per partition, so a
+bounded list) are added to the places within.
 """
 
 from __future__ import annotations
@@ -35,14 +35,14 @@ def assign_ids(df: DataFrame, order_by: Sequence[str], key: str, start: int = 0,
            .withColumn("_mid", F.monotonically_increasing_id())
            .withColumn("_pid", F.shiftright(F.col("_mid"), 33)))
     s = materialize(s, "assign-ids")  # written once, as both uses below must see the same partitions
-    per_part = s.groupBy("_pid").count()
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: the window here runs over a bounded table
-    offsets = per_part.select("_pid", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
-    out = s.join(F.broadcast(offsets), "_pid").select(
-        *df.columns,
-        (F.lit(start + 1) + F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW33))).cast(key_type).alias(key))
-    return out
+    # one number a partition: bounded by the number of shuffle partitions
+    counts = {r["_pid"]: r["count"] for r in s.groupBy("_pid").count().collect()}
+    before, offsets = 0, [0]
+    for pid in range(max(counts, default=0) + 1):
+        offsets.append(before)
+        before += counts.get(pid, 0)
+    offset = F.element_at(F.lit(offsets[1:]), F.col("_pid").cast("int") + 1).cast("bigint")
+    return s.select(*df.columns, (F.lit(start + 1) + offset + F.col("_mid").bitwiseAND(F.lit(_LOW33))).cast(key_type).alias(key))
 
 
 def assign_ids_small(df: DataFrame, order_by: Sequence[str], key: str, start: int = 0,

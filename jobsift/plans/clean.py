@@ -14,6 +14,7 @@ from ..functions import classify as C
 from ..functions import parsers as P
 from ..functions.dates import deadline_v1, deadline_v2
 from ..functions.text import py_strip, title_case
+from ..operators.dedupe import first_per_key
 from ..operators.geo import geo_explode_v1, geo_explode_v2, with_clean_hash
 from ..operators.impute import impute_group_mean
 from ..session import AS_OF, AS_OF_DATE
@@ -97,9 +98,21 @@ def with_v2_features(df: DataFrame, as_of_date: str = AS_OF_DATE) -> DataFrame:
 
 def clean_v2(df: DataFrame, as_of: str = AS_OF, as_of_date: str = AS_OF_DATE, links_unique: bool = True,
              order_col: str | None = None, trim_output: bool = True) -> DataFrame:
-    """Raw fact rows -> 51-column clean fact, one row per (link, province)."""
+    """Raw fact rows -> 51-column clean fact, one row per (link, province).
+
+    A NULL link is one link here, as in the source's drop of duplicates, and a
+    MERGE by link inserts NULL links anew each time.  So rows without a link are
+    always reduced to one a province, the smallest by crawl date and texts, in a
+    branch of their own; the others need no shuffle when links are unique.
+    """
     feats = with_v2_features(df, as_of_date)
-    geo = geo_explode_v2(feats, links_unique=links_unique, order_col=order_col)
+    if links_unique:
+        link = F.col("LinkBaiTuyenDung")
+        without = geo_explode_v2(feats.filter(link.isNull()))
+        rank = [c for c in ("NgayCaoDuLieu", *ROW_TEXT_COLUMNS) if c in without.columns]
+        geo = geo_explode_v2(feats.filter(link.isNotNull())).unionByName(first_per_key(without, ["LinkBaiTuyenDung", "Tinh_Thanh"], rank))
+    else:
+        geo = geo_explode_v2(feats, links_unique=False, order_col=order_col)
     out = with_clean_hash(geo).withColumn("NgayXuLyDL", F.lit(as_of).cast("timestamp_ntz"))
     out = out.select(*CLEAN_V2_COLUMNS)
     return trim_all_text(out) if trim_output else out

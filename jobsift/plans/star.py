@@ -3,7 +3,9 @@ lookup, idempotent fact upsert, and the consumption report."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,39 +92,46 @@ def dim_members(src: DataFrame) -> DataFrame:
 def fill_dims(src: DataFrame, dims: dict[str, DataFrame] | None = None) -> Dims:
     """D1 + D2 + D3: every dimension after this run (existing + new members).
 
-    The source is read once, for the distinct members of all dimensions.  New
-    members (left anti join by name) are numbered after the largest id of their
-    dimension, in name order; those of a dimension too large for one task by the
-    partition-offset numbering.  All are written as one table.
+    The source is read once, for the distinct members of all dimensions, which
+    are counted as they are written.  New members (left anti join by name) are
+    numbered after the largest id of their dimension, in name order: those of all
+    small dimensions in one window, a large one by the partition-offset
+    numbering.  All are written as one table.
     """
     spark = src.sparkSession
-    members = materialize(dim_members(src), "dim-members")
-    old = dims.stored if isinstance(dims, Dims) else _stored_form(dims) if dims else spark.createDataFrame([], DIM_TABLE)
-    state = {r["dim"]: r for r in old.groupBy("dim").agg(F.max("id").alias("top"), F.count("*").alias("n")).collect()}
-    fresh = materialize(members.join(old.select("dim", "name"), ["dim", "name"], "left_anti"), "dim-fresh")
-    many = {r["dim"]: r["count"] for r in fresh.groupBy("dim").count().collect()}
-    top = {t: state[t]["top"] if t in state else 0 for t in DIM_TABLES}
-    number = {t: assign_ids if many.get(t, 0) > BROADCAST_ROWS else assign_ids_small for t in DIM_TABLES}
-
-    def stored_rows(t: str, rows: DataFrame, order: list[str]) -> DataFrame:
-        return number[t](rows, order, "id", start=top[t]).select("id", "name", F.col("parent_id").cast("int").alias("parent_id"), F.lit(t).alias("dim"))
-
-    new = old.select(*DIM_TABLE.fieldNames())
-    for t, *_ in NAME_DIMS:
-        if t in many:
-            rows = stored_rows(t, fresh.where(F.col("dim") == t).select("name", F.lit(None).alias("parent_id")), ["name"])
-            new = new.unionByName(rows)
+    old = dims.stored if isinstance(dims, Dims) else _stored_form(dims) if dims else None
+    seen = Observation(f"dims-{uuid.uuid4().hex}")
+    each = [F.count_if(F.col("dim") == t).alias(t) for t in DIM_TABLES]
+    fresh = dim_members(src)
+    members = fresh = materialize(fresh if old is not None else fresh.observe(seen, *each), "dim-members")
+    top, have = {}, {}
+    if old is not None:
+        for r in old.groupBy("dim").agg(F.max("id").alias("top"), F.count("*").alias("n")).collect():  # a row a dimension
+            top[r["dim"]], have[r["dim"]] = r["top"], r["n"]
+        fresh = materialize(members.join(old.select("dim", "name"), ["dim", "name"], "left_anti").observe(seen, *each), "dim-fresh")
+    many = seen.get
+    starts = F.create_map(*[F.lit(x) for t in DIM_TABLES for x in (t, top.get(t, 0))])
+    columns = DIM_TABLE.fieldNames()
+    named = [t for t, *_ in NAME_DIMS]
+    small = [t for t in named if many[t] <= BROADCAST_ROWS]
+    rank = F.row_number().over(Window.partitionBy("dim").orderBy("name"))  # BROADCAST_ROWS rows a dimension at most
+    new = fresh.where(F.col("dim").isin(small)).select((starts[F.col("dim")] + rank).cast("int").alias("id"), "name", F.lit(None).cast("int").alias("parent_id"), "dim")
+    for t in set(named) - set(small):
+        rows = fresh.where(F.col("dim") == t).select("name", F.lit(None).cast("int").alias("parent_id"), "dim")
+        new = new.unionByName(assign_ids(rows, ["name"], "id", start=top.get(t, 0)).select(columns))
+    if old is not None:
+        new = old.select(columns).unionByName(new)
     t = PROVINCE_DIM[0]
-    if t in many:
+    if many[t]:
         regions = new.where("dim = 'Dim_KhuVuc'").select(F.col("name").alias("parent"), F.col("id").alias("parent_id"))
-        pairs = fresh.where(F.col("dim") == t).select("name", "parent").join(regions, "parent", "left").select("name", "parent_id").distinct()
-        new = new.unionByName(stored_rows(t, pairs, ["name", "parent_id"]))
-    days = calendar_fill(old.where("dim = 'Dim_ThoiGian'").select(F.col("name").cast("date").alias("FullDate")),
+        pairs = fresh.where(F.col("dim") == t).select("name", "parent", "dim").join(regions, "parent", "left").select("name", "parent_id", "dim").distinct()
+        number = assign_ids_small if many[t] <= BROADCAST_ROWS else assign_ids
+        new = new.unionByName(number(pairs, ["name", "parent_id"], "id", start=top.get(t, 0)).select(columns))
+    days = calendar_fill(None if old is None else old.where("dim = 'Dim_ThoiGian'").select(F.col("name").cast("date").alias("FullDate")),
                          members.where("dim = 'Dim_ThoiGian'").select("name"), "name")
     new = new.unionByName(days.select(F.col("DateKey").alias("id"), F.col("FullDate").cast("string").alias("name"),
                                       F.lit(None).cast("int").alias("parent_id"), F.lit("Dim_ThoiGian").alias("dim")))
-    rows = {t: many.get(t, 0) + (state[t]["n"] if t in state else 0) for t in DIM_TABLES}
-    return Dims(materialize(new, "dims"), rows)
+    return Dims(materialize(new, "dims"), {t: many[t] + have.get(t, 0) for t in DIM_TABLES})
 
 
 def star_source(src: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

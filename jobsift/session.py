@@ -134,3 +134,12 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename within one file system; the folder of ``target`` is made first."""
+    fs, source = _fs(spark, path)
+    goal = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(source, goal):
+        raise OSError(f"cannot move {path} to {target}")

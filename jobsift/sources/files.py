@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,21 +122,103 @@ def union_by_name(frames) -> DataFrame:
     return out
 
 
+#: Spark decides by these endings that a file is packed.
+PACKED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
+QUARANTINE = T.StructType([T.StructField("path", T.StringType()), T.StructField("error", T.StringType())])
+
+
+def inspect_files(spark: SparkSession, files: list[str]) -> list:
+    """``(path, header, problem)`` of each file of a drop, in one pass; only these
+    reach the driver, which lists the files anyway.  A file without a header line
+    or that is no UTF-8 text is a problem; packed files show theirs when read."""
+    text, packed = F.col("content").cast("string"), F.col("path").rlike(PACKED)
+    head = F.regexp_replace(F.substring_index(text, "\n", 1), "^\ufeff|\\s+$", "")
+    found = spark.read.format("binaryFile").load(files).select(
+        "path", F.when(~packed, head).alias("header"),
+        F.when((F.col("length") == 0) | (~packed & (head == "")), "no header line").when(~packed & ~F.is_valid_utf8(text), "not UTF-8 text").alias("problem"))
+    rows = found.orderBy("path").collect()
+    unknown = [r["path"] for r in rows if r["header"] is None and r["problem"] is None]
+    heads = {p: h for h, p in _packed_headers(spark, unknown)} if unknown else {}
+    return [(r["path"], heads.get(r["path"], r["header"]), r["problem"]) for r in rows]
+
+
+def _packed_headers(spark: SparkSession, files: list[str]) -> list[tuple[str, str]]:
+    heads = (spark.read.option("ignoreCorruptFiles", True).text(files)
+             .select("value", F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))").alias("file"), F.monotonically_increasing_id().alias("place"))
+             .groupBy("file").agg(F.min_by("value", "place").alias("header")).collect())
+    plain = {f.split(":", 1)[-1].lstrip("/"): f for f in files}
+    return [(r["header"].strip("\ufeff \r\n\t"), plain[r["file"].split(":", 1)[-1].lstrip("/")]) for r in heads]
+
+
+def _strict(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Rows of files with one header, all text; a file that breaks off fails the read."""
+    r = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8").option("ignoreCorruptFiles", False))
+    return r.csv(files)
+
+
+def backup_drop(spark: SparkSession, files: list[str], path: str) -> tuple[int, list[str], list[tuple[str, str]]]:
+    """Write the full rows of all files of a drop to ``path`` as one table, with
+    the file each came from in ``_file``; returns (rows, files read, (file, error)
+    of those that cannot be read).
+
+    All files are read in one job, strictly.  Only if that fails is each file read
+    by itself, some at a time, to find which; their rows are then left out as a
+    whole, so no half of a damaged file is loaded.
+    """
+    from pyspark.sql import Observation
+
+    looked = inspect_files(spark, files)
+    bad = [(p, problem) for p, _, problem in looked if problem]
+    good = {p: h for p, h, problem in looked if not problem}
+    damaged: list[tuple[str, str]] = []
+    while good:
+        groups: dict[str, list[str]] = {}
+        for p, h in good.items():
+            groups.setdefault(h or p, []).append(p)
+        rows = union_by_name([_strict(spark, g).withColumn("_file", F.col("_metadata.file_path")) for g in groups.values()])
+        seen = Observation(f"drop-{uuid.uuid4().hex}")
+        try:
+            rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+            return int(seen.get["n"]), sorted(good), bad + damaged
+        except Exception:
+            with ThreadPoolExecutor(8) as pool:
+                errors = dict(zip(good, pool.map(lambda p: _error(spark, p), list(good)), strict=True))
+            now = [(p, e) for p, e in errors.items() if e]
+            if not now:
+                raise
+            damaged += now
+            good = {p: h for p, h in good.items() if not errors[p]}
+    return 0, [], bad + damaged
+
+
+def _error(spark: SparkSession, path: str) -> str | None:
+    """What goes wrong when all of a file is read; None if nothing does."""
+    try:
+        _strict(spark, [path]).write.format("noop").mode("overwrite").save()
+    except Exception as e:  # noqa: BLE001 - any failure makes the file unreadable
+        return str(e)
+    return None
+
+
+def quarantine(spark: SparkSession, bad: list[tuple[str, str]], path: str) -> None:
+    """S3: the files that could not be read, and why; they stay where they are."""
+    spark.createDataFrame(bad, QUARANTINE).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def dual_sink(spark: SparkSession, files: list[str], backup_root: str, staging_path: str,
               columns=STAGING_COLUMNS, run_id: str | None = None) -> DataFrame:
-    """Each file's full rows go to the backup sink; the union of all
-    files, projected to the staging columns that exist, goes to staging.
-    The backup keeps every run in its own ``run=<id>`` folder (a retry that
-    passes the same id replaces only its own).  Files are archived by the
-    caller only after both writes succeed."""
+    """The files' full rows go to the backup sink as one table; projected to
+    the staging columns that exist they go to staging.  The backup keeps every
+    run in its own ``run=<id>`` folder (a retry that passes the same id replaces
+    only its own); files that cannot be read are listed in ``<backup>-quarantine``.
+    Files are archived by the caller only after both writes succeed."""
     run_id = run_id or uuid.uuid4().hex[:12]
-    frames = []
-    for i, f in enumerate(files):
-        df = read_csv(spark, f)
-        df.write.mode("overwrite").parquet(f"{backup_root.rstrip('/')}/run={run_id}/file={i}")
-        frames.append(df)
-    staged = project_existing(union_by_name(frames), columns)
-    staged.write.mode("append").parquet(staging_path)
+    backup = f"{backup_root.rstrip('/')}/run={run_id}"
+    _, read, bad = backup_drop(spark, files, backup)
+    if bad:
+        quarantine(spark, bad, f"{backup_root.rstrip('/')}-quarantine/run={run_id}")
+    if read:
+        project_existing(spark.read.parquet(backup), columns).write.mode("append").parquet(staging_path)
     return spark.read.parquet(staging_path)
 
 

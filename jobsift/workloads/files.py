@@ -357,13 +357,61 @@ def _stream_upsert_events(spark, sf_dir):
     return latest_per_key(batches, ["user_id"], ["ts", "event_id"]).select(*ev.columns)
 
 
-@register("daily_run")
-def _daily_run(spark, sf_dir):
-    """X8 (rows-only): the whole daily chain on two CSV drops of stg."""
+_DAYS = (None, CUTOFF, "1998-05-01")  # three drops by crawl date
+
+
+def _drops(spark, sf_dir, root: str) -> list[str]:
+    """stg as three daily CSV drops; the second brings one of three links of the first again."""
+    stg = fixtures.stg(spark, sf_dir)
+    date, again = F.col("NgayCaoDuLieu"), F.col("row_id") % 9 == 0
+    parts = [date < F.lit(_DAYS[1]), ((date >= F.lit(_DAYS[1])) & (date < F.lit(_DAYS[2]))) | ((date < F.lit(_DAYS[1])) & again), date >= F.lit(_DAYS[2])]
+    paths = [f"{root}/drop/day{k}" for k in range(len(parts))]
+    for path, part in zip(paths, parts, strict=True):
+        S.write_csv(stg.filter(part).select(*STAGING_COLUMNS), path)
+    return paths
+
+
+def _daily(spark, sf_dir):
     from ..plans.daily import daily_run
     root = _tmp(spark, "daily")
-    stg = fixtures.stg(spark, sf_dir)
-    S.write_csv(stg.filter(F.col("NgayCaoDuLieu") < F.lit(CUTOFF)).select(*STAGING_COLUMNS), f"{root}/drop/a")
-    S.write_csv(stg.filter(F.col("NgayCaoDuLieu") >= F.lit(CUTOFF)).select(*STAGING_COLUMNS), f"{root}/drop/b")
-    _, _, star = daily_run(spark, [f"{root}/drop/a", f"{root}/drop/b"], f"{root}/run")
-    return star
+    for k, path in enumerate(_drops(spark, sf_dir, root)):
+        w = daily_run(spark, [path], f"{root}/run", as_of=f"2025-01-0{k + 1} 00:00:00", drop_id=f"day{k}", buckets=4)
+    return w
+
+
+def _days_sql() -> str:
+    """Raw fact and clean fact after three drops, each merged into the one before."""
+    cond = [f"NgayCaoDuLieu < DATE '{_DAYS[1]}'", f"(NgayCaoDuLieu >= DATE '{_DAYS[1]}' AND NgayCaoDuLieu < DATE '{_DAYS[2]}') OR (NgayCaoDuLieu < DATE '{_DAYS[1]}' AND row_id % 9 = 0)",
+            f"NgayCaoDuLieu >= DATE '{_DAYS[2]}'"]
+    parts = [f"SELECT *, {k} AS day FROM stg WHERE {c}" for k, c in enumerate(cond)]
+    return fixtures.duck_prefix("stg") + f", drops AS ({' UNION ALL '.join(parts)})\n"
+
+
+@register("daily_run", _days_sql() + f"""
+, newest AS (SELECT LinkBaiTuyenDung, day, max(NgayCaoDuLieu) AS NgayCaoDuLieu, count(*) AS n FROM drops GROUP BY 1, 2)
+, raw AS (SELECT LinkBaiTuyenDung, max(day) AS day FROM newest WHERE LinkBaiTuyenDung IS NOT NULL GROUP BY 1)
+SELECT d.stage, d.drop_id, d.rows_in, d.inserted, d.updated FROM (
+  SELECT 'load' AS stage, 'day' || day AS drop_id, count(*) AS rows_in, NULL::BIGINT AS inserted, NULL::BIGINT AS updated FROM drops GROUP BY day
+  UNION ALL
+  SELECT 'raw', 'day' || day, CAST(sum(n) AS BIGINT),
+    count(*) FILTER (WHERE LinkBaiTuyenDung IS NULL OR NOT EXISTS (SELECT 1 FROM newest o WHERE o.LinkBaiTuyenDung = w.LinkBaiTuyenDung AND o.day < w.day)),
+    count(*) FILTER (WHERE EXISTS (SELECT 1 FROM newest o WHERE o.LinkBaiTuyenDung = w.LinkBaiTuyenDung AND o.day < w.day))
+  FROM newest w GROUP BY day) d""")
+def _daily_run(spark, sf_dir):
+    """Three daily drops; what each loaded and merged into the raw fact."""
+    return _daily(spark, sf_dir).ledger().where("stage IN ('load', 'raw') AND Status = 'Success'").select("stage", "drop_id", "rows_in", "inserted", "updated")
+
+
+@register("daily_run_raw_fact", _days_sql() + f"""
+, latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY LinkBaiTuyenDung, CASE WHEN LinkBaiTuyenDung IS NULL THEN day END ORDER BY day DESC, NgayCaoDuLieu DESC) AS rn FROM drops) WHERE rn = 1)
+SELECT LinkBaiTuyenDung, NgayCaoDuLieu, CAST(TIMESTAMP '2025-01-01 00:00:00' + day * INTERVAL 1 DAY AS TIMESTAMP) AS NgayThemVaoHeThong FROM latest WHERE LinkBaiTuyenDung IS NOT NULL""")
+def _daily_run_raw(spark, sf_dir):
+    """The raw fact after three drops: each link as its last drop's newest row has it."""
+    raw = _daily(spark, sf_dir).raw.read()
+    return raw.where("LinkBaiTuyenDung IS NOT NULL").select("LinkBaiTuyenDung", "NgayCaoDuLieu", "NgayThemVaoHeThong")
+
+
+@register("daily_run_star")
+def _daily_run_star(spark, sf_dir):
+    """X8 (rows-only; ties of a link's newest row are broken by a hash): the star after three drops."""
+    return _daily(spark, sf_dir).star.read()

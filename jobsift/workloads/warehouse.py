@@ -68,15 +68,16 @@ def staging_source(stg):
     return latest.withColumn("CalculatedHash", job_hash_raw(F.col("CongViec"), F.col("CongTy"), F.col("ViTri")))
 
 
+def raw_columns(as_of: str) -> tuple[dict, dict]:
+    """What matched rows of the raw fact take, and what new rows take."""
+    own = {"JobHash": "CalculatedHash", "NgayThemVaoHeThong": F.lit(as_of).cast("timestamp_ntz")}
+    return {c: c for c in STAGING if c != "LinkBaiTuyenDung"} | own, {c: c for c in STAGING} | own
+
+
 def upsert_latest_by_link(fact, stg, as_of: str = AS_OF):
     """MERGE the newest staging row per link into the raw fact."""
-    src = staging_source(stg)
-    now = F.lit(as_of).cast("timestamp_ntz")
-    upd = {c: c for c in STAGING if c != "LinkBaiTuyenDung"}
-    upd.update({"JobHash": "CalculatedHash", "NgayThemVaoHeThong": now})
-    ins = {c: c for c in STAGING}
-    ins.update({"JobHash": "CalculatedHash", "NgayThemVaoHeThong": now})
-    return merge(fact, src, ["LinkBaiTuyenDung"], update=upd, insert=ins)
+    upd, ins = raw_columns(as_of)
+    return merge(fact, staging_source(stg), ["LinkBaiTuyenDung"], update=upd, insert=ins)
 
 
 def empty_raw_fact(spark):
@@ -99,16 +100,15 @@ def _raw_merge_sql() -> str:
               "LinkBaiTuyenDung ORDER BY NgayCaoDuLieu DESC NULLS LAST, row_id DESC) AS _rn FROM stg WHERE {w}) "
               "WHERE _rn = 1").format
     cols_s = ", ".join(f"s.{c}" for c in STAGING)
-    pick = ", ".join(f"CASE WHEN s.LinkBaiTuyenDung IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in STAGING)
+    pick = ", ".join(f"CASE WHEN s.in_s THEN s.{c} ELSE t.{c} END AS {c}" for c in STAGING)
     return fixtures.duck_prefix("stg") + f"""
 , b1 AS ({latest(h=hashed, w=f"NgayCaoDuLieu < DATE '{CUTOFF}'")})
-, t AS (SELECT CalculatedHash AS JobHash, TIMESTAMP '{AS_OF}' AS NgayThemVaoHeThong, {cols_s} FROM b1 s)
-, s AS ({latest(h=hashed, w=f"NgayCaoDuLieu >= DATE '{BATCH2_FROM}'")})
-SELECT CASE WHEN s.LinkBaiTuyenDung IS NOT NULL THEN s.CalculatedHash ELSE t.JobHash END AS JobHash,
-       CASE WHEN s.LinkBaiTuyenDung IS NOT NULL THEN TIMESTAMP '{AS_OF}' ELSE t.NgayThemVaoHeThong END AS NgayThemVaoHeThong,
+, t AS (SELECT CalculatedHash AS JobHash, TIMESTAMP '{AS_OF}' AS NgayThemVaoHeThong, {cols_s}, true AS in_t FROM b1 s)
+, s AS (SELECT *, true AS in_s FROM ({latest(h=hashed, w=f"NgayCaoDuLieu >= DATE '{BATCH2_FROM}'")}))
+SELECT CASE WHEN s.in_s THEN s.CalculatedHash ELSE t.JobHash END AS JobHash,
+       CASE WHEN s.in_s THEN TIMESTAMP '{AS_OF}' ELSE t.NgayThemVaoHeThong END AS NgayThemVaoHeThong,
        {pick},
-       CASE WHEN s.LinkBaiTuyenDung IS NOT NULL AND t.LinkBaiTuyenDung IS NOT NULL THEN 'UPDATE'
-            WHEN s.LinkBaiTuyenDung IS NOT NULL THEN 'INSERT' END AS MergeAction
+       CASE WHEN s.in_s AND t.in_t THEN 'UPDATE' WHEN s.in_s THEN 'INSERT' END AS MergeAction
 FROM t FULL OUTER JOIN s ON t.LinkBaiTuyenDung = s.LinkBaiTuyenDung"""
 
 
