@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,21 +134,31 @@ def inspect_files(spark: SparkSession, files: list[str]) -> list:
     or that is no UTF-8 text is a problem; packed files show theirs when read."""
     text, packed = F.col("content").cast("string"), F.col("path").rlike(PACKED)
     head = F.regexp_replace(F.substring_index(text, "\n", 1), "^\ufeff|\\s+$", "")
-    found = spark.read.format("binaryFile").load(files).select(
+    listed = spark.read.format("binaryFile").load(files)
+    found = listed.select(
         "path", F.when(~packed, head).alias("header"),
         F.when((F.col("length") == 0) | (~packed & (head == "")), "no header line").when(~packed & ~F.is_valid_utf8(text), "not UTF-8 text").alias("problem"))
     rows = found.orderBy("path").collect()
     unknown = [r["path"] for r in rows if r["header"] is None and r["problem"] is None]
     heads = {p: h for h, p in _packed_headers(spark, unknown)} if unknown else {}
-    return [(r["path"], heads.get(r["path"], r["header"]), r["problem"]) for r in rows]
+    # a file of no bytes is listed but gives no row
+    empty = {_plain(f): unquote(f) for f in listed.inputFiles()}
+    for r in rows:
+        empty.pop(_plain(r["path"], False), None)
+    return [(r["path"], heads.get(r["path"], r["header"]), r["problem"]) for r in rows] + [(p, None, "no header line") for p in empty.values()]
+
+
+def _plain(path: str, quoted: bool = True) -> str:
+    """A path as one spelling: listings write ``file:/x`` and ``file:///x``."""
+    return (unquote(path) if quoted else path).replace("///", "/", 1)
 
 
 def _packed_headers(spark: SparkSession, files: list[str]) -> list[tuple[str, str]]:
     heads = (spark.read.option("ignoreCorruptFiles", True).text(files)
-             .select("value", F.expr("url_decode(replace(_metadata.file_path, '+', '%2B'))").alias("file"), F.monotonically_increasing_id().alias("place"))
+             .select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"))
              .groupBy("file").agg(F.min_by("value", "place").alias("header")).collect())
-    plain = {f.split(":", 1)[-1].lstrip("/"): f for f in files}
-    return [(r["header"].strip("\ufeff \r\n\t"), plain[r["file"].split(":", 1)[-1].lstrip("/")]) for r in heads]
+    plain = {_plain(f, False): f for f in files}
+    return [(r["header"].strip("\ufeff \r\n\t"), plain[_plain(r["file"])]) for r in heads]
 
 
 def _strict(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -175,9 +186,9 @@ def backup_drop(spark: SparkSession, files: list[str], path: str) -> tuple[int,
         groups: dict[str, list[str]] = {}
         for p, h in good.items():
             groups.setdefault(h or p, []).append(p)
-        rows = union_by_name([_strict(spark, g).withColumn("_file", F.col("_metadata.file_path")) for g in groups.values()])
         seen = Observation(f"drop-{uuid.uuid4().hex}")
         try:
+            rows = union_by_name([_strict(spark, g).withColumn("_file", F.col("_metadata.file_path")) for g in groups.values()])
             rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
             return int(seen.get["n"]), sorted(good), bad + damaged
         except Exception:

@@ -4,8 +4,9 @@ A daily drop folder is read as a file stream with ``trigger(availableNow)``
 (process what is there, then stop) and a checkpoint, so each file is
 ingested exactly once across runs; processed files are moved to an archive
 folder by the source (``cleanSource=archive``).  Each micro-batch is written with
-``foreachBatch`` to a folder of its own, so re-running a batch id after a
-failure replaces its rows; readers reduce the batches to the newest row a key.
+``foreachBatch``: to a folder of its own, so re-running a batch id after a
+failure replaces its rows, or merged into a ``BucketedTable``, whose commit names
+the batch, so a batch that comes again changes nothing.
 """
 
 from __future__ import annotations
@@ -60,3 +61,24 @@ def latest_by_key_batches(target_path: str, key: str, order: list[str]) -> Calla
         latest.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/_batch_id={batch_id}")
 
     return sink
+
+
+def merge_batches(table, order: list[str], stream: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink that keeps one row a key in ``table`` (a
+    ``BucketedTable``), the newest by ``order`` of all batches: a row that comes
+    late does not replace a newer one.  ``stream`` names the query whose batch ids
+    these are; a batch up to the one that the table's last commit names is passed over."""
+    from ..operators.dedupe import latest_per_key
+    from ..operators.tables import BucketedTable
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        # The batch belongs to the stream's own session.
+        mine = BucketedTable(batch.sparkSession, table.root, table.keys, table.buckets, table.schema, table.keep)
+        done = mine.merged_batch(stream)
+        if done is not None and batch_id <= done:
+            return
+        newer = F.struct(*[F.col(f"s_{c}") for c in order]) >= F.struct(*[F.col(f"t_{c}") for c in order])
+        update = {c: F.when(newer, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")) for c in mine.schema.fieldNames() if c not in mine.keys}
+        mine.merge(latest_per_key(batch.select(*mine.schema.fieldNames()), mine.keys, order), update, batch=(stream, batch_id), check_unique=False)
+
+    return sink

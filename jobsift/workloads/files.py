@@ -344,17 +344,19 @@ def _incremental_ingest(spark, sf_dir):
 SELECT user_id, event_id, ts, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def _stream_upsert_events(spark, sf_dir):
-    """Events as a file stream; each micro-batch keeps the newest event per
-    user, and the table keeps the newest across batches."""
-    from ..operators.dedupe import latest_per_key
-    from ..streaming.ingest import latest_by_key_batches, run_available
+    """Events as a file stream, merged batch by batch into a bucketed table
+    that holds the newest event of each user; then the same batches once more,
+    which change nothing."""
+    from ..operators.tables import BucketedTable
+    from ..streaming.ingest import merge_batches, run_available
     root = _tmp(spark, "events-stream")
     ev = fixtures.table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
     ev.repartition(4, "event_id").write.parquet(f"{root}/drop")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/drop")
-    run_available(stream, f"{root}/ckpt", latest_by_key_batches(f"{root}/out", "user_id", ["ts", "event_id"]))
-    batches = spark.read.parquet(f"{root}/out").drop("_batch_id")
-    return latest_per_key(batches, ["user_id"], ["ts", "event_id"]).select(*ev.columns)
+    table = BucketedTable(spark, f"{root}/table", ["user_id"], 8, ev.schema)
+    for run in ("first", "replay"):
+        stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/drop")
+        run_available(stream, f"{root}/ckpt-{run}", merge_batches(table, ["ts", "event_id"], "events"))
+    return table.read()
 
 
 _DAYS = (None, CUTOFF, "1998-05-01")  # three drops by crawl date
