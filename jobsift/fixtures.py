@@ -63,6 +63,65 @@ SELECT DISTINCT site, link FROM listing
 WHERE CAST(regexp_extract(link, '/([0-9]+)[.]html', 1) AS INT) % 2 = 0 OR (site = 'site0' AND page BETWEEN 8 AND 14)
 """
 
+
+
+def _shown(before: str, value: str, after: str) -> str:
+    """A piece of HTML with an escaped value; nothing where the value is NULL."""
+    escaped = f"replace(replace(replace({value}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    return f"coalesce('{before}' || {escaped} || '{after}', '')"
+
+
+def _job_page(title: str, parts: list[tuple[str, str, str]]) -> str:
+    return " || ".join([f"'<html><body>{title}'", *[_shown(*p) for p in parts], "'<footer>x</footer></body></html>'"])
+
+
+_BESIDE = '<div class="item"><div class="title">{}</div>\n<div class="item-value">'
+_TOPCV_PAGE = _job_page("<nav>TopCV</nav>", [
+    ('<h1 class="job-detail__info--title"><b>', "CongViec", "</b></h1>"),
+    *[(_BESIDE.format(label), col, "</div></div>") for label, col in (("Mức lương", "MucLuong"), ("Kinh nghiệm", "YeuCauKinhNghiem"), ("Cấp bậc", "CapBac"),
+      ("Số lượng tuyển", "SoLuongTuyen"), ("Hình thức làm việc", "HinhThucLamViec"), ("Học vấn", "HocVan"))],
+    ('<div class="job-detail__info--deadline">Hạn nộp hồ sơ: ', "HanNopHoSo", "</div>"),
+    ('<div class="job-detail__info--section-content-title">Địa điểm</div> <div>', "ViTri", "</div>"),
+    ("<h3>Thời gian làm việc</h3><div>", "work_time", "</div>"),
+    ('<div class="job-detail__box--right job-detail__company"> <a class="name" href="/cong-ty"><span>', "CongTy", "</span></a></div>"),
+    ('<div class="company-scale"><div class="company-title">Quy mô:</div><div class="company-value">', "QuyMoCongTy", "</div></div>"),
+    ('<div class="company-title">Lĩnh vực:</div><div class="company-value">', "LinhVuc", "</div>"),
+    ('<h3>Mô tả công việc</h3><div class="job-description__item--content"><p>', "MoTaCongViec", "</p><ul><li>Liên hệ</li></ul></div>"),
+    ('<h3>Yêu cầu ứng viên</h3><div class="job-description__item--content"><p> </p><p>', "YeuCauUngVien", "</p></div>")])
+_CAREERLINK_PAGE = _job_page("<nav>CareerLink</nav>", [
+    ('<h1 class="job-title mb-0">', "CongViec", "</h1>"),
+    ('<div id="job-location"><i></i><a href="#">', "ViTri", "</a></div>"),
+    ('<div id="job-salary"><i></i><span class="text-primary">', "MucLuong", "</span></div>"),
+    ('<div><i class="cli-suitcase-simple"></i> <span>', "YeuCauKinhNghiem", "</span></div>"),
+    ('<div id="job-date"><div class="day-expired">Hết hạn: <b>', "HanNopHoSo", "</b></div></div>"),
+    ('<h5 class="company-name-title"><a title="', "CongTy", '" href="/cl">Xem</a></h5>'),
+    ('<i class="cli-users"></i><span>', "QuyMoCongTy", "</span>"),
+    *[(f"<div>{label}</div><div>", col, "</div>") for label, col in (("Cấp bậc", "CapBac"), ("Học vấn", "HocVan"), ("Giới tính", "gender"), ("Ngành nghề", "LinhVuc"), ("Loại công việc", "HinhThucLamViec"))]])
+_CAREERVIET_PAGE = _job_page("<nav>CareerViet</nav>", [
+    ('<h1 class="title">', "CongViec", "</h1>"),
+    ("<strong>Địa điểm</strong><p><a>", "ViTri", "</a></p>"),
+    *[(f"<strong><em></em>{label}</strong>\n<p>".replace("<em></em>", ""), col, "</p>") for label, col in (("Ngành nghề", "LinhVuc"), ("Kinh nghiệm", "YeuCauKinhNghiem"), ("Lương", "MucLuong"),
+      ("Cấp bậc", "CapBac"), ("Hình thức", "HinhThucLamViec"), ("Hết hạn nộp", "HanNopHoSo"))],
+    ("<ul><li>Bằng cấp: ", "HocVan", "</li></ul>")])
+
+# job pages of three sites that show the staging rows, each in its own markup
+JOB_PAGES_SQL = f"""
+SELECT row_id AS page_id, site, 'https://jobs.example.com/viec-lam/' || CAST(row_id AS STRING) || '.html' AS url,
+  CASE site WHEN 'TopCV' THEN {_TOPCV_PAGE} WHEN 'CareerLink' THEN {_CAREERLINK_PAGE} ELSE {_CAREERVIET_PAGE} END AS html
+FROM (SELECT *, CASE row_id % 3 WHEN 0 THEN 'TopCV' WHEN 1 THEN 'CareerLink' ELSE 'CareerViet' END AS site,
+        CASE row_id % 2 WHEN 0 THEN 'Thứ 2 - Thứ 6' END AS work_time, CASE row_id % 4 WHEN 0 THEN 'Nam' WHEN 1 THEN 'Nữ' END AS gender FROM stg) s
+"""
+
+# their listing pages: cards in page order with repeats, some pages without a card
+JOB_LISTING_PAGES_SQL = "SELECT DISTINCT site, CAST(floor(page_id / 30) AS INT) + 1 AS page FROM job_pages"
+JOB_LISTING_SQL = """
+SELECT p.site, CAST(floor(l.page_id / 30) AS INT) + 1 AS page, CAST(l.page_id % 30 AS INT) + 1 AS pos, p.url || '?src=list' || CAST(l.page_id % 2 AS STRING) AS link,
+       CASE WHEN p.page_id % 11 <> 3 THEN CAST(p.page_id AS STRING) END AS job_id
+FROM job_pages l JOIN job_pages p ON p.page_id = l.page_id - l.page_id % 6 + l.page_id % 3
+WHERE (CAST(floor(l.page_id / 30) AS INT) + 1) % 9 <> 4 AND NOT (p.site = 'CareerLink' AND floor(l.page_id / 30) BETWEEN 40 AND 43)
+"""
+JOB_SEEN_SQL = "SELECT site, CAST(page_id AS STRING) AS job_id FROM job_pages WHERE page_id % 5 = 0 OR (site = 'CareerViet' AND floor(page_id / 30) BETWEEN 60 AND 64)"
+
 STAGING_COLUMNS = ("CongViec", "ViTri", "YeuCauKinhNghiem", "MucLuong", "CapBac", "HinhThucLamViec", "CongTy",
                    "QuyMoCongTy", "SoLuongTuyen", "HocVan", "YeuCauUngVien", "MoTaCongViec", "QuyenLoi",
                    "HanNopHoSo", "LinkBaiTuyenDung", "Nguon", "NgayCaoDuLieu", "LinhVuc")
@@ -94,10 +153,27 @@ def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(SEEN_SQL)
 
 
+def job_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg(spark, sf_dir).createOrReplaceTempView("stg")
+    df = spark.sql(JOB_PAGES_SQL)
+    df.createOrReplaceTempView("job_pages")
+    return df
+
+
+def job_crawl(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(job pages, listing cards, fetched listing pages, history) of the job sites;
+    the pages are stored first, as those of a crawl are."""
+    from .session import materialize
+    pages = materialize(job_pages(spark, sf_dir), "job-pages")
+    pages.createOrReplaceTempView("job_pages")
+    return pages, materialize(spark.sql(JOB_LISTING_SQL), "job-listing"), spark.sql(JOB_LISTING_PAGES_SQL), spark.sql(JOB_SEEN_SQL)
+
+
 def duck_prefix(*views: str) -> str:
     """CTE prefix defining the named fixture views for the DuckDB oracle."""
     parts = []
-    sql = {"stg": STG_SQL, "listing": LISTING_SQL, "seen": SEEN_SQL}
+    sql = {"stg": STG_SQL, "listing": LISTING_SQL, "seen": SEEN_SQL, "job_pages": JOB_PAGES_SQL, "job_listing": JOB_LISTING_SQL,
+           "job_listing_pages": JOB_LISTING_PAGES_SQL, "job_seen": JOB_SEEN_SQL}
     for v in views:
         parts.append(f"{v} AS ({sql[v]})")
     return "WITH " + ",\n".join(parts) + "\n"

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -133,7 +135,7 @@ _SEEN_FILE_SQL = "SELECT DISTINCT trim(link) AS link FROM seen WHERE trim(link)
 def _seen_ids_scan(spark, sf_dir):
     """History file (one id per line) -> trimmed, non-blank, distinct."""
     from ..sources.files import read_history, write_history
-    path = scratch_path(spark, "history-seen")
+    path = f"{scratch_path(spark, 'history-seen')}-{uuid.uuid4().hex[:10]}"
     write_history(fixtures.seen(spark, sf_dir).select("link"), path)
     return read_history(spark, path).withColumnRenamed("id", "link")
 
@@ -193,19 +195,101 @@ def _seen_ids_merge(spark, sf_dir):
     return seen.select("site", "link").unionByName(front.select("site", "link")).distinct()
 
 
-@register("crawl_batch")
+# --- H8, H12, X7: job pages of three sites --------------------------------------
+
+_JOB = ("stg", "job_pages")
+
+
+def _said(c: str) -> str:
+    """A value as the page shows it: white space folded, "" when missing."""
+    return f"coalesce({O.strip(f"regexp_replace({c}, '\\s+', ' ', 'g')")}, '')"
+
+
+def _fields_sql() -> str:
+    """The fields that each site shows, from the staging rows that made its pages."""
+    every = {"title": "CongViec", "salary": "MucLuong", "experience": "YeuCauKinhNghiem", "rank": "CapBac", "work_form": "HinhThucLamViec", "location": "ViTri", "industry": "LinhVuc"}
+    here = "'TopCV', 'CareerLink', 'CareerViet'"
+    cols = [(f, _said(c), here) for f, c in every.items()]
+    cols += [("headcount", _said("SoLuongTuyen"), "'TopCV'"), ("work_time", _said("CASE row_id % 2 WHEN 0 THEN 'Thứ 2 - Thứ 6' END"), "'TopCV'"),
+             ("gender", _said("CASE row_id % 4 WHEN 0 THEN 'Nam' WHEN 1 THEN 'Nữ' END"), "'CareerLink'"),
+             ("deadline", f"replace({_said('HanNopHoSo')}, 'Hạn nộp hồ sơ: ', '')", here),
+             ("education", f"CASE WHEN site = 'CareerViet' AND HocVan IS NOT NULL THEN 'Bằng cấp: ' ELSE '' END || {_said('HocVan')}", here),
+             ("company", _said("CongTy"), "'TopCV', 'CareerLink'"), ("size", _said("QuyMoCongTy"), "'TopCV', 'CareerLink'"),
+             ("company_link", "CASE WHEN CongTy IS NULL THEN '' WHEN site = 'TopCV' THEN '/cong-ty' ELSE '/cl' END", "'TopCV', 'CareerLink'"),
+             ("description", f"CASE WHEN MoTaCongViec IS NULL THEN '' ELSE concat_ws('. ', nullif({_said('MoTaCongViec')}, ''), 'Liên hệ') END", "'TopCV'"),
+             ("requirement", _said("YeuCauUngVien"), "'TopCV'"), ("benefits", "''", "'TopCV'")]
+    from ..functions.job_pages import FIELDS, SECTIONS
+    cols.sort(key=lambda c: (*FIELDS, *SECTIONS).index(c[0]))
+    shown = ", ".join(f"CASE WHEN site IN ({sites}) THEN {e} ELSE '' END AS {f}" for f, e, sites in cols)
+    return f"SELECT row_id AS page_id, site, {shown} FROM (SELECT s.*, p.site FROM stg s JOIN job_pages p ON p.page_id = s.row_id)"
+
+
+@register("job_page_fields", fixtures.duck_prefix(*_JOB) + _fields_sql())
+def _job_page_fields(spark, sf_dir):
+    """H8: the fields of the job pages of three sites come back as they were put in."""
+    from ..functions.job_pages import extract_fields
+    return extract_fields(fixtures.job_pages(spark, sf_dir)).drop("url")
+
+
+@register("company_sources_merge", fixtures.duck_prefix(*_JOB) + f"""
+, f AS ({_fields_sql()})
+SELECT page_id, coalesce(CASE WHEN page_id % 4 = 0 THEN NULLIF(company, '') END, 'Tab ' || company) AS company,
+       coalesce(CASE WHEN page_id % 5 = 0 THEN NULLIF(company_link, '') END, '/tab' || company_link) AS company_link,
+       CASE WHEN page_id % 7 <> 0 THEN size ELSE '' END AS size FROM f""")
+def _company_sources(spark, sf_dir):
+    """Card and tab of a company; the tab's size always wins, even when missing."""
+    from ..functions.job_pages import extract_fields, merge_company
+    f = extract_fields(fixtures.job_pages(spark, sf_dir))
+    both = f.select("page_id", F.when(F.col("page_id") % 4 == 0, F.col("company")).otherwise("").alias("card_company"),
+                    F.when(F.col("page_id") % 5 == 0, F.col("company_link")).alias("card_company_link"), F.lit("card size").alias("card_size"),
+                    F.concat(F.lit("Tab "), "company").alias("tab_company"), F.concat(F.lit("/tab"), "company_link").alias("tab_company_link"),
+                    F.when(F.col("page_id") % 7 != 0, F.col("size")).alias("tab_size"))
+    return merge_company(both)
+
+
+def _job_frontier_sql(cap: int, max_empty: int, seen: str = "job_seen") -> str:
+    """CTEs up to ``k``: new job ids by site in (page, pos) order, pages without a card counted as empty."""
+    return f"""
+, c AS (SELECT l.*, s.job_id IS NULL AND l.job_id IS NOT NULL AS unseen FROM job_listing l LEFT JOIN (SELECT DISTINCT site, job_id FROM {seen}) s ON l.site = s.site AND l.job_id = s.job_id)
+, n AS (SELECT *, unseen AND row_number() OVER (PARTITION BY site, job_id ORDER BY page, pos) = 1 AS is_new FROM c)
+, p AS (SELECT g.site, g.page, count(*) FILTER (WHERE n.is_new) AS n_new FROM job_listing_pages g LEFT JOIN n ON n.site = g.site AND n.page = g.page GROUP BY 1, 2)
+, q AS (SELECT *, coalesce(sum(n_new) OVER (PARTITION BY site ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS new_before,
+        sum(n_new) OVER (PARTITION BY site ORDER BY page ROWS BETWEEN {max_empty - 1} PRECEDING AND CURRENT ROW) AS near, row_number() OVER (PARTITION BY site ORDER BY page) AS i FROM p)
+, st AS (SELECT site, min(page) FILTER (WHERE near = 0 AND i >= {max_empty}) AS stop FROM q GROUP BY site)
+, k AS (SELECT n.site, n.page, n.pos, n.link, n.job_id, CAST(q.new_before + row_number() OVER (PARTITION BY n.site, n.page ORDER BY n.pos, n.link) AS INTEGER) AS rank
+        FROM n JOIN q ON n.site = q.site AND n.page = q.page JOIN st ON st.site = n.site WHERE n.is_new AND (st.stop IS NULL OR n.page <= st.stop))
+"""
+
+
+_JOB_CRAWL = ("stg", "job_pages", "job_listing", "job_listing_pages", "job_seen")
+
+
+@register("crawl_frontier_job_ids", fixtures.duck_prefix(*_JOB_CRAWL) + _job_frontier_sql(200, 5) + "SELECT * FROM k WHERE rank <= 200")
+def _crawl_frontier_ids(spark, sf_dir):
+    """H7 by job id: links differ, ids repeat, cards without an id are not taken,
+    pages without a card count as empty."""
+    _, cards, fetched, seen = fixtures.job_crawl(spark, sf_dir)
+    return crawl_frontier(cards, seen, cap=200, max_empty=5, key="job_id", pages=fetched)
+
+
+@register("crawl_batch", fixtures.duck_prefix(*_JOB_CRAWL) + f""", nobody AS (SELECT * FROM job_seen WHERE false)
+, f AS ({_fields_sql()}) {_job_frontier_sql(100, 5, 'nobody').replace('job_seen', 'nobody')}
+, k1 AS (SELECT * FROM k WHERE rank <= 100)
+, two AS (SELECT 2 AS run) {_job_frontier_sql(100, 5, 'k1').replace(', c AS', ', c2 AS').replace(', n AS', ', n2 AS').replace(', p AS', ', p2 AS').replace(', q AS', ', q2 AS').replace(', st AS', ', st2 AS').replace(', k AS', ', k2 AS').replace('FROM c)', 'FROM c2)').replace('JOIN n ON', 'JOIN n2 AS n ON').replace('FROM p)', 'FROM p2)').replace('FROM q ', 'FROM q2 AS q ').replace('FROM n JOIN q ON', 'FROM n2 AS n JOIN q2 AS q ON').replace('JOIN st ON', 'JOIN st2 AS st ON')}
+SELECT r.run, r.site, r.job_id, r.rank AS rank_in_run, f.title AS "CongViec", f.location AS "ViTri", f.salary AS "MucLuong", f.deadline AS "HanNopHoSo", f.company AS "CongTy", f.description AS "MoTaCongViec", r.link AS "LinkBaiTuyenDung"
+FROM (SELECT 1 AS run, * FROM k1 UNION ALL SELECT 2, * FROM k2 WHERE rank <= 100) r JOIN f ON f.site = r.site AND CAST(f.page_id AS VARCHAR) = r.job_id""")
 def _crawl_batch(spark, sf_dir):
-    """X7 (rows-only): pages -> harvested links -> job ids -> frontier
-    against the history -> extracted fields of the accepted pages."""
-    p = _pages(spark, sf_dir)
-    cards = (p.select(F.concat(F.lit("site"), (F.col("page_id") % 3).cast("string")).alias("site"),
-                      (F.col("page_id") + 1).cast("int").alias("page"), "url", "html")
-             .select("site", "page", F.posexplode(H.hrefs(F.col("html"))).alias("pos", "link")))
-    cards = cards.withColumn("pos", F.col("pos") + 1)
-    history = cards.filter(F.length("link") % 2 == 0).select("site", "link")
-    front = crawl_frontier(cards, history, cap=100, max_empty=5)
-    return front.join(p.select(F.col("page_id").cast("int").alias("_pid"), "html"), F.col("page") == F.col("_pid") + 1) \
-        .select("site", "page", "pos", "link", "rank", H.html_to_text(H.tag_text(F.col("html"), "title")).alias("title"))
+    """Two runs -- frontier by job id, fields of the accepted pages, run CSVs,
+    history; the second takes up where the first stopped, and a repeat of the first
+    run's id replaces it."""
+    from ..plans.crawl import crawl_run
+    pages, cards, fetched, _ = fixtures.job_crawl(spark, sf_dir)
+    root = f"{scratch_path(spark, 'crawl')}-{uuid.uuid4().hex[:10]}"
+    for run in ("1", "1", "2"):
+        crawl_run(spark, cards, fetched, pages, root, run, "2025-01-01")
+    out = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "\u0000").csv(f"{root}/runs")
+    return out.select(F.col("run").cast("int").alias("run"), "site", F.col("job_id").cast("string").alias("job_id"), F.col("rank_in_run").cast("int").alias("rank_in_run"),
+                      "CongViec", "ViTri", "MucLuong", "HanNopHoSo", "CongTy", "MoTaCongViec", "LinkBaiTuyenDung")
 
 
 # --- J6: ordered keyword rules over whole documents ----------------------------------
