@@ -40,7 +40,8 @@ SELECT
   CASE k % 4 WHEN 0 THEN 'Phát triển backend, làm việc từ xa' WHEN 1 THEN 'Hỗ trợ khách hàng tại văn phòng' WHEN 2 THEN NULL ELSE 'Phân tích dữ liệu, hybrid' END AS MoTaCongViec,
   'Bảo hiểm, thưởng' AS QuyenLoi,
   CASE k % 6 WHEN 0 THEN concat('Hạn nộp hồ sơ: ', CAST(1 + k % 28 AS STRING), '/', CAST(1 + k % 12 AS STRING), '/2025') WHEN 1 THEN 'Còn 20 ngày tới'
-    WHEN 2 THEN '31/02/2025' WHEN 3 THEN NULL WHEN 4 THEN '5-6-2025' ELSE 'Thỏa thuận' END AS HanNopHoSo,
+    WHEN 2 THEN CASE k % 5 WHEN 0 THEN '31/02/2025' WHEN 1 THEN '05.06.25 14:30' WHEN 2 THEN '2025-6-15' WHEN 3 THEN '06/13/2025' ELSE '15 June 2025' END
+    WHEN 3 THEN NULL WHEN 4 THEN CASE k % 5 WHEN 0 THEN '5-6-2025' WHEN 1 THEN 'Jun 5, 25' WHEN 2 THEN '07/2025' WHEN 3 THEN '20250605' ELSE '1/2/76' END ELSE 'Thỏa thuận' END AS HanNopHoSo,
   CASE WHEN (k - k % 3) % 33 <> 0 THEN concat('https://jobs.example.com/viec-lam/', CAST(k - k % 3 AS STRING), '.html') END AS LinkBaiTuyenDung,
   o_orderpriority AS Nguon, d AS NgayCaoDuLieu,
   CASE k % 5 WHEN 0 THEN 'CNTT - Phần mềm' WHEN 1 THEN 'Ngân hàng / Kế toán' WHEN 2 THEN c_mktsegment WHEN 3 THEN NULL ELSE 'Marketing' END AS LinhVuc,

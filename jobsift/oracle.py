@@ -405,12 +405,26 @@ def deadline_v1(raw: str, crawl: str) -> str:
     dmy = ymd(f"regexp_extract({t}, {pat}, 3)", f"regexp_extract({t}, {pat}, 2)", f"regexp_extract({t}, {pat}, 1)")
     days = f"regexp_extract({t}, '(\\d+)', 1)"
     plus = f"CAST(CAST({crawl} AS DATE) + TRY_CAST({days} AS INTEGER) * INTERVAL 1 DAY AS DATE)"
-    whole = q(r"^(\d{1,2})[/.\-](\d{1,2})[/.\-](\d{4})$")
-    iso = q(r"^(\d{4})-(\d{1,2})-(\d{1,2})$")
-    direct = (f"coalesce(CASE WHEN regexp_matches({t}, {whole}) THEN "
-              f"{ymd(f'regexp_extract({t}, {whole}, 3)', f'regexp_extract({t}, {whole}, 2)', f'regexp_extract({t}, {whole}, 1)')} END, "
-              f"CASE WHEN regexp_matches({t}, {iso}) THEN "
-              f"{ymd(f'regexp_extract({t}, {iso}, 1)', f'regexp_extract({t}, {iso}, 2)', f'regexp_extract({t}, {iso}, 3)')} END)")
+    sep, time = r"[/.\-, ]+", r"([ t]+([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?( ?[ap]m)?z?)?"
+    mon = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
+
+    def get(form: str, n: int) -> str:
+        return f"regexp_extract({t}, {q(form)}, {n})" if n else "'1'"
+
+    def year(y: str) -> str:
+        return f"CASE WHEN length({y}) = 2 THEN CASE WHEN TRY_CAST({y} AS INTEGER) >= 75 THEN '19' ELSE '20' END || {y} ELSE {y} END"
+
+    def way(y: str, m: str, d: str) -> str:
+        return f"CASE WHEN TRY_CAST({m} AS INTEGER) > 12 AND TRY_CAST({d} AS INTEGER) <= 12 THEN {ymd(y, d, m)} ELSE {ymd(y, m, d)} END"
+
+    cases = []
+    for form, (y, m, d), named in ((rf"^(\d{{1,2}}){sep}(\d{{1,2}}){sep}(\d{{4}}|\d{{2}}){time}$", (3, 2, 1), False), (rf"^(\d{{4}}){sep}(\d{{1,2}}){sep}(\d{{1,2}}){time}$", (1, 2, 3), False),
+                                   (rf"^(\d{{4}})(\d{{2}})(\d{{2}}){time}$", (1, 2, 3), False), (rf"^(\d{{1,2}})[/.\-, ]*{mon}[/.\-, ]*(\d{{4}}|\d{{2}}){time}$", (3, 2, 1), True),
+                                   (rf"^{mon}[/.\-, ]*(\d{{1,2}}){sep}(\d{{4}}|\d{{2}}){time}$", (3, 1, 2), True), (r"^(\d{1,2})[/\-](\d{4})$", (2, 1, 0), False),
+                                   (r"^(\d{4})[/\-](\d{1,2})$", (1, 2, 0), False), (r"^(\d{4})$", (1, 0, 0), False)):
+        month = f"CAST((instr('janfebmaraprmayjunjulaugsepoctnovdec', {get(form, m)}) + 2) // 3 AS VARCHAR)" if named else get(form, m)
+        cases.append(f"WHEN regexp_matches({t}, {q(form)}) THEN {way(year(get(form, y)), month, get(form, d))}")
+    direct = f"(CASE {' '.join(cases)} END)"
     return (f"(CASE WHEN contains({t}, 'hạn nộp') AND regexp_extract({t}, {pat}, 0) <> '' THEN {dmy} "
             f"WHEN contains({t}, 'ngày tới') AND {days} <> '' THEN {plus} ELSE {direct} END)")
 

@@ -239,6 +239,36 @@ def page_watermark(state: DataFrame, col: str, default: int, step: int) -> DataF
     return state.withColumn("next_page", (v + F.lit(step)).cast("int"))
 
 
+REJECTS = "doc string, pos int, field string, value string"
+
+
+def import_documents(docs: DataFrame, doc: str, col: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Documents that hold a JSON array of objects (or one object) as typed
+    rows, and the table of what did not convert.
+
+    Each document is read as a whole and its elements become rows ``(doc, pos,
+    fields)``; a key that an element lacks is NULL.  Every field is first read as
+    the text it is, then converted: a value that is there and does not convert is
+    NULL in the row and one row ``(doc, pos, field, value)`` of the rejects.  A
+    document that is no JSON is one reject without field.
+    """
+    texts = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
+    parsed = docs.select(F.col(doc).cast("string").alias("doc"), F.col(col).alias("_raw"), F.from_json(F.col(col), texts).alias("_all"))
+    given = parsed.select("doc", F.posexplode("_all").alias("pos", "_one"))
+    typed = {f.name: F.col(f"_one.`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    rows = given.select("doc", "pos", *[c.alias(n) for n, c in typed.items()])
+    bad = F.array(*[F.when(F.col(f"_one.`{n}`").isNotNull() & c.isNull(), F.struct(F.lit(n).alias("field"), F.col(f"_one.`{n}`").alias("value"))) for n, c in typed.items()])
+    rejects = given.select("doc", "pos", F.inline(F.array_compact(bad)))
+    unread = parsed.where(F.col("_raw").isNotNull() & F.col("_all").isNull()).select(
+        "doc", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("field"), F.col("_raw").alias("value"))
+    return rows, rejects.unionByName(unread)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc, content)``: each file as one text, named by its path."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("content"))
+
+
 # API payload
 API_SCHEMA = T.StructType([
     T.StructField("jobId", T.LongType()), T.StructField("jobTitle", T.StringType()),

@@ -83,9 +83,14 @@ def _replicate(spark, sf_dir):
     return out
 
 
-@register("write_run_csv")
+def _run_csv_sql() -> str:
+    from .crawl import _frontier_sql
+    return _frontier_sql(100, 5).replace("SELECT * FROM k WHERE", "SELECT site, CAST(page AS VARCHAR) AS page, CAST(pos AS VARCHAR) AS pos, link, CAST(rank AS VARCHAR) AS rank FROM k WHERE")
+
+
+@register("write_run_csv", _run_csv_sql())
 def _write_run_csv(spark, sf_dir):
-    """S14 (rows-only): the frontier written as this run's CSV."""
+    """The frontier written as this run's CSV and read back as text."""
     from ..operators.frontier import crawl_frontier
     front = crawl_frontier(fixtures.listing(spark, sf_dir), fixtures.seen(spark, sf_dir), cap=100, max_empty=5)
     path = S.write_run_csv(front, _tmp(spark, "runs"), "site")
@@ -139,6 +144,10 @@ def json_schema(keymap: dict[str, str] | None = None) -> T.StructType:
 
 def export_json_lines(clean, path: str, keymap: dict[str, str] | None = None) -> None:
     """The clean fact as one JSON object per line (distributed write)."""
+    clean.select(*_export_columns(clean, keymap)).write.mode("overwrite").json(path)
+
+
+def _export_columns(clean, keymap: dict[str, str] | None = None) -> list:
     from ..functions.text import null_skip_mean
     keymap = keymap or {}
     cols = []
@@ -150,7 +159,7 @@ def export_json_lines(clean, path: str, keymap: dict[str, str] | None = None) ->
         else:
             c = F.col(_V2_EXPORT.get(n, n))
         cols.append(c.alias(keymap.get(n, n)))
-    clean.select(*cols).write.mode("overwrite").json(path)
+    return cols
 
 
 def import_json(spark, path: str, keymap: dict[str, str] | None = None):
@@ -212,6 +221,41 @@ def _clean_import_sql() -> str:
             f"THEN 'INSERT' END AS MergeAction FROM t FULL OUTER JOIN src s ON t.JobHash = s.JobHash")
 
 
+def _documents(spark, sf_dir):
+    """The clean fact as JSON array documents, one a source and crawl day, in
+    which the numbers of some rows are texts that are none."""
+    clean = PW.clean_v2(PW.raw_fact(spark, sf_dir))
+    fields = _export_columns(clean)
+    rows = clean.select("Nguon", "NgayCaoDuLieu", F.to_json(F.struct(*fields)).alias("one"))
+    docs = rows.groupBy("Nguon", "NgayCaoDuLieu").agg(F.concat(F.lit("["), F.array_join(F.collect_list("one"), ",\n"), F.lit("]")).alias("content"))
+    return docs.select(F.concat_ws("/", "Nguon", F.col("NgayCaoDuLieu").cast("string")).alias("doc"), "content")
+
+
+@register("json_document_import", _clean_import_sql().split(", t AS (SELECT * FROM src")[0] + "\nSELECT * FROM src")
+def _json_document_import(spark, sf_dir):
+    """JSON array documents with all 47 fields; rows with a title, text dates converted."""
+    rows, _ = S.import_documents(_documents(spark, sf_dir), "doc", "content", json_schema())
+    rows = rows.filter(F.trim(F.col("CongViec")) != "").drop("doc", "pos", "NgayXuLyDL")
+    return rows.select(*[F.col(c).try_cast("date").alias(c) if c in _DATES else F.col(c) for c in rows.columns])
+
+
+@register("json_document_rejects", """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'x' || event_id ELSE CAST(event_id AS VARCHAR) END AS n, CASE WHEN event_id % 7 = 0 THEN 'soon' ELSE '2025-01-01' END AS d FROM events)
+SELECT 'd' || CAST(event_id // 50 AS VARCHAR) AS doc, CAST(event_id % 50 AS INTEGER) AS pos, field, value FROM (
+  SELECT event_id, 'n' AS field, n AS value FROM e WHERE event_id % 5 = 0 UNION ALL SELECT event_id, 'd', d FROM e WHERE event_id % 7 = 0)
+UNION ALL SELECT 'd' || CAST(event_id // 50 AS VARCHAR) || '-cut', NULL, NULL, '[{"n": ' || CAST(event_id AS VARCHAR) FROM events WHERE event_id % 50 = 0""")
+def _json_document_rejects(spark, sf_dir):
+    """What did not convert, by document and place, and documents that are no JSON."""
+    e = fixtures.table(spark, sf_dir, "events")
+    name = F.concat(F.lit("d"), F.floor(F.col("event_id") / 50).cast("string"))
+    one = F.to_json(F.struct(F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("x"), F.col("event_id").cast("string"))).otherwise(F.col("event_id").cast("string")).alias("n"),
+                             F.when(F.col("event_id") % 7 == 0, "soon").otherwise("2025-01-01").alias("d")))
+    docs = e.groupBy(name.alias("doc")).agg(F.array_sort(F.collect_list(F.struct("event_id", one.alias("one")))).alias("all"))
+    docs = docs.select("doc", F.concat(F.lit("["), F.array_join(F.transform("all", lambda x: x["one"]), ","), F.lit("]")).alias("content"))
+    cut = e.where("event_id % 50 = 0").select(F.concat(name, F.lit("-cut")).alias("doc"), F.concat(F.lit('[{"n": '), F.col("event_id").cast("string")).alias("content"))
+    return S.import_documents(docs.unionByName(cut), "doc", "content", T.StructType([T.StructField("n", T.LongType()), T.StructField("d", T.DateType())]))[1]
+
+
 register("upsert_clean_by_hash", _clean_import_sql())(lambda spark, sf_dir: _clean_import(spark, sf_dir))
 register("upsert_clean_keymap", _clean_import_sql())(
     lambda spark, sf_dir: _clean_import(spark, sf_dir, KEYMAP_VARIANT))
@@ -237,9 +281,20 @@ def _api_payload(spark, sf_dir):
     return p.select(F.to_json(obj).alias("payload"))
 
 
-@register("api_payload_flatten")
+def _api_sql() -> str:
+    from .crawl import _html_to_text_sql
+    title = r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title>', 1)"
+    article = _html_to_text_sql(r"regexp_extract(html, '(?is)<article\b[^>]*>(.*?)</article>', 1)")
+    return rf"""
+SELECT page_id AS jobId, {title} AS CongViec, CASE WHEN page_id % 4 <> 0 THEN regexp_extract(url, '//([^/]+)', 1) ELSE 'N/A' END AS CongTy, 'N/A' AS MucLuong, url AS LinkBaiTuyenDung,
+       array_to_string(string_split(regexp_replace({title}, '[^\p{{L}} ]', '', 'g'), ' '), ', ') AS KyNang, regexp_extract(url, '/(\w\w)/', 1) AS ViTri,
+       coalesce({article}, '') AS MoTaCongViec, '' AS YeuCauUngVien
+FROM pages WHERE page_id % 10 <> 0"""
+
+
+@register("api_payload_flatten", _api_sql())
 def _api_flatten(spark, sf_dir):
-    """S16/P12 (rows-only): nested payload -> flat posting columns."""
+    """Nested payload -> flat posting columns."""
     return S.api_flatten(_api_payload(spark, sf_dir))
 
 
@@ -324,9 +379,9 @@ def _price_impute(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
-@register("incremental_csv_ingest")
+@register("incremental_csv_ingest", fixtures.duck_prefix("stg") + f"SELECT {_STG_TEXT}, CASE WHEN NgayCaoDuLieu < DATE '{CUTOFF}' THEN 0 ELSE 1 END AS _batch_id FROM stg")
 def _incremental_ingest(spark, sf_dir):
-    """S4 (rows-only): two runs over a drop folder; the second run only
+    """Two runs over a drop folder; the second run only
     picks up the file dropped after the first; processed files archived."""
     from ..streaming.ingest import append_batches, csv_drop_stream, run_available
     root = _tmp(spark, "ingest")

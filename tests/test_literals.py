@@ -131,3 +131,19 @@ def test_html_to_text(spark):
     html = '<html lang="vi"><head><title>T &amp; U</title><script>var x="<p>";</script></head><body><p>A<br>B</p></body></html>'
     assert one(spark, html, H.html_to_text) == "T & U A B"
     assert one(spark, "Quy mô: 100 - 499", H.kv_value) == "100 - 499"
+
+
+def test_day_first_dates_as_pandas_parses_them(spark):
+    """Literals against the parser of the source (a date of two digits of a year near 2025)."""
+    import pandas as pd
+    from jobsift.functions.dates import day_first
+    texts = ["5/6/2025", "05.06.25", "5-6-25 14:30", "2025-6-15", "2025-06-30 10:00", "13/14/2025", "06/13/2025", "31/02/2025", "5 jun 2025", "jun 5 2025", "20250605", "5/6/68", "5,6,2025",
+             "5 6 2025", "15/6/2025 23:59", "6/2025", "2025-06", "12-2025", "5-jun-25", "2025", "30", "1.5", "thỏa thuận", "5/6/2025 10:30:15 pm", "29/02/2024", "29/02/2025", "december 31, 2025", "5/6/2025 25:00"]
+    got = [r["d"] for r in spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, t string").select("i", day_first(F.col("t")).alias("d")).orderBy("i").collect()]
+    for text, mine in zip(texts, got, strict=True):
+        want = pd.to_datetime(text, dayfirst=True, errors="coerce")
+        assert (None if pd.isna(want) else want.date()) == mine, text
+    # two digits: at most 49 years ahead; year-first dates are read as they stand unless asked otherwise
+    one = spark.createDataFrame([("1/2/74", "1/2/75", "2025-06-05")], "a string, b string, c string")
+    row = one.select(day_first(F.col("a")), day_first(F.col("b")), day_first(F.col("c")), day_first(F.col("c"), iso_swapped=True)).first()
+    assert [str(x) for x in row] == ["2074-02-01", "1975-02-01", "2025-06-05", "2025-05-06"]
