@@ -10,6 +10,7 @@ from .common import flat_bytes
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 _M64 = 1 << 64
+PART = 1 << 20
 #: Multipliers of the word hashes, and for each byte value the number that stands for it.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _VALUES = np.random.default_rng(20240229).integers(1, _M64, 256, np.uint64, endpoint=False)
@@ -19,7 +20,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _powers_of(multiplier: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """multiplier ** i and its inverse, for i below n at least."""
     if multiplier not in _powers or len(_powers[multiplier][0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, PART + 1)
         with np.errstate(over="ignore"):
             _powers[multiplier] = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, m, np.uint64)]), dtype=np.uint64) for m in (multiplier, pow(multiplier, -1, _M64)))
     return _powers[multiplier]
@@ -45,15 +46,25 @@ def spans(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, multiplier: int = MULTIPLIERS[0]) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial over its bytes, then mixed."""
-    up, down = _powers_of(multiplier, len(flat) + 1)
+    """A 64-bit hash of each word: a polynomial over its bytes, then mixed.  It
+    takes ``PART`` bytes at a time, as each byte is worth several numbers of 8."""
+    out = np.empty(len(starts), np.uint64)
+    first = 0
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(flat) + 1, np.uint64)
-        np.cumsum(_VALUES[flat] * up[:len(flat)], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        return h ^ (h >> np.uint64(29))
+        while first < len(starts):
+            base = int(starts[first])
+            past = max(first + 1, int(np.searchsorted(ends, base + PART, "right")))
+            begin, end = starts[first:past] - base, ends[first:past] - base
+            part = flat[base:base + int(end[-1])]
+            up, down = _powers_of(multiplier, len(part) + 1)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_VALUES[part] * up[:len(part)], out=sums[1:])
+            h = (sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0xD6E8FEB86659FD93)
+            out[first:past] = h ^ (h >> np.uint64(29))
+            first = past
+    return out
 
 
 def window_hashes(words: np.ndarray, width: int, multiplier: int = MULTIPLIERS[1]) -> np.ndarray:
