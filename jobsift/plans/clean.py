@@ -106,7 +106,9 @@ def clean_v2(df: DataFrame, as_of: str = AS_OF, as_of_date: str = AS_OF_DATE, li
     branch of their own; the others need no shuffle when links are unique.
     """
     feats = with_v2_features(df, as_of_date)
-    if links_unique:
+    if links_unique and not df.schema["LinkBaiTuyenDung"].nullable:
+        geo = geo_explode_v2(feats)
+    elif links_unique:
         link = F.col("LinkBaiTuyenDung")
         without = geo_explode_v2(feats.filter(link.isNull()))
         rank = [c for c in ("NgayCaoDuLieu", *ROW_TEXT_COLUMNS) if c in without.columns]
