@@ -9,7 +9,7 @@ from jobsift.workloads.warehouse import empty_raw_fact, upsert_latest_by_link
 
 
 def test_staging_merge_idempotent(spark, sf):
-    stg = fixtures.stg(spark, sf)
+    stg = fixtures.stg(spark, sf).filter("LinkBaiTuyenDung IS NOT NULL")
     first = upsert_latest_by_link(empty_raw_fact(spark), stg)
     counts = {r[ACTION]: r["count"] for r in first.groupBy(ACTION).count().collect()}
     links = stg.select("LinkBaiTuyenDung").distinct().count()
@@ -23,6 +23,28 @@ def test_staging_merge_idempotent(spark, sf):
     assert bad == 0
 
 
+def test_rows_without_a_link_are_inserted_each_time(spark, sf):
+    stg = fixtures.stg(spark, sf).filter("LinkBaiTuyenDung IS NULL")
+    assert stg.count() > 1
+    first = upsert_latest_by_link(empty_raw_fact(spark), stg)
+    second = upsert_latest_by_link(first.drop(ACTION), stg)
+    assert sorted(str(r[ACTION]) for r in second.collect()) == ["INSERT", "None"]
+
+
+def test_star_takes_rows_without_a_link_twice(spark, sf):
+    from jobsift.plans.clean import clean_v2
+    from jobsift.plans.star import star_load
+    from jobsift.session import materialize
+    from jobsift.workloads.postings import raw_fact
+    raw = raw_fact(spark, sf).limit(40)
+    lost = raw.filter("ViTri LIKE '%Hà Nội%'").limit(4).withColumn("LinkBaiTuyenDung", F.lit(None).cast("string"))
+    clean = materialize(clean_v2(materialize(raw.unionByName(lost), "raw-lost")), "clean-lost")
+    dims, fact = star_load(clean)
+    again = star_load(clean, dims, fact.drop(ACTION))[1]
+    actions = {r[ACTION]: r["count"] for r in again.groupBy(ACTION).count().collect()}
+    assert set(actions) == {"UPDATE"}
+
+
 def test_merge_rejects_duplicate_source_keys(spark):
     t = spark.createDataFrame([(1, "a")], "k int, v string")
     s = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
@@ -89,7 +111,7 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, sf, tmp_path):
     n_links = stg.select("LinkBaiTuyenDung").distinct().count()
     assert c1 == {"inserted": n_links, "updated": 0}
     # a second batch with a handful of links touches only their buckets
-    small = src.orderBy("LinkBaiTuyenDung").limit(3)
+    small = src.filter("LinkBaiTuyenDung IS NOT NULL").orderBy("LinkBaiTuyenDung").limit(3)
     touched = {r[0] for r in small.select(F.pmod(F.xxhash64("LinkBaiTuyenDung"), F.lit(16))).collect()}
     before = {d: os.listdir(os.path.join(path, d)) for d in os.listdir(path) if d.startswith(BUCKET)}
     c2 = merge_into_bucketed(spark, path, small, ["LinkBaiTuyenDung"], 16, upd, ins)
