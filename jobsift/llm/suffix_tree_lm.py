@@ -39,7 +39,8 @@ from .common import id_text, rebatched, stored, texts_of
 from .flat_words import hashes, spans
 
 DEPTH = 4
-END = 1
+#: Bytes that no UTF-8 text holds: the end of a document, and what stands before it.
+END, START = 0xFF, 0xFE
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 BLOCK_BYTES = 4 << 20
 
@@ -82,12 +83,12 @@ class Block:
         self.ids = [None if n else i for i, n in zip(ids.tolist(), none.tolist(), strict=True)]
         lengths = np.frombuffer(row["lengths"], np.int64)
         self.held = np.array([held_out(i) for i in self.ids], bool)
-        # Every text gets DEPTH start symbols (0) before it and the end symbol behind it.
+        # Every text gets DEPTH start symbols before it and the end symbol behind it.
         ends = np.cumsum(lengths)
         flat = np.frombuffer(row["texts"], np.uint8)
         n = len(lengths)
         self.symbols = lengths + 1
-        s = np.zeros(len(flat) + n * (DEPTH + 1), np.uint8)
+        s = np.full(len(flat) + n * (DEPTH + 1), START, np.uint8)
         shift = np.repeat(np.arange(n) * (DEPTH + 1) + DEPTH, lengths)
         s[np.arange(len(flat)) + shift] = flat
         last = ends + np.arange(1, n + 1) * (DEPTH + 1) - 1

@@ -314,13 +314,18 @@ def test_packing_scores_by_all_documents():
     assert np.allclose(index.scores(0), [weight(3) + weight(9), weight(3), weight(9)])
 
 
-def test_suffix_tree_scores_against_brute_force(docs):
+def test_suffix_tree_scores_against_brute_force(spark):
     mu, least, gain, depth = 4.0, 8, 8.0, suffix_tree_lm.DEPTH
-    rows = [(i, b" ".join((t or "").encode().translate(suffix_tree_lm.LOWER).split())) for i, t, _, _ in _texts()]
+    # Control characters in a text are characters like any other.
+    given = [*_texts(), (20, "a\x00b \x01 c\x01 \x01", 20, "en"), (21, "\x01\x00 w1 \x00\x00\x00\x00", 21, "en"), (22, "\x00", 22, "en")]
+    docs = spark.createDataFrame(given, "doc_id long, text string, place long, key string")
+    before, behind = bytes([suffix_tree_lm.START]) * depth, bytes([suffix_tree_lm.END])
+    rows = [(i, b" ".join((t or "").encode().translate(suffix_tree_lm.LOWER).split())) for i, t, _, _ in given]
+    assert sum(not suffix_tree_lm.held_out(i) for i in (20, 21, 22)) >= 2
     train = [t for i, t in rows if not suffix_tree_lm.held_out(i)]
     met: dict[bytes, dict[int, int]] = {}
     for t in train:
-        s = bytes(depth) + t + b"\1"
+        s = before + t + behind
         for at in range(depth, len(s)):
             for k in range(depth + 1):
                 after = met.setdefault(s[at - k:at], {})
@@ -343,7 +348,7 @@ def test_suffix_tree_scores_against_brute_force(docs):
     tokens, kinds = sum(words.values()) + len(train), len(words) + 1
     wanted = []
     for i, t in rows:
-        s = bytes(depth) + t + b"\1"
+        s = before + t + behind
         logs = sum(np.log10(p(s[at - depth:at], s[at])) for at in range(depth, len(s)))
         base = sum(np.log10((n + 1) / (tokens + kinds + 1)) for n in [*(words.get(w, 0) for w in t.split()), len(train)])
         wanted.append((i or 0, len(t.split()) + 1, sum(w in words for w in t.split()) + 1, tokens, base, logs))
