@@ -42,7 +42,7 @@ DEPTH = 4
 #: Bytes that no UTF-8 text holds: the end of a document, and what stands before it.
 END, START = 0xFF, 0xFE
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES, PART_BYTES = 4 << 20, 1 << 20
 
 BLOCKS = "block long, doc_ids binary, no_ids binary, lengths binary, texts binary"
 COUNTS = "kind int, part int, block long, codes binary, counts binary"
@@ -75,6 +75,25 @@ def _as_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
+def _codes(flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For each symbol of the texts, their ends included, it and the ``DEPTH``
+    symbols before it as one number.  Every text gets DEPTH start symbols before
+    it and the end symbol behind it."""
+    n, ends = len(lengths), np.cumsum(lengths)
+    s = np.full(len(flat) + n * (DEPTH + 1), START, np.uint8)
+    shift = np.repeat(np.arange(n) * (DEPTH + 1) + DEPTH, lengths)
+    s[np.arange(len(flat)) + shift] = flat
+    last = ends + np.arange(1, n + 1) * (DEPTH + 1) - 1
+    s[last] = END
+    scored = np.ones(len(s), bool)
+    for k in range(DEPTH):
+        scored[last - lengths - 1 - k] = False
+    code = np.zeros(len(s), np.uint64)
+    for k in range(DEPTH, -1, -1):
+        code[DEPTH:] = (code[DEPTH:] << np.uint64(8)) | s[DEPTH - k:len(s) - k]
+    return code[scored]
+
+
 class Block:
     """The documents of a row, with their symbol strings and words."""
 
@@ -83,23 +102,18 @@ class Block:
         self.ids = [None if n else i for i, n in zip(ids.tolist(), none.tolist(), strict=True)]
         lengths = np.frombuffer(row["lengths"], np.int64)
         self.held = np.array([held_out(i) for i in self.ids], bool)
-        # Every text gets DEPTH start symbols before it and the end symbol behind it.
         ends = np.cumsum(lengths)
         flat = np.frombuffer(row["texts"], np.uint8)
         n = len(lengths)
         self.symbols = lengths + 1
-        s = np.full(len(flat) + n * (DEPTH + 1), START, np.uint8)
-        shift = np.repeat(np.arange(n) * (DEPTH + 1) + DEPTH, lengths)
-        s[np.arange(len(flat)) + shift] = flat
-        last = ends + np.arange(1, n + 1) * (DEPTH + 1) - 1
-        s[last] = END
-        scored = np.ones(len(s), bool)
-        for k in range(DEPTH):
-            scored[last - lengths - 1 - k] = False
-        code = np.zeros(len(s), np.uint64)
-        for k in range(DEPTH, -1, -1):
-            code[DEPTH:] = (code[DEPTH:] << np.uint64(8)) | s[DEPTH - k:len(s) - k]
-        self.code = code[scored]
+        self.code = np.empty(len(flat) + n, np.uint64)
+        # Each byte is worth several numbers of 8 on the way, so some documents at a time.
+        first = 0
+        while first < n:
+            begin = int(ends[first] - lengths[first])
+            past = max(first + 1, int(np.searchsorted(ends, begin + PART_BYTES, "right")))
+            self.code[begin + first:int(ends[past - 1]) + past] = _codes(flat[begin:int(ends[past - 1])], lengths[first:past])
+            first = past
         offsets = np.append(0, ends).astype(np.int32)
         _, _, a, b, self.n_words = spans(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(row["texts"])]))
         self.word = hashes(flat, a, b)
@@ -107,9 +121,15 @@ class Block:
     def distinct(self, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(distinct codes by part order, their training counts, place of each occurrence)."""
         codes, many = (self.code, self.symbols) if kind == 0 else (self.word, self.n_words)
-        found, place = np.unique(codes, return_inverse=True)
+        # A dictionary instead of a sort of all codes, which takes several copies of them.
+        coded = pa.array(codes).dictionary_encode()
+        found = coded.dictionary.to_numpy()
+        order = np.argsort(found)
+        rank = np.empty(len(found), np.int32)
+        rank[order] = np.arange(len(found), dtype=np.int32)
+        place = rank[coded.indices.to_numpy()]
         counts = np.bincount(place[np.repeat(~self.held, many)], minlength=len(found))
-        return found, counts, place
+        return found[order], counts, place
 
 
 def _part(codes: np.ndarray, parts: int) -> np.ndarray:
