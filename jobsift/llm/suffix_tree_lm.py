@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, rebatched, stored, texts_of
+from .common import id_text, rebatched, small_batches, stored, texts_of
 from .flat_words import hashes, spans
 
 DEPTH = 4
@@ -241,6 +241,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: f
     """One row for each row of ``docs``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score, n_symbols."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small_batches(docs.sparkSession)
     blocks = stored(id_text(docs, id_col, text_col).mapInArrow(_as_blocks, BLOCKS), "lm-blocks")
     counted = stored(blocks.mapInArrow(partial(_counted, parts), COUNTS), "lm-counts")
     strings, words = counted.where("kind = 0"), counted.where("kind = 1")
