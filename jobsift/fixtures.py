@@ -8,35 +8,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import rules
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# staging postings: 18 staging columns + row_id (three rows share each link, some have none)
-STG_SQL = """
+
+def _keywords(*rule_sets) -> list[str]:
+    """Every keyword of these rule tables once, in their order, as a plain text."""
+    found = [k for rule_set in rule_sets for _, given in rule_set for k in ((given,) if isinstance(given, str) else given)]
+    return list(dict.fromkeys(k.replace("\\", "") for k in found))
+
+
+def _each(words: list[str], before: str, otherwise: str) -> str:
+    """In two of seven rows a text with the next of these words, in turn; else the given value."""
+    return f"CASE WHEN k % 7 IN (2, 5) THEN concat('{before}', split_part('{'¦'.join(words)}', '¦', CAST(k % {len(words)} AS INT) + 1), ' (x)') ELSE {otherwise} END"
+
+
+_TITLE_WORDS = _keywords(rules.JOB_ROLE_V2, rules.JOB_TITLE_V1, rules.INDUSTRY_SUB_V2, rules.RANK_V2, rules.RANK_V1)
+_PLACES = [k for k, _ in dict.fromkeys((*rules.PROVINCE_MERGE_V2, *rules.PROVINCE_MERGE_V1))]
+_SKILL_WORDS = _keywords(*rules.SKILLS_V2.values(), *rules.SKILLS_V1.values(), rules.EDUCATION_V2, rules.EDUCATION_V1)
+_FIELD_WORDS = _keywords(rules.INDUSTRY_MACRO_V2, rules.INDUSTRY_V1)
+_FORM_WORDS = _keywords(rules.EMPLOYMENT_V2, rules.EMPLOYMENT_V1, rules.WORK_MODE_V2, rules.WORK_MODE_V1)
+
+# staging postings: 18 staging columns + row_id (three rows share each link, some have none); the texts that
+# keyword rules read hold every keyword of every rule table in turn
+STG_SQL = f"""
 WITH b AS (
   SELECT o.o_orderkey AS k, CAST(o.o_orderdate AS DATE) AS d, c.c_name, c.c_mktsegment, n.n_name, o.o_orderpriority
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)
 SELECT
-  CASE k % 12 WHEN 0 THEN 'Senior Java Developer' WHEN 1 THEN 'Tuyển gấp 5 Data Analyst (HCM)' WHEN 2 THEN 'Thực tập sinh Tester'
+  {_each(_TITLE_WORDS, 'Chuyên viên ', """CASE k % 12 WHEN 0 THEN 'Senior Java Developer' WHEN 1 THEN 'Tuyển gấp 5 Data Analyst (HCM)' WHEN 2 THEN 'Thực tập sinh Tester'
     WHEN 3 THEN 'Project Manager - lương 30 triệu' WHEN 4 THEN 'Fullstack Developer [Remote]' WHEN 5 THEN 'Trưởng phòng IT'
     WHEN 6 THEN 'Kỹ sư dữ liệu' WHEN 7 THEN 'Nhân viên IT Support, tuyển 12 người' WHEN 8 THEN 'Fresher Business Analyst'
-    WHEN 9 THEN 'DevOps Engineer (AWS)' WHEN 10 THEN '  ' ELSE 'Phó giám đốc công nghệ' END AS CongViec,
-  CASE k % 9 WHEN 0 THEN 'Hà Nội' WHEN 1 THEN 'Quận 1, TP.HCM' WHEN 2 THEN 'Hà Nội; Đà Nẵng' WHEN 3 THEN 'Bình Dương | Đồng Nai'
-    WHEN 4 THEN 'Tại Bắc Giang - Bắc Ninh' WHEN 5 THEN 'Singapore' WHEN 6 THEN 'Hồ Chí Minh & Cần Thơ' WHEN 7 THEN NULL ELSE 'Nghệ An, Huế' END AS ViTri,
+    WHEN 9 THEN 'DevOps Engineer (AWS)' WHEN 10 THEN '  ' ELSE 'Phó giám đốc công nghệ' END""")} AS CongViec,
+  {_each(_PLACES, 'Tại ', """CASE k % 9 WHEN 0 THEN 'Hà Nội' WHEN 1 THEN 'Quận 1, TP.HCM' WHEN 2 THEN 'Hà Nội; Đà Nẵng' WHEN 3 THEN 'Bình Dương | Đồng Nai'
+    WHEN 4 THEN 'Tại Bắc Giang - Bắc Ninh' WHEN 5 THEN 'Singapore' WHEN 6 THEN 'Hồ Chí Minh & Cần Thơ' WHEN 7 THEN NULL ELSE 'Nghệ An, Huế' END""")} AS ViTri,
   CASE k % 8 WHEN 0 THEN 'Không yêu cầu' WHEN 1 THEN '2 năm' WHEN 2 THEN '1 - 3 năm' WHEN 3 THEN 'Trên 5 năm' WHEN 4 THEN 'Dưới 1 năm'
     WHEN 5 THEN '6 tháng' WHEN 6 THEN NULL ELSE '3 năm đến 7 năm' END AS YeuCauKinhNghiem,
   CASE k % 10 WHEN 0 THEN 'Thỏa thuận' WHEN 1 THEN concat(CAST(5 + k % 20 AS STRING), ' - ', CAST(15 + k % 40 AS STRING), ' triệu')
     WHEN 2 THEN 'Up to 2,000 USD' WHEN 3 THEN 'Từ 12 triệu' WHEN 4 THEN '800 - 1500 USD' WHEN 5 THEN '15tr - 20tr' WHEN 6 THEN '10,000,000 - 15,000,000'
     WHEN 7 THEN 'Trên 1k usd' WHEN 8 THEN NULL ELSE 'Đến 25.5 triệu' END AS MucLuong,
   CASE k % 4 WHEN 0 THEN 'Nhân viên' WHEN 1 THEN 'Quản lý' WHEN 2 THEN NULL ELSE 'Trưởng nhóm' END AS CapBac,
-  CASE k % 5 WHEN 0 THEN 'Toàn thời gian' WHEN 1 THEN 'Bán thời gian' WHEN 2 THEN 'Freelance' WHEN 3 THEN NULL ELSE 'Full-time, hybrid' END AS HinhThucLamViec,
+  {_each(_FORM_WORDS, 'Việc ', """CASE k % 5 WHEN 0 THEN 'Toàn thời gian' WHEN 1 THEN 'Bán thời gian' WHEN 2 THEN 'Freelance' WHEN 3 THEN NULL ELSE 'Full-time, hybrid' END""")} AS HinhThucLamViec,
   CASE k % 3 WHEN 0 THEN concat('công ty tnhh ', lower(c_name)) WHEN 1 THEN upper(c_name) ELSE concat(c_name, ' co.op (vn)') END AS CongTy,
   CASE k % 7 WHEN 0 THEN '100 - 499 nhân viên' WHEN 1 THEN 'Trên 1.000 nhân viên' WHEN 2 THEN 'Dưới 10 người' WHEN 3 THEN NULL
     WHEN 4 THEN '25-99' WHEN 5 THEN '10.000+ nhân viên' ELSE 'Chưa rõ' END AS QuyMoCongTy,
   CASE k % 6 WHEN 0 THEN '3 người' WHEN 1 THEN NULL WHEN 2 THEN 'Số lượng lớn' WHEN 3 THEN '1' WHEN 4 THEN '2025' ELSE '10 - 20' END AS SoLuongTuyen,
   CASE k % 5 WHEN 0 THEN 'Đại học' WHEN 1 THEN 'Cao đẳng trở lên' WHEN 2 THEN NULL WHEN 3 THEN 'Trung cấp' ELSE 'Thạc sĩ' END AS HocVan,
-  CASE k % 6 WHEN 0 THEN 'Thành thạo Python, SQL. Tiếng Anh tốt, làm việc nhóm' WHEN 1 THEN 'Tốt nghiệp Đại học; C++ / C#, giao tiếp' WHEN 2 THEN '2 năm Java, Spring Boot, Docker'
-    WHEN 3 THEN NULL WHEN 4 THEN 'Excel, Power BI; tư duy logic; N2' ELSE 'React, Node.js, tự học' END AS YeuCauUngVien,
+  {_each(_SKILL_WORDS, 'Có ', """CASE k % 6 WHEN 0 THEN 'Thành thạo Python, SQL. Tiếng Anh tốt, làm việc nhóm' WHEN 1 THEN 'Tốt nghiệp Đại học; C++ / C#, giao tiếp' WHEN 2 THEN '2 năm Java, Spring Boot, Docker'
+    WHEN 3 THEN NULL WHEN 4 THEN 'Excel, Power BI; tư duy logic; N2' ELSE 'React, Node.js, tự học' END""")} AS YeuCauUngVien,
   CASE k % 4 WHEN 0 THEN 'Phát triển backend, làm việc từ xa' WHEN 1 THEN 'Hỗ trợ khách hàng tại văn phòng' WHEN 2 THEN NULL ELSE 'Phân tích dữ liệu, hybrid' END AS MoTaCongViec,
   'Bảo hiểm, thưởng' AS QuyenLoi,
   CASE k % 6 WHEN 0 THEN concat('Hạn nộp hồ sơ: ', CAST(1 + k % 28 AS STRING), '/', CAST(1 + k % 12 AS STRING), '/2025') WHEN 1 THEN 'Còn 20 ngày tới'
@@ -44,7 +65,7 @@ SELECT
     WHEN 3 THEN NULL WHEN 4 THEN CASE k % 5 WHEN 0 THEN '5-6-2025' WHEN 1 THEN 'Jun 5, 25' WHEN 2 THEN '07/2025' WHEN 3 THEN '20250605' ELSE '1/2/76' END ELSE 'Thỏa thuận' END AS HanNopHoSo,
   CASE WHEN (k - k % 3) % 33 <> 0 THEN concat('https://jobs.example.com/viec-lam/', CAST(k - k % 3 AS STRING), '.html') END AS LinkBaiTuyenDung,
   o_orderpriority AS Nguon, d AS NgayCaoDuLieu,
-  CASE k % 5 WHEN 0 THEN 'CNTT - Phần mềm' WHEN 1 THEN 'Ngân hàng / Kế toán' WHEN 2 THEN c_mktsegment WHEN 3 THEN NULL ELSE 'Marketing' END AS LinhVuc,
+  {_each(_FIELD_WORDS, 'Ngành ', """CASE k % 5 WHEN 0 THEN 'CNTT - Phần mềm' WHEN 1 THEN 'Ngân hàng / Kế toán' WHEN 2 THEN c_mktsegment WHEN 3 THEN NULL ELSE 'Marketing' END""")} AS LinhVuc,
   k AS row_id
 FROM b
 """
