@@ -315,3 +315,13 @@ LEFT JOIN d_CapBacID c ON f.CapBacID = c.CapBacID GROUP BY ALL""")
 def _report(spark, sf_dir):
     dims, fact = star_load(_clean_src_v2(spark, sf_dir))
     return postings_report(fact, dims)
+
+
+def latest_order_of_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.dedupe import latest_by_id
+    orders = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+    return latest_by_id(orders, ["o_custkey"], "o_orderdate", "o_orderkey")
+
+
+register("latest_by_id", """SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice, o_orderpriority FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) = 1""")(latest_order_of_customer)

@@ -120,3 +120,18 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, sf, tmp_path):
     changed = {int(d.split("=")[1]) for d in after if after[d] != before.get(d)}
     assert changed == touched
     assert spark.read.parquet(path).count() == n_links
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "long"])
+def test_latest_by_id_equals_latest_per_key(spark, kind):
+    from jobsift.operators.dedupe import latest_by_id, latest_per_key
+    ids = "CASE id WHEN 0 THEN -9223372036854775808L WHEN 1 THEN 9223372036854775807L ELSE id - 300 END"
+    when = {"long": "id * 37 % 11 - 5"}.get(kind, f"CAST(TIMESTAMP'1969-12-31 23:00:00' + make_dt_interval(0, 0, 0, id * 37 % 11 * 86400.000001) AS {kind})")
+    rows = spark.range(600).selectExpr(f"{ids} AS row_id", f"CASE WHEN id % 13 <> 0 AND id % 40 <> 7 THEN {when} END AS ts", "CASE WHEN id % 3 <> 0 THEN id % 40 END AS k",
+                                       "CAST(id AS STRING) AS text", "id AS _rank")
+    rows = rows.unionByName(spark.sql(f"SELECT 7000L AS row_id, CAST({'9223372036' if kind == 'long' else chr(39) + '9999-12-31' + chr(39)} AS {kind}) AS ts, 77L AS k, NULL AS text, 1L AS _rank"))
+    got, wanted = (sorted(map(tuple, f.collect()), key=repr) for f in (latest_by_id(rows, ["k"], "ts", "row_id"), latest_per_key(rows, ["k"], ["ts", "row_id"])))
+    assert got == wanted and len(got) == rows.select("k").distinct().count()
+    assert latest_by_id(rows.where("row_id IS NULL"), ["k"], "ts", "row_id").count() == 0
+    with pytest.raises(TypeError):
+        latest_by_id(rows, ["k"], "text", "row_id")

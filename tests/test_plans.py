@@ -51,3 +51,9 @@ def test_rules_join_has_no_nested_loop(spark, sf):
     from jobsift.operators.rules_join import first_match_join, rules_table
     p = plan_text(first_match_join(fixtures.table(spark, sf, "documents"), "doc_id", "text", rules_table(spark, [("a", ["xyz", "q"]), ("b", ["data"])]), "none"))
     assert "NestedLoop" not in p and "CartesianProduct" not in p
+
+
+def test_latest_by_id_aggregates_keys_alone(spark, sf):
+    from jobsift.operators.dedupe import latest_by_id
+    p = plan_text(latest_by_id(fixtures.table(spark, sf, "events"), ["user_id"], "ts", "event_id"))
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and p.count("HashAggregate") == 2 and "partial_max(_rank" in p
