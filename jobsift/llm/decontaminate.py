@@ -12,8 +12,13 @@ space character to a space.  ``k`` is ``error_rate`` of the item's length, or
 less if the bound would fall under one q-gram; items shorter than ``2 * q`` are
 matched exactly.
 
+A document may quote only a part of an item.  Items longer than ``part_chars``
+are therefore also looked for by parts of that many characters, each of which
+starts half a part after the one before, by the same bound and alignment.  So
+every quote of one and a half parts is found, whatever surrounds it.
+
 The items of the benchmark are a stated query set.  They are taken in blocks
-of ``block_chars`` characters at most (one item at least), each block held
+of about ``block_chars`` characters (one item at least; parts take twice as much again), each block held
 against all documents in one pass without a shuffle, so the memory of a task
 is bounded however large the benchmark is.
 
@@ -40,6 +45,10 @@ FOLD = bytes(x + 32 if 65 <= x <= 90 or 192 <= x <= 222 and x != 215 else 32 if
 #: The same for whole strings, for the final comparison.
 FOLD_TEXT = {i: x for i, x in enumerate(FOLD) if i != x}
 GAP = b"\x00"
+#: Characters of a part; 0: only whole items are looked for.
+PART_CHARS = 100
+#: What is told of a passage.
+FOUND = ("item_id", "first_char", "end_char", "edits", "item_first", "item_end")
 
 
 def folded(text: str) -> bytes:
@@ -64,6 +73,11 @@ def edit_budget(n: int, q: int, error_rate: float) -> int:
     return 0 if n < 2 * q else max(0, min(int(error_rate * n), n // q - 1))
 
 
+def part_starts(n: int, part_chars: int) -> list[int]:
+    """Where the parts of an item of ``n`` characters start; the last one ends with the item."""
+    return [*range(0, n - part_chars, max(1, part_chars // 2)), n - part_chars] if 0 < part_chars < n else []
+
+
 def align(item: str, text: str, low: int, width: int, most: int) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best place of ``item`` in ``text`` whose
     alignment keeps to diagonals ``low`` to ``low + width - 1``; None beyond ``most``."""
@@ -97,20 +111,34 @@ def align(item: str, text: str, low: int, width: int, most: int) -> tuple[int, i
 
 
 class Index:
-    """The q-grams of some items."""
+    """The q-grams of some items and of their parts.
 
-    def __init__(self, items: list[tuple[int, str]], q: int, error_rate: float):
+    ``items``: (item id, text) of whole items, then of parts; ``owner`` tells
+    the whole item that each belongs to, ``first`` where it starts there.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], q: int, error_rate: float, part_chars: int = 0):
+        if 0 < part_chars < 2 * q:
+            raise ValueError(f"parts of {part_chars} characters are too short for {q}-grams")
         self.q = q
         self.items = [(i, (t or "").translate(FOLD_TEXT)) for i, t in items]
         self.items = [(i, t) for i, t in self.items if any(c.isalnum() for c in t)]
+        self.n_whole = len(self.items)
+        self.owner, self.first = list(range(self.n_whole)), [0] * self.n_whole
+        for k, (i, t) in enumerate(self.items[:self.n_whole]):
+            for at in part_starts(len(t), part_chars):
+                if any(c.isalnum() for c in t[at:at + part_chars]):
+                    self.items.append((i, t[at:at + part_chars]))
+                    self.owner.append(k)
+                    self.first.append(at)
         self.budget = np.array([edit_budget(len(t), q, error_rate) for _, t in self.items], np.int64)
         self.short = [k for k, (_, t) in enumerate(self.items) if len(t) < 2 * q]
-        long = [k for k in range(len(self.items)) if k not in set(self.short)]
+        long = [k for k, (_, t) in enumerate(self.items) if len(t) >= 2 * q]
         grams = [q_grams(folded(self.items[k][1]), q) for k in long]
         grown = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(grown, kind="stable")
-        self.grams, self.first = np.unique(grown[order], return_index=True)
-        self.ends = np.append(self.first[1:], len(grown))
+        self.grams, self.starts = np.unique(grown[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(grown))
         self.item = np.concatenate([np.full(len(g), k) for k, g in zip(long, grams, strict=True)] or [np.zeros(0, int)])[order]
         self.place = np.concatenate([np.arange(len(g)) for g in grams] or [np.zeros(0, int)])[order]
         self.shift = np.uint64(64 - max(16, int(len(self.grams)).bit_length() + 6))
@@ -132,8 +160,8 @@ class Index:
         found = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
         right = self.grams[found] == grams[at]
         at, found = at[right], found[right]
-        many = self.ends[found] - self.first[found]
-        rows = np.repeat(self.first[found], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        many = self.ends[found] - self.starts[found]
+        rows = np.repeat(self.starts[found], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         item, diagonal = self.item[rows], np.repeat(at, many) - self.place[rows]
         band = diagonal // (self.budget[item] + 1)
         reach = len(flat) + 2 * int(max((len(t) for _, t in self.items), default=0)) + 2
@@ -145,8 +173,13 @@ class Index:
         out += [(item[i], band[i] - 1) for i in np.flatnonzero((before == 0) & (counts >= self.bound[item]))]
         return [(int(k), int(b * (self.budget[k] + 1)), int(2 * (self.budget[k] + 1))) for k, b in out]
 
-    def passages(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
-        """(text, item id, start, end, edits); of hits of one item that overlap the best stays."""
+    def passages(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+        """(text, item id, start, end, edits, item start, item end).
+
+        Of hits of one whole item that overlap the best stays.  Parts that lie
+        in no hit of their whole item make one passage with the parts they
+        overlap, in text and in item; its edits are those of its worst part.
+        """
         flats = [folded(t) for t in texts]
         starts = np.cumsum([0, *(len(f) + 1 for f in flats)])
         hits: dict[tuple[int, int], list[tuple[int, int, int]]] = defaultdict(list)
@@ -171,12 +204,25 @@ class Index:
                 text, at = text.translate(FOLD_TEXT), -1
                 while (at := text.find(self.items[k][1], at + 1)) >= 0:
                     hits[d, k].append((0, at, at + len(self.items[k][1])))
-        for (d, k), found in sorted(hits.items()):
-            taken: list[tuple[int, int]] = []
+        wholes: dict[tuple[int, int], list[tuple]] = defaultdict(list)  # start, end, edits, item start, item end
+        parts: dict[tuple[int, int], list[tuple]] = defaultdict(list)
+        for (d, k), found in hits.items():
+            taken: list[tuple] = []
             for edits, a, b in sorted(set(found)):
-                if all(b <= x or y <= a for x, y in taken):
-                    taken.append((a, b))
-                    yield d, self.items[k][0], a, b, edits
+                if all(b <= x[0] or x[1] <= a for x in taken):
+                    taken.append((a, b, edits, self.first[k], self.first[k] + len(self.items[k][1])))
+            (wholes if k < self.n_whole else parts)[d, self.owner[k]] += taken
+        for d, k in sorted(wholes.keys() | parts.keys()):
+            joined: list[tuple] = []
+            for a, b, edits, start, end in sorted(parts[d, k]):
+                if any(a < x[1] and x[0] < b for x in wholes[d, k]):
+                    continue
+                if joined and a < joined[-1][1]:
+                    x = joined.pop()
+                    a, b, edits, start, end = x[0], max(x[1], b), max(x[2], edits), min(x[3], start), max(x[4], end)
+                joined.append((a, b, edits, start, end))
+            for found in sorted(wholes[d, k] + joined):
+                yield d, self.items[k][0], *found
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
@@ -187,29 +233,30 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
         yield [(r["i"], r["t"]) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).orderBy("i", "t").collect()]
 
 
-def passages(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None = None, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", q: int = 10, error_rate: float = 0.08, block_chars: int = 1_000_000) -> DataFrame:
-    """Rows ``(*columns, item_id, first_char, end_char, edits)``, one a passage.
+def passages(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None = None, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", q: int = 10, error_rate: float = 0.08, part_chars: int = PART_CHARS, block_chars: int = 400_000) -> DataFrame:
+    """Rows ``(*columns, item_id, first_char, end_char, edits, item_first, item_end)``, one a passage.
 
+    ``item_first`` and ``item_end``: the characters of the item that the passage holds.
     ``columns``: what to hand on of each document (its id by default).
     """
     columns = columns or ["doc_id"]
     given = docs.select(F.struct(*columns).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    schema = T.StructType([given.schema["doc"], *(T.StructField(c, T.LongType()) for c in ("item_id", "first_char", "end_char", "edits"))])
+    schema = T.StructType([given.schema["doc"], *(T.StructField(c, T.LongType()) for c in FOUND)])
     out = docs.sparkSession.createDataFrame([], schema)
     for items in _blocks(benchmark, item_col, item_text_col, block_chars):
         def run(batches: Iterator[pa.RecordBatch], items: list = items) -> Iterator[pa.RecordBatch]:
-            index = Index(items, q, error_rate)
+            index = Index(items, q, error_rate, part_chars)
             for batch in rebatched(batches, 2 << 20):
                 found = list(index.passages(batch.column("text").to_pylist()))
                 if found:
                     rows = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
-                    yield pa.RecordBatch.from_arrays([batch.column("doc").take(rows[0]), *rows[1:]], ["doc", "item_id", "first_char", "end_char", "edits"])
+                    yield pa.RecordBatch.from_arrays([batch.column("doc").take(rows[0]), *rows[1:]], ["doc", *FOUND])
 
         out = out.unionByName(given.mapInArrow(run, schema))
-    return out.select("doc.*", "item_id", "first_char", "end_char", "edits")
+    return out.select("doc.*", *FOUND)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", q: int = 10, error_rate: float = 0.08, block_chars: int = 1_000_000) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", q: int = 10, error_rate: float = 0.08, part_chars: int = PART_CHARS, block_chars: int = 400_000) -> DataFrame:
     """``docs`` without the documents that hold a passage, with all columns.
 
     Blocks follow one another; each sees what the ones before have kept.
@@ -219,7 +266,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
         given = docs.select(F.struct(*(docs[c] for c in names)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
         def run(batches: Iterator[pa.RecordBatch], items: list = items) -> Iterator[pa.RecordBatch]:
-            index = Index(items, q, error_rate)
+            index = Index(items, q, error_rate, part_chars)
             for batch in rebatched(batches, 2 << 20):
                 hit = {x[0] for x in index.passages(batch.column("text").to_pylist())}
                 keep = pa.array([i for i in range(batch.num_rows) if i not in hit], pa.int64())

@@ -355,3 +355,67 @@ def test_suffix_tree_scores_against_brute_force(spark):
     got = [(r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in suffix_tree_lm.score(docs).collect()]
     assert any(kept.values()) and not all(kept.values())
     assert np.allclose(sorted(got), sorted(wanted))
+
+
+def _least_edits(item: str, text: str) -> int:
+    """Edits between ``item`` and the place of ``text`` that is nearest to it."""
+    row = np.zeros(len(text) + 1, np.int64)
+    codes, at = np.array(list(map(ord, text)), np.int64), np.arange(len(text) + 1)
+    for x in item:
+        below = np.append(row[0] + 1, np.minimum(row[1:] + 1, row[:-1] + (codes != ord(x))))
+        row = np.minimum.accumulate(below - at) + at
+    return int(row.min())
+
+
+def test_benchmark_parts_against_brute_force(spark):
+    rnd = random.Random(23)
+    prose = lambda n: "".join(rnd.choice("abcdefgh éñ .") for _ in range(n))
+
+    def edited(text, n):
+        for _ in range(n):
+            k = rnd.randrange(len(text))
+            text = text[:k] + rnd.choice(["", "Q" + text[k], "Z"]) + text[k + 1:]
+        return text
+
+    items = [(k, prose(n)) for k, n in enumerate((12, 30, 99, 100, 101, 149, 150, 151, 250, 394, 394))]
+    items += [(3, items[3][1]), (50, None), (51, ""), (52, " ." * 90)]
+    texts: list = [None, "", prose(3000)]
+    for _, t in items[:11]:
+        n = len(t)
+        for _ in range(6):
+            size = rnd.choice([n, n, n * 2 // 3, n // 2, min(n, 150), min(n, 120), min(n, 90)])
+            start = rnd.randrange(n - size + 1)
+            texts.append(prose(rnd.randrange(80)) + edited(t[start:start + size].upper(), rnd.choice([0, 1, 4, size // 14, size // 10])) + prose(rnd.randrange(200)))
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, item_id string").repartition(5)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    fold = lambda t: (t or "").translate(decontaminate.FOLD_TEXT)
+
+    def near(item, text):
+        return _least_edits(item, text) <= (0 if len(item) < 20 else min(int(0.08 * len(item)), len(item) // 10 - 1))
+
+    def wanted(part):
+        out = set()
+        for d, text in enumerate(texts):
+            for i, item in items:
+                item, n = fold(item), len(item or "")
+                cuts = [item[a:a + part] for a in [*range(0, n - part, part // 2), n - part]] if 0 < part < n else []
+                if any(any(c.isalnum() for c in x) and near(x, fold(text)) for x in [item, *cuts]):
+                    out.add((d, i))
+        return out
+
+    whole, parts = wanted(0), wanted(100)
+    assert len(parts) > len(whole) + 5
+    for part, found in ((0, whole), (100, parts)):
+        rows = decontaminate.passages(docs, bench, part_chars=part).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in rows} == found
+        assert {r["doc_id"] for r in decontaminate.clean_documents(docs, bench, part_chars=part).collect()} == set(range(len(texts))) - {d for d, _ in found}
+        for r in rows:
+            item = fold(dict(items)[r["item_id"]])[r["item_first"]:r["item_end"]]
+            assert len(item) >= min(100, len(dict(items)[r["item_id"]])) and 0 <= r["first_char"] < r["end_char"] <= len(texts[r["doc_id"]])
+            assert _least_edits(item, fold(texts[r["doc_id"]])[r["first_char"]:r["end_char"]]) <= r["edits"] * (1 + 2 * len(item) // 100)
+    # a quote of one and a half parts is always found
+    long = items[9][1]
+    quoted = spark.createDataFrame([(k, "zz " + long[k:k + 150] + " zz") for k in range(0, 244, 9)], "doc_id long, text string")
+    assert decontaminate.clean_documents(quoted, bench).count() == 0
+    with pytest.raises(ValueError):
+        decontaminate.Index([(1, "a" * 50)], 10, 0.08, 15)
