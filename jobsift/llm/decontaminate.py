@@ -133,7 +133,8 @@ class Index:
                     self.first.append(at)
         self.budget = np.array([edit_budget(len(t), q, error_rate) for _, t in self.items], np.int64)
         self.short = [k for k, (_, t) in enumerate(self.items) if len(t) < 2 * q]
-        long = [k for k, (_, t) in enumerate(self.items) if len(t) >= 2 * q]
+        self.part_chars = part_chars
+        long = [k for k in range(self.n_whole) if len(self.items[k][1]) >= 2 * q]
         grams = [q_grams(folded(self.items[k][1]), q) for k in long]
         grown = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(grown, kind="stable")
@@ -146,6 +147,10 @@ class Index:
         self.seen[self._slot(self.grams)] = True
         lengths = np.array([len(t) for _, t in self.items], np.int64)
         self.bound = np.maximum(1, lengths + 1 - q * (self.budget + 1))
+        self.error_rate = error_rate
+        # whole item and start of each part, in order, as one number
+        self.span = int(lengths.max(initial=0)) + 1
+        self.part_key = np.array([o * self.span + f for o, f in zip(self.owner[self.n_whole:], self.first[self.n_whole:], strict=True)], np.int64)
 
     def _slot(self, grams: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -162,13 +167,38 @@ class Index:
         at, found = at[right], found[right]
         many = self.ends[found] - self.starts[found]
         rows = np.repeat(self.starts[found], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item, diagonal = self.item[rows], np.repeat(at, many) - self.place[rows]
-        band = diagonal // (self.budget[item] + 1)
-        reach = len(flat) + 2 * int(max((len(t) for _, t in self.items), default=0)) + 2
-        keys, counts = np.unique(item.astype(np.int64) * (2 * reach) + band + reach, return_counts=True)
-        item, band = keys // (2 * reach), keys % (2 * reach) - reach
-        after = np.append((keys[1:] == keys[:-1] + 1) * counts[1:], 0) if len(keys) else counts
-        before = np.append(0, (keys[1:] == keys[:-1] + 1) * counts[:-1]) if len(keys) else counts
+        item, place = self.item[rows], self.place[rows]
+        diagonal = np.repeat(at, many) - place
+        found_bands = self._dense(item, diagonal)
+        if len(self.items) > self.n_whole:
+            # Grams are counted for whole items; only those that could fill a part are dealt to the parts they lie in.
+            budget = edit_budget(self.part_chars, self.q, self.error_rate)
+            near = self._crowded(item, diagonal // (budget + 1), self.part_chars + 1 - self.q * (budget + 1))
+            item, place, diagonal = item[near], place[near], diagonal[near]
+            low = np.searchsorted(self.part_key, item * self.span + np.maximum(0, place + self.q - self.part_chars))
+            many = np.searchsorted(self.part_key, item * self.span + place, "right") - low
+            rows = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            found_bands += self._dense(self.n_whole + rows, np.repeat(diagonal, many) + self.part_key[rows] % self.span)
+        return found_bands
+
+    @staticmethod
+    def _counted(item: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct (item, band), the row of each given one there, and the counts there, in the band after and in the one before."""
+        lowest = int(band.min(initial=0)) - 1
+        width = int(band.max(initial=0)) - lowest + 2
+        keys, where, counts = np.unique(item.astype(np.int64) * width + (band - lowest), return_inverse=True, return_counts=True)
+        beside = keys[1:] == keys[:-1] + 1
+        after, before = np.append(beside * counts[1:], 0)[:len(keys)], np.append(0, beside * counts[:-1])[:len(keys)]
+        return keys // width, keys % width + lowest, where, counts, after, before
+
+    def _crowded(self, item: np.ndarray, band: np.ndarray, bound: int) -> np.ndarray:
+        """Which q-grams lie in two neighbouring bands that hold ``bound`` or more."""
+        _, _, where, counts, after, before = self._counted(item, band)
+        return ((counts + after >= bound) | (counts + before >= bound))[where]
+
+    def _dense(self, item: np.ndarray, diagonal: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, lowest diagonal, width) of the overlapping bands that meet their item's bound."""
+        item, band, _, counts, after, before = self._counted(item, diagonal // (self.budget[item] + 1))
         out = [(item[i], band[i]) for i in np.flatnonzero(counts + after >= self.bound[item])]
         out += [(item[i], band[i] - 1) for i in np.flatnonzero((before == 0) & (counts >= self.bound[item]))]
         return [(int(k), int(b * (self.budget[k] + 1)), int(2 * (self.budget[k] + 1))) for k, b in out]
