@@ -12,6 +12,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -53,6 +54,56 @@ def test_quality_counts_and_verdicts(docs, none):
     assert quality_rules.quality(none).count() == 0
 
 
+def test_quality_against_brute_force(spark):
+    rnd = random.Random(3)
+    make = lambda n, kinds: " ".join(rnd.choice(["été", "a", "B2", "C#", "x|y", "<>", "日本", "tea!", "ROCK"][:kinds]) for _ in range(n))
+    texts = [None, "", " \n\t\n ", make(19, 9), make(20, 9), "\u00a0 " * 30, "\u2028x\x85 \x1cy"]
+    for _ in range(60):
+        lines = [make(rnd.randrange(14), rnd.choice([2, 5, 9])) for _ in range(rnd.randrange(1, 12))]
+        texts.append(rnd.choice(["\n", "\r\n", "\n \n"]).join(rnd.choice(lines) if rnd.random() < 0.3 else x for x in lines))
+    for n in (30, 100, 200):  # repeated windows on both sides of the limit
+        block = [f"k{i}" for i in range(n)]
+        texts += [" ".join([*block[:m], *(f"u{i}" for i in range(100)), *block[:m]]) for m in (7, 8, 20, n)]
+
+    def base(text):
+        text = text or ""
+        words = WORD.findall(text)
+        lines = [x for x in text.split("\n") if WORD.search(x)]
+        windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+        inside = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 8)}
+        return len(words), sum(map(len, words)), sum(text.count(x) for x in "#*$%&|<>"), sum(x in lines[:i] for i, x in enumerate(lines)), len(inside)
+
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    rows = {r["doc_id"]: r for r in quality_rules.quality(docs).collect()}
+    assert len(rows) == len(texts)
+    for k, t in enumerate(texts):
+        n, *_, repeats = base(t)
+        got = rows[k]
+        assert tuple(got[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == base(t), t
+        assert got["base_failed"] == (n < 20 or 100 * repeats > 30 * n)
+        assert got["kept"] == (not got["base_failed"] and got["p_good"] >= 0.5)
+    assert {r["base_failed"] for r in rows.values()} == {True, False}
+    # the posterior of each vote pattern, by Bayes' rule from the estimated model
+    patterns: dict[str, int] = {}
+    for r in rows.values():
+        patterns[r["votes"]] = patterns.get(r["votes"], 0) + 1
+    model = quality_rules.fit(sorted(patterns.items()))
+    for r in rows.values():
+        good, bad = model["prior"], 1 - model["prior"]
+        for vote, if_good, if_bad in zip(r["votes"], model["bad_if_good"], model["bad_if_bad"], strict=True):
+            good *= {"b": if_good, "g": 1 - if_good, "-": 1}[vote]
+            bad *= {"b": if_bad, "g": 1 - if_bad, "-": 1}[vote]
+        assert abs(r["p_good"] - good / (good + bad)) < 1e-9
+
+
+def test_fingerprints_against_the_definition():
+    for t in ["", " \n", "one", "one two", "Über ZEBRA Éa b", "a b c a b c a b c", *(t for _, t, _, _ in _texts() if t)]:
+        words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t))
+        shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+        assert simhash.fingerprint(t.encode()) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
 def test_suffix_tree_scores(docs, none):
     out = suffix_tree_lm.score(docs).collect()
     assert len(out) == docs.count()
