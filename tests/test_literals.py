@@ -147,3 +147,25 @@ def test_day_first_dates_as_pandas_parses_them(spark):
     one = spark.createDataFrame([("1/2/74", "1/2/75", "2025-06-05")], "a string, b string, c string")
     row = one.select(day_first(F.col("a")), day_first(F.col("b")), day_first(F.col("c")), day_first(F.col("c"), iso_swapped=True)).first()
     assert [str(x) for x in row] == ["2074-02-01", "1975-02-01", "2025-06-05", "2025-05-06"]
+
+
+def test_strip_removes_every_white_space_of_the_pattern(spark):
+    from jobsift.functions.text import WS, WS_CHARS, py_strip
+    df = spark.range(1, 0x10000).where("id < 55296 OR id > 57343").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    assert {r["c"] for r in df.where(F.col("c").rlike(WS)).collect()} == set(WS_CHARS)
+    t = df.select("c", F.concat("c", F.lit("a \né"), "c", "c").alias("t"))
+    assert t.where(py_strip(F.col("t")) != F.regexp_replace("t", rf"^{WS}+|{WS}+$", "")).isEmpty()
+
+
+def test_rules_compute_their_text_once_a_row(spark):
+    """A rule table names its text once a keyword: over 150 times for the v1 titles."""
+    df = spark.range(1).select(F.col("id").cast("string").alias("title"))
+    for rule in (C.title_class_v1, C.rank_v1, C.job_role_v2, C.industry_sub_v2, C.industry_macro_v2, C.industry_v1, C.education_v1):
+        plan = df.select(rule(F.col("title")).alias("o"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("lower(") == 1, rule.__name__
+
+
+def test_headcount_of_titles_with_and_without_numbers(spark):
+    rows = [(None, "Tuyển 12 người"), (None, "không số"), (None, None), ("", "tuyển 2025 nhân viên"), ("1", "số lượng: 7"), (None, "5 slot, 9 bạn")]
+    df = spark.createDataFrame(rows, "q string, t string")
+    assert [r["o"] for r in C.add_headcount(df, "q", "t", "o").collect()] == [12, 1, 1, 1, 7, 9]
