@@ -352,9 +352,9 @@ def _salary_impute(spark, sf_dir):
     """Zero salary ends filled with the (title class, rank) mean."""
     from ..functions import classify as C
     from ..functions import parsers as P
-    s = fixtures.stg(spark, sf_dir).select("row_id", C.title_class_v1(F.col("CongViec")).alias("CongViec_clean"),
-                                           C.rank_v1(F.col("CongViec")).alias("CapBac_clean"),
-                                           P.salary_v1(F.col("MucLuong")).alias("_s"))
+    s = fixtures.stg(spark, sf_dir).select("row_id", "MucLuong", C.title_class_v1(F.col("CongViec")).alias("CongViec_clean"),
+                                           C.rank_v1(F.col("CongViec")).alias("CapBac_clean"))
+    s = P.parse_salary_v1(s, "MucLuong", "_s")
     s = s.select("row_id", "CongViec_clean", "CapBac_clean", F.col("_s.min").alias("MucLuongMin_clean"),
                  F.col("_s.max").alias("MucLuongMax_clean"))
     return impute_group_mean(s, ["MucLuongMin_clean", "MucLuongMax_clean"], ["CongViec_clean", "CapBac_clean"],
