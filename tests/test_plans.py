@@ -57,3 +57,28 @@ def test_latest_by_id_aggregates_keys_alone(spark, sf):
     from jobsift.operators.dedupe import latest_by_id
     p = plan_text(latest_by_id(fixtures.table(spark, sf, "events"), ["user_id"], "ts", "event_id"))
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and p.count("HashAggregate") == 2 and "partial_max(_rank" in p
+
+
+def test_cleaning_stages_are_compiled(spark):
+    from jobsift.plans.clean import clean_v1, clean_v2
+    key = "spark.sql.codegen.hugeMethodLimit"
+    for clean in (clean_v1, clean_v2):
+        spark.conf.set(key, "65535")
+        clean(spark.createDataFrame([], ", ".join(f"{c} {'DATE' if c == 'NgayCaoDuLieu' else 'STRING'}" for c in fixtures.STAGING_COLUMNS)))
+        assert int(spark.conf.get(key)) <= 8000
+
+
+def test_staging_lists_are_literals_with_the_same_rows(spark, sf):
+    given = fixtures.stg(spark, sf)
+    assert "split_part" in fixtures.STG_SQL and "split_part" not in plan_text(given)
+    as_sql = spark.sql(fixtures.STG_SQL)
+    assert given.exceptAll(as_sql).isEmpty() and as_sql.exceptAll(given).isEmpty()
+
+
+def test_stored_texts_are_stripped_like_any(spark):
+    from pyspark.sql import functions as F
+
+    from jobsift.functions.text import WS_CHARS, py_strip_stored
+    texts = [None, "", " ", "​", "Đà Nẵng", "\x84x\x84", "x、", *[f"{w}ấ {w}b{w}" for w in WS_CHARS], *[f"{w}ấ" for w in WS_CHARS], *[f"ấ{w}" for w in WS_CHARS], *WS_CHARS]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", py_strip_stored(F.col("t")).alias("s"))
+    assert all(r["s"] == (None if r["t"] is None else r["t"].strip()) for r in df.collect())
