@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, rebatched, small_batches, stored, texts_of
+from .common import id_text, rebatched, small_batches, stored, texts_of, unzipped, zipped
 from .flat_words import hashes, spans
 
 DEPTH = 4
@@ -53,7 +53,8 @@ def held_out(doc_id: int | None, modulus: int = 7, remainder: int = 2) -> bool:
 
 
 def _as_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each few MB of documents; texts are normalised here."""
+    """One row for each few MB of documents; texts are normalised here, and
+    compressed as a whole, as they are stored once and shuffled once."""
     number = TaskContext.get().partitionId() << 32
     ids: list = []
     texts: list[bytes] = []
@@ -61,7 +62,7 @@ def _as_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def row() -> pa.RecordBatch:
         columns = [np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), np.array([len(t) for t in texts], np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in columns), pa.array([b"".join(texts)], pa.binary())], ["block", "doc_ids", "no_ids", "lengths", "texts"])
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in columns), pa.array([zipped(b"".join(texts))], pa.binary())], ["block", "doc_ids", "no_ids", "lengths", "texts"])
 
     for batch in rebatched(batches, BLOCK_BYTES // 4):
         for i, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
@@ -103,7 +104,8 @@ class Block:
         lengths = np.frombuffer(row["lengths"], np.int64)
         self.held = np.array([held_out(i) for i in self.ids], bool)
         ends = np.cumsum(lengths)
-        flat = np.frombuffer(row["texts"], np.uint8)
+        texts = unzipped(row["texts"], int(lengths.sum()))
+        flat = np.frombuffer(texts, np.uint8)
         n = len(lengths)
         self.symbols = lengths + 1
         self.code = np.empty(len(flat) + n, np.uint64)
@@ -115,7 +117,7 @@ class Block:
             self.code[begin + first:int(ends[past - 1]) + past] = _codes(flat[begin:int(ends[past - 1])], lengths[first:past])
             first = past
         offsets = np.append(0, ends).astype(np.int32)
-        _, _, a, b, self.n_words = spans(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(row["texts"])]))
+        _, _, a, b, self.n_words = spans(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), texts]))
         self.word = hashes(flat, a, b)
 
     def distinct(self, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

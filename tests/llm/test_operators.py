@@ -470,3 +470,12 @@ def test_benchmark_parts_against_brute_force(spark):
     assert decontaminate.clean_documents(quoted, bench).count() == 0
     with pytest.raises(ValueError):
         decontaminate.Index([(1, "a" * 50)], 10, 0.08, 15)
+
+
+def test_blocks_of_the_model_are_stored_compressed(spark):
+    docs = spark.createDataFrame([(k, f"Some words of text {k % 5} " * 50) for k in range(100)] + [(None, None)], "doc_id long, text string")
+    blocks = id_text(docs).mapInArrow(suffix_tree_lm._as_blocks, suffix_tree_lm.BLOCKS).collect()
+    texts = sum(int(np.frombuffer(r["lengths"], np.int64).sum()) for r in blocks)
+    assert 0 < sum(len(r["texts"]) for r in blocks) < texts / 4
+    assert sum(len(suffix_tree_lm.Block(r.asDict()).ids) for r in blocks) == 101
+    assert sum(int(suffix_tree_lm.Block(r.asDict()).n_words.sum()) for r in blocks) == 100 * 250
