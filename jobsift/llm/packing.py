@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, rebatched, stored
+from .common import id_text, rebatched, stored, unzipped, zipped
 from .flat_words import hashes, spans
 from .tokens import encoder_of
 
@@ -44,7 +44,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BLOCK_BYTES = 4 << 20
 BLOCKS = "block long, n_docs long, n_words long, n_bytes long, doc_ids array<long>, lengths binary, texts binary"
-ROUTED = "route long, salt int, doc_id long, text string, dfs binary"
+ROUTED = "route long, salt int, doc_id long, n_bytes int, n_words int, text binary, dfs binary"
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -122,14 +122,32 @@ def _routed(mean_bytes: float, shard_bytes: int, batches: Iterator[pa.RecordBatc
             route[doc[at]], many[doc[at]] = words[at].view(np.int64), df[at]
             salts = np.ceil(many * mean_bytes / shard_bytes).astype(np.int64)
             salt = [zlib.crc32(t) % n if n > 1 else 0 for t, n in zip((f"{i}".encode() for i in ids.to_pylist()), salts.tolist(), strict=True)]
-            # The four bytes of the numbers apart: the higher ones are mostly zero and shuffle in few bytes.
-            cut = [x.view(np.uint8).reshape(-1, 4).T.tobytes() for x in np.split(df, np.cumsum(counts)[:-1])]
-            yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(salt, pa.int32()), ids, texts, pa.array(cut, pa.binary())], ["route", "salt", "doc_id", "text", "dfs"])
+            # The four bytes of the numbers apart: the higher ones are mostly zero. Both are compressed, as Spark's own codec hardly shortens them.
+            cut = [zipped(x.view(np.uint8).reshape(-1, 4).T.tobytes()) for x in np.split(df, np.cumsum(counts)[:-1])]
+            raw = texts.cast(pa.binary()).to_pylist()
+            sizes = [pa.array([len(x) for x in raw], pa.int32()), pa.array(counts, pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(salt, pa.int32()), ids, *sizes, pa.array([zipped(x) for x in raw], pa.binary()), pa.array(cut, pa.binary())], ["route", "salt", "doc_id", "n_bytes", "n_words", "text", "dfs"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, text and dfs of dealt documents as they were before, in slices
+    that hold about ``max_bytes`` at most (one row at least)."""
+    for batch in batches:
+        sizes, words = (batch.column(c).to_numpy() for c in ("n_bytes", "n_words"))
+        step = max(1, int(batch.num_rows * max_bytes / max(int(sizes.sum()) + 4 * int(words.sum()) + 16 * batch.num_rows, 1)))
+        for at in range(0, batch.num_rows, step):
+            part, n_bytes = batch.slice(at, step), sizes[at:at + step].tolist()
+            texts = [unzipped(x, n) for x, n in zip(part.column("text").to_pylist(), n_bytes, strict=True)]
+            dfs = [unzipped(x, 4 * n).to_pybytes() for x, n in zip(part.column("dfs").to_pylist(), words[at:at + step].tolist(), strict=True)]
+            offsets = pa.py_buffer(np.append(0, np.cumsum(n_bytes)).astype(np.int32))
+            text = pa.StringArray.from_buffers(len(texts), offsets, pa.py_buffer(b"".join(texts)))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), text, pa.array(dfs, pa.binary())], ["doc_id", "text", "dfs"])
 
 
 def routed(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, float]:
     """(documents dealt and ordered by their rarest shared word, with ``dfs``,
-    the document frequency of each word; documents in all; mean words of one)."""
+    the document frequency of each word, both compressed; documents in all; mean
+    words of one)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = stored(docs.mapInArrow(_blocked, BLOCKS), "pack-blocks")
     n, words, size = (x or 0 for x in blocks.agg(F.sum("n_docs"), F.sum("n_words"), F.sum("n_bytes")).first())
@@ -138,7 +156,7 @@ def routed(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, float]:
     answers = summed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "dfs"))).alias("dfs"))
     rows = blocks.join(answers.hint("shuffle_hash"), "block", "left").select("doc_ids", "lengths", "texts", "dfs")
     rows = rows.mapInArrow(partial(_routed, size / max(n, 1), shard_bytes), ROUTED)
-    return rows.repartition(parts, "route", "salt").sortWithinPartitions("route", "salt", "doc_id", "text").select("doc_id", "text", "dfs"), n, words / max(n, 1)
+    return rows.repartition(parts, "route", "salt").sortWithinPartitions("route", "salt", "doc_id", "text").select("doc_id", "n_bytes", "n_words", "text", "dfs"), n, words / max(n, 1)
 
 
 class Index:
@@ -255,7 +273,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, width: int = 2048, id_col:
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
-        for batch in rebatched(batches, shard_bytes // 8):
+        for batch in _unpacked(batches, shard_bytes // 8):
             if batch.num_rows:
                 held.append(batch)
                 size += batch.column("text").nbytes

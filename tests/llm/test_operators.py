@@ -479,3 +479,14 @@ def test_blocks_of_the_model_are_stored_compressed(spark):
     assert 0 < sum(len(r["texts"]) for r in blocks) < texts / 4
     assert sum(len(suffix_tree_lm.Block(r.asDict()).ids) for r in blocks) == 101
     assert sum(int(suffix_tree_lm.Block(r.asDict()).n_words.sum()) for r in blocks) == 100 * 250
+
+
+def test_dealt_documents_travel_compressed(spark):
+    docs = spark.createDataFrame([(k, f"Some words of text {k % 5} " * 50) for k in range(100)], "doc_id long, text string")
+    dealt = packing.routed(id_text(docs), 6 << 20)[0].toArrow().combine_chunks().to_batches()
+    texts = dict(docs.collect())
+    assert sum(len(x) for b in dealt for c in ("text", "dfs") for x in b.column(c).to_pylist()) < sum(map(len, texts.values())) / 4
+    back = list(packing._unpacked(iter(dealt), 10_000))
+    assert len(back) > 5
+    assert {i: t for b in back for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)} == texts
+    assert all(len(x) == 4 * len(texts[i].split()) for b in back for i, x in zip(b.column("doc_id").to_pylist(), b.column("dfs").to_pylist(), strict=True))
