@@ -59,13 +59,11 @@ def test_latest_by_id_aggregates_keys_alone(spark, sf):
     assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and p.count("HashAggregate") == 2 and "partial_max(_rank" in p
 
 
-def test_cleaning_stages_are_compiled(spark):
-    from jobsift.plans.clean import clean_v1, clean_v2
+def test_cleaning_stages_are_compiled(spark, sf):
     key = "spark.sql.codegen.hugeMethodLimit"
-    for clean in (clean_v1, clean_v2):
-        spark.conf.set(key, "65535")
-        clean(spark.createDataFrame([], ", ".join(f"{c} {'DATE' if c == 'NgayCaoDuLieu' else 'STRING'}" for c in fixtures.STAGING_COLUMNS)))
-        assert int(spark.conf.get(key)) <= 8000
+    spark.conf.set(key, "65535")
+    _clean_plan(spark, sf, "'link'")
+    assert int(spark.conf.get(key)) <= 8000
 
 
 def test_staging_lists_are_literals_with_the_same_rows(spark, sf):
