@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import covered, id_text, rebatched, stored
+from .common import covered, id_text, rebatched, small_batches, stored
 from .flat_words import MULTIPLIERS, hashes, spans, window_hashes
 
 #: A perfect difference set, every residue modulo 13 is a difference of two of these.
@@ -178,6 +178,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     short = window - PERIOD + 1
     if short < 1:
         raise ValueError(f"a window needs {PERIOD} words at least")
+    small_batches(docs.sparkSession)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = _keyed(docs, id_col, text_col)
     at_cover = np.isin(np.arange(PERIOD), COVER)

@@ -5,9 +5,13 @@ from __future__ import annotations
 
 import hashlib
 import io
+import os
 import random
 import re
+import time
+import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +20,8 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from jobsift.llm import anchors, decontaminate, frames, induced_sorting, licences, line_dedup, packing, quality_rules, queries, simhash, suffix_sort, suffix_tree_lm
-from jobsift.llm.common import id_text
+from jobsift.llm import anchors, decontaminate, flat_words, frames, induced_sorting, licences, line_dedup, packing, quality_rules, queries, simhash, suffix_sort, suffix_tree_lm
+from jobsift.llm.common import SHUFFLE_CLEANUP, id_text, stored
 from jobsift.llm.tokens import Encoder, tokenizer_path
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -490,3 +494,34 @@ def test_dealt_documents_travel_compressed(spark):
     assert len(back) > 5
     assert {i: t for b in back for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)} == texts
     assert all(len(x) == 4 * len(texts[i].split()) for b in back for i, x in zip(b.column("doc_id").to_pylist(), b.column("dfs").to_pylist(), strict=True))
+
+
+def _peak_mb(work) -> float:
+    work()  # tables that stay are made
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_word_hashes_take_little_memory(spark):
+    flat, _, starts, ends, counts = flat_words.spans(pa.array(["some words of a text " * 25_000] * 2))
+    assert counts.sum() == 250_000
+    assert _peak_mb(lambda: flat_words.hashes(flat, starts, ends)) < 8
+    assert sum(x.nbytes for x in flat_words._powers_of(flat_words.MULTIPLIERS[0], 10)) < 4e6
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    anchors.repeated_words(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_stored_tables_leave_no_shuffle_behind(spark):
+    shuffles = lambda: {f for f in Path(os.environ.get("SPARK_LOCAL_DIRS", spark.conf.get("spark.local.dir", "/tmp"))).rglob("shuffle_*.data") if f.stat().st_uid == os.getuid()}
+    before = shuffles()
+    rows = stored(spark.range(1000).repartition(7, "id"), "no-shuffle")
+    for _ in range(50):
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left and rows.count() == 1000
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
