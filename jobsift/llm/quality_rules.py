@@ -31,6 +31,8 @@ from .common import flat_bytes, id_text, rebatched, small_batches, stored, windo
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 8
+#: Bytes of text that are counted at once; a byte is worth a number of 8 bytes meanwhile.
+FEATURE_BYTES = 1 << 20
 
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_letters", "n_marks", "n_echo")
 SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in FEATURES)
@@ -75,13 +77,14 @@ def repeated_words(words: list[bytes], width: int = REPEAT_WINDOW) -> int:
 def _features(batches: Iterator[pa.RecordBatch], within: str | None = None) -> Iterator[pa.RecordBatch]:
     """The first column of each row, which is handed on, with the counts of its
     text: the column ``text``, or the field ``within`` of the first column."""
-    for batch in rebatched(batches, 4 << 20):
+    for batch in rebatched(batches, FEATURE_BYTES):
         names = [batch.schema.names[0], *FEATURES]
         texts = batch.column("text") if within is None else pc.fill_null(pc.struct_field(batch.column(0), within).cast(pa.string()), "")
         flat, offsets = flat_bytes(texts)
         counts = {}
         for name, table in (("space", _SPACE), ("continued", _CONTINUED), ("n_symbols", _table(SYMBOLS)), ("n_upper", _UPPER), ("n_letters", _LETTER), ("n_marks", _table(b"!"))):
-            sums = np.concatenate([[0], np.cumsum(table[flat], dtype=np.int64)])
+            sums = np.zeros(len(flat) + 1, np.int64)
+            np.cumsum(table[flat], out=sums[1:])
             counts[name] = sums[offsets[1:]] - sums[offsets[:-1]]
         counts["word_chars"] = np.diff(offsets) - counts.pop("space") - counts.pop("continued")
         raw = flat.tobytes()

@@ -525,3 +525,10 @@ def test_stored_tables_leave_no_shuffle_behind(spark):
         time.sleep(0.1)
     assert not left and rows.count() == 1000
     assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_quality_features_take_little_memory():
+    text = "a" * 3500
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array([text] * 2000)], ["doc_id", "text"])
+    assert batch.nbytes > 6 << 20
+    assert _peak_mb(lambda: list(quality_rules._features(iter([batch])))) < 30
