@@ -80,3 +80,13 @@ def test_stored_texts_are_stripped_like_any(spark):
     texts = [None, "", " ", "​", "Đà Nẵng", "\x84x\x84", "x、", *[f"{w}ấ {w}b{w}" for w in WS_CHARS], *[f"{w}ấ" for w in WS_CHARS], *[f"ấ{w}" for w in WS_CHARS], *WS_CHARS]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", py_strip_stored(F.col("t")).alias("s"))
     assert all(r["s"] == (None if r["t"] is None else r["t"].strip()) for r in df.collect())
+
+
+def test_deadlines_are_parsed_once(spark):
+    from pyspark.sql import functions as F
+
+    from jobsift.functions.dates import deadline_v2
+    df = spark.createDataFrame([(" 31/12/2025 ",), ("31/02/2025",), ("  ",), ("Hạn 1.2.2025",), ("thỏa thuận 1/2/2025",), (None,)], "t string")
+    out = df.select(deadline_v2(F.col("t"), F.lit("2025-01-05").cast("date"), "2025-01-01").alias("d"))
+    assert [str(r["d"]) for r in out.collect()] == ["2025-12-31", "2025-02-04", "2025-02-04", "2025-02-01", "2025-02-04", "2025-02-04"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("gettimestamp") == 1
