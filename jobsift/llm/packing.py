@@ -74,6 +74,18 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block += 1
 
 
+def _often(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct words in ascending order, texts that have each of them): a stable
+    sort by word leaves the texts of one word side by side."""
+    order = np.argsort(words, kind="stable")
+    words, doc = words[order], np.repeat(np.arange(len(counts)), counts)[order]
+    new = np.append(True, words[1:] != words[:-1])
+    other = new.copy()
+    other[1:] |= doc[1:] != doc[:-1]
+    first = np.flatnonzero(new)
+    return words[first], np.add.reduceat(other, first, dtype=np.uint32)
+
+
 def _counted(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of a block that have each of its words, by range of words."""
     for batch in batches:
@@ -81,9 +93,7 @@ def _counted(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             words, counts = _words(_texts(batch, row))
             if not len(words):
                 continue
-            terms, term = np.unique(words, return_inverse=True)
-            pair = np.unique(term * len(counts) + np.repeat(np.arange(len(counts)), counts))
-            often = np.bincount(pair // len(counts), minlength=len(terms)).astype(np.uint32)
+            terms, often = _often(words, counts)
             part = ((terms >> np.uint64(33)) * np.uint64(parts) >> np.uint64(31)).astype(np.int32)
             cuts = np.flatnonzero(np.diff(part)) + 1
             columns = [pa.array([x.tobytes() for x in np.split(c, cuts)], pa.binary()) for c in (terms, often)]
@@ -104,6 +114,18 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([table["block"].combine_chunks(), table["part"].combine_chunks(), pa.array([x.tobytes() for x in cut], pa.binary())], ["block", "part", "dfs"])
 
 
+def _rarest(df: np.ndarray, term: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(texts with a word that another one has, the rarest of these words in each;
+    of equally rare ones the first), for the frequency and the number of each word."""
+    filled = np.flatnonzero(counts)
+    if not len(filled):
+        return filled, filled
+    packed = np.where(df > 1, df, np.uint32(0xFFFFFFFF)).astype(np.uint64) << np.uint64(32) | term.astype(np.uint64)
+    least = np.minimum.reduceat(packed, (np.cumsum(counts) - counts)[filled])
+    shared = least >> np.uint64(32) < np.uint64(0xFFFFFFFF)
+    return filled[shared], (least[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def _routed(mean_bytes: float, shard_bytes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each document with the frequencies of its words, and the rarest of those
     that another document has."""
@@ -111,15 +133,13 @@ def _routed(mean_bytes: float, shard_bytes: int, batches: Iterator[pa.RecordBatc
         for row in range(batch.num_rows):
             texts, ids = _texts(batch, row), batch.column("doc_ids")[row].values
             words, counts = _words(texts)
-            term = np.unique(words, return_inverse=True)[1]
+            terms, term = np.unique(words, return_inverse=True)
             answers = batch.column("dfs")[row].as_py() or []
-            df = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x["dfs"], np.uint32) for x in answers)])[term]
-            doc = np.repeat(np.arange(len(counts)), counts)
-            at = np.flatnonzero(df > 1)
-            at = at[np.lexsort((words[at], df[at], doc[at]))]
-            at = at[np.concatenate([[True], doc[at][1:] != doc[at][:-1]])] if len(at) else at
+            dfs = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x["dfs"], np.uint32) for x in answers)])
+            df = dfs[term]
             route, many = np.zeros(len(counts), np.int64), np.ones(len(counts))
-            route[doc[at]], many[doc[at]] = words[at].view(np.int64), df[at]
+            at, kind = _rarest(df, term, counts)
+            route[at], many[at] = terms[kind].view(np.int64), dfs[kind]
             salts = np.ceil(many * mean_bytes / shard_bytes).astype(np.int64)
             salt = [zlib.crc32(t) % n if n > 1 else 0 for t, n in zip((f"{i}".encode() for i in ids.to_pylist()), salts.tolist(), strict=True)]
             # The four bytes of the numbers apart: the higher ones are mostly zero. Both are compressed, as Spark's own codec hardly shortens them.

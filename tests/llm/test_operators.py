@@ -532,3 +532,22 @@ def test_quality_features_take_little_memory():
     batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array([text] * 2000)], ["doc_id", "text"])
     assert batch.nbytes > 6 << 20
     assert _peak_mb(lambda: list(quality_rules._features(iter([batch])))) < 30
+
+
+def test_rarest_words_against_sorting():
+    rnd = np.random.default_rng(3)
+    for n, texts in ((5000, 40), (60, 30), (1, 1), (0, 2)):
+        words = rnd.integers(0, 1 << 64, max(2, n // 8), np.uint64)[rnd.integers(0, max(2, n // 8), n)]
+        counts = np.diff(np.concatenate([[0], np.sort(rnd.integers(0, n + 1, texts - 1)), [n]]))
+        doc = np.repeat(np.arange(texts), counts)
+        terms, term = np.unique(words, return_inverse=True)
+        if n:
+            got = packing._often(words, counts)
+            assert [x.tolist() for x in got] == [terms.tolist(), [len(set(doc[term == k].tolist())) for k in range(len(terms))]]
+        df = rnd.integers(1, 4, len(terms)).astype(np.uint32)
+        wanted = {}
+        for d, f, k in sorted(zip(doc.tolist(), df[term].tolist(), term.tolist(), strict=True)):
+            if f > 1:
+                wanted.setdefault(d, k)
+        at, kind = packing._rarest(df[term], term, counts)
+        assert dict(zip(at.tolist(), kind.tolist(), strict=True)) == wanted
