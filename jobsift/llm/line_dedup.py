@@ -13,8 +13,10 @@ segment number, segment) and probes the indexes of its own and of up to
 ``max_edits`` smaller lengths with the substrings that can match there: those
 allowed both from the left end (the edits before segment i are i - 1 at most)
 and from the right.  Only keys, 64-bit hashes, are shuffled; the text is fetched
-for lines that share a key.  A shared key is checked with banded bit-parallel
-edit distance in the join condition, so unverified pairs are never rows.
+for lines that share a key.  A shared key is checked in the join condition, by
+finer segments and then by the banded edit distance of what lies between equal
+ends, so unverified pairs are never rows.  Segments are cut out of four bytes a
+character.
 
 Defined cases: a null or empty text has no line; rows with the same id and
 text are one document (each row loses the same lines); different texts under
@@ -43,99 +45,82 @@ def steps_of(max_edits: Edits, min_chars: int) -> list[tuple[int, int, int]]:
     return [(low, high, most) for (low, most), (high, _) in pairwise([*steps, (1 << 31, 0)]) if low < high]
 
 
+def _edits_within(a: str, b: str, most: int) -> str:
+    return f"abs(length({a}) - length({b})) <= {most} AND levenshtein({a}, {b}, {most}) >= 0"
+
+
 def edits_within(a: str, b: str, most: int) -> Column:
-    """Whether two string columns are within ``most`` edits.
-
-    ``r[e]`` has a bit for each diagonal of the band: set if the text's first j
-    characters and the pattern's first j + diagonal have ``e`` edits at most.  A
-    step takes one text character: match along a diagonal, substitution, a text
-    character without partner (one diagonal down), a pattern character without
-    partner (one up).
-    """
-    band = (1 << (2 * most + 1)) - 1
-    match = " + ".join(f"IF(get(both.p, j + {d}) = get(both.t, j), {1 << (d + most)}, 0)" for d in range(-most, most + 1))
-    steps = f"named_struct('m', {match}, " + ", ".join(f"'r{e}', s.r{e}" for e in range(most + 1)) + ")"
-    expression = "named_struct('r0', x.r0 & x.m"
-    previous = "(x.r0 & x.m)"
-    for e in range(1, most + 1):
-        now = f"(((x.r{e} & x.m) | x.r{e - 1} | shiftright(x.r{e - 1}, 1) | shiftleft({previous}, 1)) & {band})"
-        expression += f", 'r{e}', {now}"
-        previous = now
-    expression += ")"
-    # transform() of one element names a value; it copies its result at each step, so the texts stay outside.
-    merge = f"(s, j) -> transform(array({steps}), x -> {expression})[0]"
-    begin = "named_struct(" + ", ".join(f"'r{e}', {sum(1 << (most + d) for d in range(e + 1))}" for e in range(most + 1)) + ")"
-    end = f"s -> (shiftright(s.r{most}, length({a}) - length({b}) + {most}) & 1) = 1"
-    # split() with an empty pattern gives the characters.
-    texts = f"array(named_struct('p', split({a}, ''), 't', split({b}, '')))"
-    steps_taken = f"transform({texts}, both -> aggregate(sequence(0, greatest(length({b}) - 1, 0)), {begin}, {merge}, {end}))[0]"
-    return F.expr(f"abs(length({a}) - length({b})) <= {most} AND CASE WHEN length({b}) = 0 THEN true ELSE {steps_taken} END")
+    """Whether two string columns are within ``most`` edits."""
+    return F.expr(_edits_within(a, b, most))
 
 
 FINER = 16
 
 
-def _finer(line: str, chars: str, less: int, shift: int) -> str:
-    """Hashes of the FINER segments of a text ``less`` characters shorter, cut
-    out of ``line`` (of ``chars`` characters) at ``shift``."""
-    n = f"({chars} - {less})"
-    cuts = [f"xxhash64(substring({line}, CAST((({i} * {n}) div {FINER}) + {shift + 1} AS INT), CAST((({i + 1} * {n}) div {FINER}) - (({i} * {n}) div {FINER}) AS INT)), (({i} * {n}) div {FINER}) + {shift} < 0)" for i in range(FINER)]
-    return f"array({', '.join(cuts)})"
+def characters(text: str) -> Column:
+    """A string as four bytes a character: a substring of it is one copy, while
+    one of a string counts characters from the beginning."""
+    return F.encode(F.col(text), "UTF-32")
 
 
-def _shifts(most: int) -> list[tuple[int, int]]:
-    """(length difference, places that a segment may have moved)."""
-    return [(less, shift) for less in range(most + 1) for shift in range(-((most - less) // 2), less + (most - less) // 2 + 1)]
+def _cut(code: str, first: str, size: str) -> str:
+    """``size`` characters of ``code`` from place ``first`` on."""
+    return f"substring({code}, CAST(4 * ({first}) + 1 AS INT), CAST(4 * ({size}) AS INT))"
 
 
-def _finer_name(less: int, shift: int) -> str:
-    return f"b_{less}_{'m' if shift < 0 else ''}{abs(shift)}"
+def finer_segments_met(most: int) -> str:
+    """Whether all but ``most`` of the FINER segments of the text ``a_code`` stand
+    in ``b_code`` where they can, ``most`` characters aside at most.  It is true
+    of every pair within ``most`` edits, as an edit spoils one segment."""
+    first, size = f"((i * a_chars) div {FINER})", f"(((i + 1) * a_chars) div {FINER} - (i * a_chars) div {FINER})"
+    around = _cut("b_code", f"greatest({first} - {most}, 0)", f"{size} + {2 * most}")
+    return f"size(filter(sequence(0, {FINER - 1}), i -> NOT contains({around}, {_cut('a_code', first, size)}))) <= {most}"
 
 
-def finer_segments_met(most: int) -> str:
-    """Condition on ``a_own`` and the ``b_...`` hashes: all but ``most`` of the
-    shorter text's FINER segments stand in the longer one where they can.  It is
-    true of every pair within ``most`` edits, as an edit spoils one segment."""
-    cases = []
-    for less in range(most + 1):
-        met = [f"IF({' OR '.join(f'get(a_own, {i}) = get({_finer_name(d, shift)}, {i})' for d, shift in _shifts(most) if d == less)}, 1, 0)" for i in range(FINER)]
-        cases.append(f"WHEN {less} THEN ({' + '.join(met)}) >= {FINER - most}")
-    return f"CASE length(b_line) - length(a_line) {' '.join(cases)} ELSE false END"
+def rest_within(most: int) -> str:
+    """Whether ``a_code`` and ``b_code`` are within ``most`` edits.  What both
+    begin and end with, in blocks, takes no part in the edits, so the distance is
+    that of the texts between.  The lambdas name values: they are worked out once."""
+    block = f"(a_chars div {FINER})"
+    equal = lambda at: f"coalesce(nullif(array_position(transform(sequence(0, {FINER - 1}), i -> substring(a_code, CAST({at} AS INT), CAST(4 * {block} AS INT)) = substring(b_code, CAST({at} AS INT), CAST(4 * {block} AS INT))), false), 0) - 1, {FINER})"
+    same = f"array(named_struct('begin', {equal(f'4 * i * {block} + 1')}, 'end', {equal(f'-4 * (i + 1) * {block}')}))"
+    between = ", ".join(f"'{x}', decode({_cut(f'{x}_code', f's.begin * {block}', f'{x}_chars - least(s.begin + s.end, {FINER}) * {block}')}, 'UTF-32')" for x in "ab")
+    return f"exists(transform({same}, s -> named_struct({between})), t -> {_edits_within('t.a', 't.b', most)})"
 
 
 def near_lines(steps: list[tuple[int, int, int]]) -> Column:
-    """Whether ``a_line``, the shorter one, and ``b_line`` are within the edits of its step."""
+    """Whether the texts ``a_code``, the shorter one, and ``b_code`` are within
+    the edits of its step; ``a_chars`` and ``b_chars`` are their lengths."""
     near = F.lit(False)
     for low, high, most in steps:
-        near = F.when(F.expr(f"length(a_line) >= {low} AND length(a_line) < {high}"), F.expr(finer_segments_met(most)) & edits_within("a_line", "b_line", most)).otherwise(near)
+        near = F.when(F.expr(f"a_chars >= {low} AND a_chars < {high}"), F.expr(f"b_chars - a_chars BETWEEN 0 AND {most} AND {finer_segments_met(most)} AND {rest_within(most)}")).otherwise(near)
     return near
 
 
-def segment_keys(line: str, chars: str, steps: list[tuple[int, int, int]]) -> Column:
-    """Array of (key, indexed) of a line of ``chars`` characters: its own
-    segments, and the substrings with which it probes the indexes of its own and
-    smaller lengths; null where a substring would begin before the line.  The
-    length is a column, as counting characters at each use took most of the time,
-    and there is no lambda, which would keep all of it from generated code."""
-    none = "CAST(array() AS array<struct<key:bigint,indexed:boolean>>)"
-    out = []
-    for less in range(max(most for _, _, most in steps) + 1):
-        n = f"({chars} - {less})"
-        cases = []
-        for least, over, most in steps:
-            if less > most:
-                continue
-            parts, keys = most + 1, []
-            for i in range(1, parts + 1):
-                first, size = f"(({i - 1} * {n}) div {parts})", f"((({i} * {n}) div {parts}) - (({i - 1} * {n}) div {parts}))"
-                low, high = max(-(i - 1), less - (parts - i)), min(i - 1, less + (parts - i))
-                for shift in range(low, high + 1):
-                    indexed = "true" if less == 0 and shift == 0 else "false"
-                    place = f"(CAST({first} AS INT) + {shift + 1})"
-                    keys.append(f"IF({place} >= 1, named_struct('key', xxhash64({n}, {i}, substring({line}, {place}, CAST({size} AS INT))), 'indexed', {indexed}), NULL)")
-            cases.append(f"WHEN {n} >= {least} AND {n} < {over} THEN array({', '.join(keys)})")
-        out.append(f"CASE {' '.join(cases)} ELSE {none} END")
-    return F.expr(f"flatten(array({', '.join(out)}))")
+def segment_places(chars: str, steps: list[tuple[int, int, int]]) -> Column:
+    """Array of (less, parts, part, shift) of a line of ``chars`` characters: the
+    segment ``part`` of ``parts`` of a text ``less`` characters shorter, looked for
+    ``shift`` characters on.  The line's own segments, those that are indexed, have
+    neither; the others are where it probes the indexes of its own and smaller
+    lengths.  As fixed arrays by length, the generated code stays small however
+    many places there are."""
+    places = [(least + less, over + less, [(less, most + 1, part, shift) for part in range(1, most + 2) for shift in range(max(-(part - 1), less - (most + 1 - part)), min(part - 1, less + (most + 1 - part)) + 1)]) for least, over, most in steps for less in range(most + 1)]
+    out = "CAST(array() AS array<struct<less:int,parts:int,part:int,shift:int>>)"
+    bounds = sorted({x for least, over, _ in places for x in (least, over)})
+    cases = []
+    for low, high in pairwise(bounds):
+        here = [p for least, over, found in places if least <= low and high <= over for p in found]
+        if here:
+            cases.append(f"WHEN {chars} >= {low} AND {chars} < {high} THEN array({', '.join(f'named_struct({chr(39)}less{chr(39)}, {l}, {chr(39)}parts{chr(39)}, {n}, {chr(39)}part{chr(39)}, {i}, {chr(39)}shift{chr(39)}, {d})' for l, n, i, d in here)})")
+    return F.expr(f"CASE {' '.join(cases)} ELSE {out} END")
+
+
+def segment_keys(lines: DataFrame, steps: list[tuple[int, int, int]]) -> DataFrame:
+    """(key, indexed, h1) of the segments of ``lines`` (h1, code, chars) and of
+    the substrings with which they probe; none where one would begin before the line."""
+    placed = lines.select("h1", "code", "chars", F.inline(segment_places("chars", steps)))
+    placed = placed.withColumns({"n": F.expr("chars - less"), "first": F.expr("((part - 1) * (chars - less)) div parts"), "after": F.expr("(part * (chars - less)) div parts")}).where("first + shift >= 0")
+    return placed.select(F.expr(f"xxhash64(n, part, {_cut('code', 'first + shift', 'after - first')})").alias("key"), F.expr("less = 0 AND shift = 0").alias("indexed"), "h1")
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -158,7 +143,7 @@ def links(docs: DataFrame, max_edits: Edits, min_chars: int, id_col: str = "doc_
     classes = stored(lines.select(*_hash(), F.struct("doc_id", "text_key", "place").alias("at")).groupBy("h1", "h2").agg(F.min("at").alias("at")), "line-classes")
     # A key travels with one hash of its line only; copies of a line are one row of a key.
     rows = lines.select(_hash()[0], "line", F.length("line").alias("chars")).where(F.col("chars") >= steps[0][0])
-    rows = rows.select("h1", F.explode(segment_keys("line", "chars", steps)).alias("k")).where("k IS NOT NULL").select("k.key", "k.indexed", "h1")
+    rows = segment_keys(rows.select("h1", characters("line").alias("code"), "chars"), steps)
     # A key is of use if two lines have it, one of them in the index.
     by_key = Window.partitionBy("key")
     used = rows.withColumns({"least": F.min("h1").over(by_key), "most": F.max("h1").over(by_key), "any_indexed": F.max("indexed").over(by_key)}).where("least < most AND any_indexed")
@@ -168,12 +153,13 @@ def links(docs: DataFrame, max_edits: Edits, min_chars: int, id_col: str = "doc_
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.split(text, "\n", -1).alias("lines"))
     texts = source.join(wanted.hint("shuffle_hash"), ["doc_id", "text_key"]).select(F.explode("wanted").alias("w"), "lines").select("w.at", "w.h1", "w.h2", F.expr("lines[w.at.place]").alias("line")).distinct().withColumn("chars", F.length("line"))
     held = stored(shared.join(texts, "h1"), "line-texts")
-    a = held.where("indexed").select("key", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("at").alias("a_at"), F.col("line").alias("a_line"), F.expr(_finer("line", "chars", 0, 0)).alias("a_own"))
-    from_chars = {(less, shift): min(low for low, _, most in steps if (less, shift) in _shifts(most)) for _, _, most in steps for less, shift in _shifts(most)}
-    b = held.select("key", F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("at").alias("b_at"), F.col("line").alias("b_line"), *(F.when(F.col("chars") - less >= low, F.expr(_finer("line", "chars", less, shift))).alias(_finer_name(less, shift)) for (less, shift), low in from_chars.items()))
+    held = held.withColumn("code", characters("line")).drop("line")
+    a = held.where("indexed").select("key", *(F.col(c).alias(f"a_{c}") for c in ("h1", "h2", "at", "code", "chars")))
+    b = held.select("key", *(F.col(c).alias(f"b_{c}") for c in ("h1", "h2", "at", "code", "chars")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = F.expr("NOT (a1 = b1 AND a2 = b2)") & near_lines(steps)
-    found = a.repartition(parts, "key").join(b.repartition(parts, "key"), (a["key"] == b["key"]) & near).select("a1", "a2", "a_at", "b1", "b2", "b_at")
+    other = F.expr("NOT (a_h1 = b_h1 AND a_h2 = b_h2)")
+    pairs = a.repartition(parts, "key").join(b.repartition(parts, "key"), (a["key"] == b["key"]) & other & near_lines(steps))
+    found = pairs.select(F.col("a_h1").alias("a1"), F.col("a_h2").alias("a2"), "a_at", F.col("b_h1").alias("b1"), F.col("b_h2").alias("b2"), "b_at")
     found = stored(found.distinct(), "line-links")
     both = found.union(found.select("b1", "b2", "b_at", "a1", "a2", "a_at")).distinct()
     return classes.select("h1", "h2", "at"), both

@@ -344,6 +344,34 @@ def test_line_dedup_allows_more_edits_to_longer_lines(spark, monkeypatch):
     assert {r["doc_id"]: r["n_near"] for r in queries.op7_line_dedup(spark, "").collect()} == {0: 0, 1: 1}
 
 
+def test_line_dedup_generates_methods_that_the_jvm_compiles(spark, monkeypatch, capsys):
+    docs = spark.createDataFrame([(k, f"a line of {k} that is long enough\n" + "xy z" * 120 + str(k)) for k in range(4)], "doc_id long, text string")
+    kept, sizes = line_dedup.stored, {}
+
+    def shown(df, name):
+        capsys.readouterr()
+        df.explain("codegen")
+        sizes[name] = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", capsys.readouterr().out)]
+        return kept(df, name)
+
+    monkeypatch.setattr(line_dedup, "stored", shown)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        line_dedup.links(docs, line_dedup.EDITS, 20)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sizes["line-keys"] and sizes["line-links"]
+    assert all(0 < n <= 8000 for found in sizes.values() for n in found), sizes
+
+
+def test_line_dedup_counts_characters_beyond_ascii(spark):
+    base = "".join(chr(0x1F600 + k) if k % 3 else "ềß"[k % 2] for k in range(48))
+    rows = [(1, base), (2, base[:7] + base[8:]), (3, base[:40] + "ü" + base[41:] + "x"), (4, base[:5] + "abc" + base[8:]), (5, "plain ascii line of words, é or e"), (6, "plain ascii line of words, e or e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["doc_id"] for r in line_dedup.dedup_report(docs, line_dedup.EDITS).orderBy("doc_id").collect() if r["gone"]] == [2, 3, 6]
+
+
 def test_packing_finds_neighbours_in_other_partitions(spark):
     rnd = random.Random(4)
     common = [f"c{i}" for i in range(30)]
