@@ -101,6 +101,17 @@ def _counted(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([batch.column("block")[row].as_py()] * len(at), pa.int64()), *columns], ["part", "block", "terms", "often"])
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers compressed with their four bytes apart: the higher ones are
+    mostly zero.  Spark's own codec hardly shortens them."""
+    return zipped(values.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _numbers(planes: bytes | pa.Buffer) -> np.ndarray:
+    """The numbers whose four bytes lie apart."""
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view(np.uint32)[:, 0]
+
+
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The document frequency over all blocks, for each block's words of a range."""
     table = pa.Table.from_batches(held) if (held := list(batches)) else None
@@ -111,7 +122,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds, kind = np.unique(np.concatenate(terms), return_inverse=True)
     dfs = np.bincount(kind, often, len(kinds)).astype(np.uint32)[kind]
     cut = np.split(dfs, np.cumsum([len(x) for x in terms])[:-1])
-    yield pa.RecordBatch.from_arrays([table["block"].combine_chunks(), table["part"].combine_chunks(), pa.array([x.tobytes() for x in cut], pa.binary())], ["block", "part", "dfs"])
+    yield pa.RecordBatch.from_arrays([table["block"].combine_chunks(), table["part"].combine_chunks(), pa.array([len(x) for x in cut], pa.int32()), pa.array([_planes(x) for x in cut], pa.binary())], ["block", "part", "n", "dfs"])
 
 
 def _rarest(df: np.ndarray, term: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,15 +146,14 @@ def _routed(mean_bytes: float, shard_bytes: int, batches: Iterator[pa.RecordBatc
             words, counts = _words(texts)
             terms, term = np.unique(words, return_inverse=True)
             answers = batch.column("dfs")[row].as_py() or []
-            dfs = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x["dfs"], np.uint32) for x in answers)])
+            dfs = np.concatenate([np.zeros(0, np.uint32), *(_numbers(unzipped(x["dfs"], 4 * x["n"])) for x in answers)])
             df = dfs[term]
             route, many = np.zeros(len(counts), np.int64), np.ones(len(counts))
             at, kind = _rarest(df, term, counts)
             route[at], many[at] = terms[kind].view(np.int64), dfs[kind]
             salts = np.ceil(many * mean_bytes / shard_bytes).astype(np.int64)
             salt = [zlib.crc32(t) % n if n > 1 else 0 for t, n in zip((f"{i}".encode() for i in ids.to_pylist()), salts.tolist(), strict=True)]
-            # The four bytes of the numbers apart: the higher ones are mostly zero. Both are compressed, as Spark's own codec hardly shortens them.
-            cut = [zipped(x.view(np.uint8).reshape(-1, 4).T.tobytes()) for x in np.split(df, np.cumsum(counts)[:-1])]
+            cut = [_planes(x) for x in np.split(df, np.cumsum(counts)[:-1])]
             raw = texts.cast(pa.binary()).to_pylist()
             sizes = [pa.array([len(x) for x in raw], pa.int32()), pa.array(counts, pa.int32())]
             yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(salt, pa.int32()), ids, *sizes, pa.array([zipped(x) for x in raw], pa.binary()), pa.array(cut, pa.binary())], ["route", "salt", "doc_id", "n_bytes", "n_words", "text", "dfs"])
@@ -172,8 +182,9 @@ def routed(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, float]:
     blocks = stored(docs.mapInArrow(_blocked, BLOCKS), "pack-blocks")
     n, words, size = (x or 0 for x in blocks.agg(F.sum("n_docs"), F.sum("n_words"), F.sum("n_bytes")).first())
     counted = blocks.mapInArrow(partial(_counted, parts), "part int, block long, terms binary, often binary")
-    summed = counted.repartition(parts, "part").mapInArrow(_summed, "block long, part int, dfs binary")
-    answers = summed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "dfs"))).alias("dfs"))
+    # Stored, so that the words' shuffle goes before the texts are dealt.
+    summed = stored(counted.repartition(parts, "part").mapInArrow(_summed, "block long, part int, n int, dfs binary"), "pack-frequencies")
+    answers = summed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "n", "dfs"))).alias("dfs"))
     rows = blocks.join(answers.hint("shuffle_hash"), "block", "left").select("doc_ids", "lengths", "texts", "dfs")
     rows = rows.mapInArrow(partial(_routed, size / max(n, 1), shard_bytes), ROUTED)
     return rows.repartition(parts, "route", "salt").sortWithinPartitions("route", "salt", "doc_id", "text").select("doc_id", "n_bytes", "n_words", "text", "dfs"), n, words / max(n, 1)
@@ -279,7 +290,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, width: int = 2048, id_col:
         for shard in shards(batches):
             encoder = encoder_of(path)
             texts = shard.column("text")
-            dfs = np.concatenate([np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view(np.uint32)[:, 0] for x in shard.column("dfs").to_pylist()])
+            dfs = np.concatenate([_numbers(x) for x in shard.column("dfs").to_pylist()])
             ids = [np.append(x, np.uint32(end_id)) for x in encoder.encode(texts)]
             lengths = np.array([len(x) for x in ids], np.int64)
             picked = np.array(order(Index(texts, dfs, n_docs, mean), lengths.tolist(), width))

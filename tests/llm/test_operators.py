@@ -372,6 +372,15 @@ def test_line_dedup_counts_characters_beyond_ascii(spark):
     assert [r["doc_id"] for r in line_dedup.dedup_report(docs, line_dedup.EDITS).orderBy("doc_id").collect() if r["gone"]] == [2, 3, 6]
 
 
+def test_packing_deals_texts_after_the_words_shuffle_is_gone(spark, capsys):
+    docs = spark.createDataFrame([(k, f"some words of text {k}") for k in range(30)], "doc_id long, text string")
+    dealt, n, _ = packing.routed(id_text(docs), 6 << 20)
+    capsys.readouterr()
+    dealt.explain()
+    plan = capsys.readouterr().out
+    assert n == 30 and dealt.count() == 30 and "hashpartitioning(route" in plan and "hashpartitioning(part" not in plan
+
+
 def test_packing_finds_neighbours_in_other_partitions(spark):
     rnd = random.Random(4)
     common = [f"c{i}" for i in range(30)]
