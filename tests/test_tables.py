@@ -119,6 +119,39 @@ def test_unreadable_files_are_listed_and_stay(spark, tmp_path):
     assert len(os.listdir(drop)) >= 7
 
 
+def test_files_of_any_length_are_inspected_by_blocks(spark, tmp_path):
+    """No task reads a file as a whole; faults behind the first block are found."""
+    from jobsift.sources.files import inspect_files
+    drop = str(tmp_path / "drop")
+    long = [f'job {i},"two\nlines and Huế {i}"' for i in range(400)]
+    _csv(f"{drop}/50%+ (1).csv", long, "\ufeffCongViec,MoTa \r")
+    _csv(f"{drop}/blank.csv", long, " ")
+    _csv(f"{drop}/late.csv", long, "CongViec,MoTa")
+    with open(f"{drop}/late.csv", "ab") as f:
+        f.write(b"job,Hu\xe1\nx,y\n")
+    with open(f"{drop}/mark.csv", "wb") as f:
+        f.write(b"\xef\xbb\xbf")
+    open(f"{drop}/empty.csv", "w").close()
+    with open(f"{drop}/whole.csv.gz", "wb") as f:
+        f.write(gzip.compress(b"CongViec,Ma\njob,\xff\n"))
+    with open(f"{drop}/cut.csv.gz", "wb") as f:
+        f.write(gzip.compress("\n".join(["A,B", *[f"{i},{i * i}" for i in range(5000)]]).encode())[:2000])
+    conf = {"spark.sql.sources.binaryFile.maxLength": "1000", "spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        looked = inspect_files(spark, [drop])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    found = {os.path.basename(p): (header, problem) for p, header, problem in looked}
+    assert len(looked) == len(found) == 7
+    assert found["50%+ (1).csv"] == ("CongViec,MoTa", None) and found["whole.csv.gz"] == ("CongViec,Ma", None)
+    assert found["late.csv"] == ("CongViec,MoTa", "not UTF-8 text") and found["cut.csv.gz"][1] is None
+    assert {k for k, v in found.items() if v[1] == "no header line"} == {"blank.csv", "mark.csv", "empty.csv"}
+
+
 @pytest.fixture(scope="module")
 def days(spark, tmp_path_factory):
     """Three days: new links, links again with other values, links without value, a
